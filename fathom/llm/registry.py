@@ -1,10 +1,16 @@
 """Queries of this subpackage and, where SQL can say the same, their SQL."""
 
-from . import substring_dedup
+from . import line_dedup, mixing, packing, substring_dedup, suffix_dedup
 
 QUERIES = {
+    "op2_mixing": mixing.op2_mixing,
+    "op6_line_dedup": line_dedup.op6_line_dedup,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
+    "op9_packing": packing.op9_packing,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 ORACLE_SQL = {
+    "op2_mixing": mixing.ORACLE_SQL,
+    "op6_line_dedup": line_dedup.ORACLE_SQL,
     "op10_substring_dedup": substring_dedup.ORACLE_SQL,
 }
