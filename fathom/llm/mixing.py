@@ -91,11 +91,10 @@ def targets(placed: DataFrame, share: float = 1.5, cap: int = 2, cycle=CYCLE) ->
 def _permuted(slot: str, domain: str, key: str) -> str:
     """SQL: swap-or-not permutation of [0, domain) by an integer key."""
     pivot = f"(({key} + r * 1103515245) % {PRIME} * 48271 % {PRIME}) % {domain}"
-    return f"""aggregate(sequence(cast(0 as bigint), cast({ROUNDS - 1} as bigint)), named_struct('x', {slot}, 'y', cast(0 as bigint)),
-      (a, r) -> named_struct('y', pmod({pivot} - a.x, {domain}), 'x',
-        CASE WHEN (((greatest(a.x, pmod({pivot} - a.x, {domain})) % {PRIME}) * 69621 + ({key} + r * 40692) % {PRIME})
-             % {PRIME} * 16807 % {PRIME}) div 65536 % 2 = 1 THEN pmod({pivot} - a.x, {domain}) ELSE a.x END),
-      a -> a.x)"""
+    mirror = f"pmod({pivot} - x, {domain})"
+    return f"""aggregate(sequence(cast(0 as bigint), cast({ROUNDS - 1} as bigint)), {slot},
+      (x, r) -> CASE WHEN ((greatest(x, {mirror}) % {PRIME} * 69621 + ({key} + r * 40692) % {PRIME})
+        % {PRIME} * 16807 % {PRIME}) div 65536 % 2 = 1 THEN {mirror} ELSE x END)"""
 
 
 def draws(goals: DataFrame, block_words: int, shard_blocks: int, seed: int) -> DataFrame:
