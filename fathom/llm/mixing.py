@@ -28,6 +28,7 @@ ROUNDS = 24
 PRIME = 2147483647
 DOCS_A_BUCKET = 2048
 DRAWS_A_RANGE = 65536
+SPLIT = r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
 
 
 def word_count(text: Column) -> Column:
@@ -170,9 +171,10 @@ def mixed_documents(docs: DataFrame, block_words: int = 256) -> DataFrame:
     rows = rows.where("size > 0").withColumn("row", F.row_number().over(nth))
     out = rows.join(named, (F.col("from") == F.col("src")) & F.col("doc_id").eqNullSafe(F.col("id"))
                     & (F.col("size") == F.col("words")) & (F.col("row") == F.col("nth")))
-    words = F.expr("filter(split(text, '[ \\\\x09-\\\\x0D]+'), w -> w <> '')")
-    out = out.withColumn("w", words).withColumn("text", F.expr(
-        "array_join(flatten(transform(spans, s -> slice(w, cast(s.first + 1 as int), cast(s.words as int)))), ' ')"))
+    taken = F.expr("aggregate(spans, cast(0 as bigint), (n, s) -> n + s.words)")
+    # A document taken whole keeps its own spacing.
+    out = out.withColumn("text", F.when(taken == F.col("size"), F.col("text")).otherwise(F.expr(f"""
+        array_join(flatten(transform(spans, s -> slice({SPLIT}, cast(s.first + 1 as int), cast(s.words as int)))), ' ')""")))
     return out.select("doc_id", "text", "lang", "source",
                       F.char_length("text").cast("long").alias("n_chars"))
 

@@ -126,7 +126,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
     """Classes of near duplicates, a row for each document.
 
     Returns doc_id, n_words, class_id (the class's smallest doc_id), class_size and kept:
-    whether the document is its class's one. Of rows that share a doc_id one is kept.
+    whether the document is its class's one (of equal rows, one), and text_hash, xxhash64 of
+    the text.
     """
     scratch = Scratch(spark, "minhash")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -212,7 +213,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
              .groupBy("node").agg(F.min("row").alias("row")).withColumn("is_head", F.lit(True)))
     return (sketched.join(members, "node").join(heads, ["node", "row"], "left")
             .select("doc_id", "n_words", F.when(F.col("least") != NULL_ID, F.col("least")).alias("class_id"),
-                    "class_size", F.coalesce("is_head", F.lit(False)).alias("kept")))
+                    "class_size", F.coalesce("is_head", F.lit(False)).alias("kept"),
+                    F.col("node").alias("text_hash")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
+    """``docs`` with one document of each class of :func:`near_duplicates`."""
+    kept = near_duplicates(spark, docs, **how).where("kept").select(
+        F.col("doc_id").alias("_fathom_id"), F.col("text_hash").alias("_fathom_hash"))
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    joined = docs.withColumn("_fathom_text", text).join(
+        kept, F.col("doc_id").eqNullSafe(F.col("_fathom_id")) & (F.col("_fathom_text") == F.col("_fathom_hash")))
+    # Equal rows meet the same kept row; one of them stays.
+    return joined.dropDuplicates(["_fathom_id", "_fathom_hash"]).select(*docs.columns)
 
 
 def _with_least(keyed: DataFrame, by: list[str]) -> DataFrame:

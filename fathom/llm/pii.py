@@ -346,9 +346,18 @@ def plausible(kind: int, piece: str) -> bool:
 
 
 def added_spans(text: str, base: list, found: list) -> list[tuple[int, int, int]]:
-    """Network spans that touch no base span and pass their kind's test."""
-    return [(s, kind, e) for s, kind, e in found
-            if plausible(kind, text[s:e]) and all(s >= b[2] or e <= b[0] for b in base)]
+    """Network spans that touch no base span, stand alone and pass their kind's test."""
+    out = []
+    for s, kind, e in found:
+        while s < e and text[s].isspace():
+            s += 1
+        while e > s and text[e - 1].isspace():
+            e -= 1
+        cut = text[s:s + 1].isdigit() and text[s - 1:s].isdigit() or (
+            text[e - 1:e].isdigit() and text[e:e + 1].isdigit())  # a part of a longer number
+        if not cut and plausible(kind, text[s:e]) and all(s >= b[2] or e <= b[0] for b in base):
+            out.append((s, kind, e))
+    return out
 
 
 def find_pii(spark: SparkSession, docs: DataFrame, fit_rows: int = 400) -> DataFrame:

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, batches, mix
@@ -207,41 +207,61 @@ class Network:
         return 1 / (1 + np.exp(-logit))
 
 
+class QualityModel:
+    """Word vectors from all texts and a network fitted on labelled ones."""
+
+    def __init__(self, spark: SparkSession, docs: DataFrame, labels: DataFrame, held_out_of: int = 4,
+                 held_out: int = 2, fit_rows: int = 20_000):
+        """Labels (doc_id, quality) are learnt only from rows whose crc32(doc_id as text) mod
+        ``held_out_of`` is not ``held_out``; ``fit_rows`` bounds the labelled rows fitted."""
+        scratch = Scratch(spark, "quality")
+        remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % held_out_of
+        self.is_held_out = F.coalesce(remainder == held_out, F.lit(False))
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        self.vectors = spark.sparkContext.broadcast(word_vectors(scratch, texts.select("text")))
+        shared = self.vectors
+
+        def describe(frames):
+            for frame in frames:
+                got = pooled([t.encode() for t in frame["text"]], shared.value)
+                yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "x": [r.tobytes() for r in got]})
+
+        self.features = scratch.save(texts.mapInPandas(describe, "doc_id long, x binary"), "features")
+        marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y"))
+        marked = marked.where("doc_id IS NOT NULL AND y IS NOT NULL").where(remainder != held_out)
+        marked = marked.groupBy("doc_id").agg(F.avg("y").alias("y"))
+        fit = (self.features.join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(fit_rows)
+               .select("x", "y").collect())
+        x = np.array([np.frombuffer(bytes(r["x"]), np.float32) for r in fit], np.float64).reshape(-1, FEATURES)
+        self.network = Network().fit(x, np.array([r["y"] for r in fit], np.float64))
+
+    def scores(self) -> DataFrame:
+        """(doc_id, score) of the documents it was built from."""
+        net = self.network
+
+        def score(frames):
+            for frame in frames:
+                x = np.frombuffer(b"".join(frame["x"]), np.float32).reshape(-1, FEATURES).astype(np.float64)
+                yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "score": net.score(x)})
+
+        return self.features.mapInPandas(score, "doc_id long, score double")
+
+    def score_of(self, text: Column) -> Column:
+        """The score of a text column, for filtering without a join."""
+        net, shared = self.network, self.vectors
+
+        def score(part: pd.Series) -> pd.Series:
+            return pd.Series(net.score(pooled([t.encode() for t in part], shared.value).astype(np.float64)))
+
+        return F.pandas_udf(score, "double")(F.coalesce(text, F.lit("")))
+
+
 def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
-                  held_out_of: int = 4, held_out: int = 2, fit_rows: int = 20_000) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every document.
-
-    Labels (doc_id, quality) are learnt from rows whose crc32(doc_id as text) mod
-    ``held_out_of`` is not ``held_out`` only. ``fit_rows`` bounds the labelled rows fitted.
-    """
-    scratch = Scratch(spark, "quality")
-    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % held_out_of
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    vectors = word_vectors(scratch, texts.select("text"))
-    shared = spark.sparkContext.broadcast(vectors)
-
-    def describe(frames):
-        for frame in frames:
-            got = pooled([t.encode() for t in frame["text"]], shared.value)
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "x": [r.tobytes() for r in got]})
-
-    features = scratch.save(texts.mapInPandas(describe, "doc_id long, x binary"), "features")
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y"))
-    marked = marked.where("doc_id IS NOT NULL AND y IS NOT NULL").where(remainder != held_out)
-    marked = marked.groupBy("doc_id").agg(F.avg("y").alias("y"))
-    fit = (features.join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(fit_rows)
-           .select("x", "y").collect())
-    x = np.array([np.frombuffer(bytes(r["x"]), np.float32) for r in fit], np.float64).reshape(-1, FEATURES)
-    net = Network().fit(x, np.array([r["y"] for r in fit], np.float64))
-
-    def score(frames):
-        for frame in frames:
-            x = np.frombuffer(b"".join(frame["x"]), np.float32).reshape(-1, FEATURES).astype(np.float64)
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "score": net.score(x)})
-
-    out = features.mapInPandas(score, "doc_id long, score double")
-    return out.select("doc_id", F.coalesce(remainder == held_out, F.lit(False)).alias("held_out"), "score",
-                      F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+                  **how) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for every document; see QualityModel."""
+    model = QualityModel(spark, docs, labels, **how)
+    return model.scores().select("doc_id", model.is_held_out.alias("held_out"), "score",
+                                 F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Queries of this subpackage and, where SQL can say the same, their SQL."""
 
+import corpus_pipeline
+
 from . import (
     embedding_dedup,
     line_dedup,
@@ -24,6 +26,7 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_packing": packing.op9_packing,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op2_mixing": mixing.ORACLE_SQL,
