@@ -23,11 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import Scratch, shuffle_partitions
+
 CYCLE = (5, 2, 1)
 ROUNDS = 24
 PRIME = 2147483647
 DOCS_A_BUCKET = 2048
-DRAWS_A_RANGE = 65536
+DRAWS_A_RANGE = 8192
 SPLIT = r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
 
 
@@ -40,10 +42,14 @@ def _source_key(source: Column) -> Column:
 
 
 def place_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, src, size, start): where each document's words begin in its source."""
-    sized = docs.select("doc_id", "source", _source_key(F.col("source")).alias("src"),
-                        word_count(F.col("text")).alias("size"))
-    count = docs.count()
+    """(doc_id, source, src, size, start): where each document's words begin in its source.
+
+    Texts are read once: sizes, and then places, are written to the shared folder.
+    """
+    scratch = Scratch(docs.sparkSession, "mixing")
+    sized = scratch.save(docs.select("doc_id", "source", _source_key(F.col("source")).alias("src"),
+                                     word_count(F.col("text")).alias("size")), "sizes")
+    count = sized.count()
     buckets = max(1, -(-count // DOCS_A_BUCKET))
     sized = sized.withColumn("bucket", F.expr(
         f"(pmod(coalesce(cast(doc_id as bigint), 0), {PRIME}) * 48271) % {PRIME} % {buckets}"))
@@ -53,8 +59,9 @@ def place_documents(docs: DataFrame) -> DataFrame:
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (sized.groupBy("src", "bucket").agg(F.sum("size").alias("n"))
               .select("src", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
-    return (sized.join(starts, ["src", "bucket"])
-            .select("doc_id", "source", "src", "size", (F.col("base") + F.col("local")).alias("start")))
+    placed = (sized.join(starts, ["src", "bucket"])
+              .select("doc_id", "source", "src", "size", (F.col("base") + F.col("local")).alias("start")))
+    return scratch.save(placed, "placed")
 
 
 def targets(placed: DataFrame, share: float = 1.5, cap: int = 2, cycle=CYCLE) -> DataFrame:
@@ -112,7 +119,7 @@ def draws(goals: DataFrame, block_words: int, shard_blocks: int, seed: int) -> D
     # One row a range first, so that a large source is not unrolled by one task.
     ranges = n.withColumn("from", F.explode(F.expr(
         f"sequence(cast(0 as bigint), draws - 1, cast({DRAWS_A_RANGE} as bigint))")))
-    ranges = ranges.repartition("src", "from")
+    ranges = ranges.repartition(shuffle_partitions(goals.sparkSession), "src", "from")
     each = ranges.withColumn("draw", F.explode(F.expr(
         f"sequence(from, least(from + {DRAWS_A_RANGE}, draws) - 1)")))
     each = each.selectExpr("*", "draw div blocks AS pass", "draw % blocks AS slot").selectExpr(
@@ -146,7 +153,8 @@ def mix_sources(placed: DataFrame, goals: DataFrame, block_words: int = 256,
     """
     drawn = draws(goals, block_words, shard_blocks, seed).withColumnRenamed("words", "limit")
     pieces = block_pieces(placed, block_words)
-    return (drawn.join(pieces, ["src", "block"])
+    # Both sides grow with the corpus, though they are unrolled from small tables.
+    return (drawn.hint("merge").join(pieces.hint("merge"), ["src", "block"])
             .withColumn("words", F.least("n", F.col("limit") - F.col("at"))).where("words > 0")
             .select("shard", "src", "draw", "pass", "block", "at", "doc_id", "start", "first", "words"))
 
