@@ -190,10 +190,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
 
     pairs = groups.select("node", "least").where("node <> least").distinct()
     first = verify(pairs, "first")
-    # Members unlike their group's smallest node meet again by this key and another one.
-    lost = groups.join(first.where("similar = 0"), ["node", "least"], "left_semi")
-    again = lost.join(keyed, "node").select(
-        "node", "band", "key", F.posexplode("keys").alias("band2", "key2")).where("band <> band2")
+    # Members unlike their group's smallest node meet again by this key and another one. Two
+    # nodes that share a key are both in its group, so only keys of groups can be shared.
+    lost = groups.join(first.where("similar = 0"), ["node", "least"], "left_semi").select("node", "band", "key")
+    other = groups.select("node", F.col("band").alias("band2"), F.col("key").alias("key2"))
+    again = lost.join(other, "node").where("band <> band2")
     again = again.select("node", F.xxhash64(
         F.least("band", "band2"), F.greatest("band", "band2"),
         F.when(F.col("band") < F.col("band2"), F.col("key")).otherwise(F.col("key2")),
