@@ -213,7 +213,8 @@ class QualityModel:
     def __init__(self, spark: SparkSession, docs: DataFrame, labels: DataFrame, held_out_of: int = 4,
                  held_out: int = 2, fit_rows: int = 20_000):
         """Labels (doc_id, quality) are learnt only from rows whose crc32(doc_id as text) mod
-        ``held_out_of`` is not ``held_out``; ``fit_rows`` bounds the labelled rows fitted."""
+        ``held_out_of`` is not ``held_out``; ``fit_rows`` bounds the labelled rows fitted (as an
+        expected number: each label is taken by a hash of its doc_id)."""
         scratch = Scratch(spark, "quality")
         remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % held_out_of
         self.is_held_out = F.coalesce(remainder == held_out, F.lit(False))
@@ -230,8 +231,11 @@ class QualityModel:
         marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y"))
         marked = marked.where("doc_id IS NOT NULL AND y IS NOT NULL").where(remainder != held_out)
         marked = marked.groupBy("doc_id").agg(F.avg("y").alias("y"))
-        fit = (self.features.join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(fit_rows)
-               .select("x", "y").collect())
+        # A share of the labels by hash, so that no task sends more than its part.
+        share = min(1.0, fit_rows / max(1, marked.count()))
+        marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+        fit = self.features.join(marked, "doc_id").select("doc_id", "x", "y").collect()
+        fit.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
         x = np.array([np.frombuffer(bytes(r["x"]), np.float32) for r in fit], np.float64).reshape(-1, FEATURES)
         self.network = Network().fit(x, np.array([r["y"] for r in fit], np.float64))
 
