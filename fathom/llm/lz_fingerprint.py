@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, ship_package, shuffle_partitions
+from fathom.session import ship_package
+
+from .common import mix, shuffle_partitions
 
 SIZE = 128
 NO_ID = np.iinfo(np.int64).min
