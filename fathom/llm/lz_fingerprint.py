@@ -17,7 +17,6 @@ document is its own successor; an empty table gives no rows.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark.sql import types as T
 
 from fathom.session import ship_package
 
-from .common import mix, shuffle_partitions
+from .common import BASE, BASE_INVERSE, _powers, mix, shuffle_partitions
 
 SIZE = 128
 NO_ID = np.iinfo(np.int64).min
@@ -36,45 +35,59 @@ SCHEMA = ("doc_id long, n_chars long, edited string, fingerprint string, "
           "edited_fingerprint string, near_edited double, near_next double")
 
 
-def parse(text: str, phrases: set[str], start: int = 0, mark: int | None = None):
-    """Add the phrases of ``text`` from ``start`` to ``phrases``.
+def parse(text: str, begin: int, node: dict, root: dict, journal: list | None = None) -> tuple[list[int], dict]:
+    """Parse ``text`` from ``begin``, inside the phrase that has come to ``node``.
 
-    Returns the state (place, phrases) before the first phrase that reaches beyond
-    ``mark``, from which a text with the same first ``mark`` characters can be parsed on.
-
-    All prefixes of a phrase are phrases, so the length of the next one is searched
-    for from the length of the last.
+    The dictionary is a trie of nested dicts at ``root``. Returns the ends of the phrases
+    completed and the node reached; a rest that is a known phrase completes none.
+    ``journal`` receives the nodes added, so that they can be taken out again.
     """
-    n, k, held = len(text), 1, None
-    while start < n:
-        if text[start:start + k] in phrases:
-            while text[start:start + k] in phrases:
-                k += 1
-                if start + k > n:
-                    break
+    ends: list[int] = []
+    ended, at = ends.append, begin
+    if journal is None:
+        for c in text[begin:] if begin else text:
+            at += 1
+            if c in node:
+                node = node[c]
+            else:
+                node[c] = {}
+                node = root
+                ended(at)
+        return ends, node
+    added = journal.append
+    for c in text[begin:]:
+        at += 1
+        if c in node:
+            node = node[c]
         else:
-            while k > 1 and text[start:start + k - 1] not in phrases:
-                k -= 1
-        end = start + k
-        if mark is not None and held is None and end > mark:
-            held = start, set(phrases)
-        if end > n:  # the rest is a known phrase
-            break
-        phrases.add(text[start:end])
-        start = end
-        if start + k > n:
-            k = max(1, n - start)
-    if mark is not None and held is None:
-        held = start, set(phrases)
-    return held
-
-
-def smallest_hashes(phrases: set[str], size: int = SIZE) -> np.ndarray:
-    """The ``size`` smallest 32-bit hashes of the phrases, ascending, distinct."""
-    crc = zlib.crc32
-    raw = np.array([crc(p.encode()) for p in phrases], np.uint64)
-    hashes = np.unique((mix(raw + np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32))
-    return hashes[:size]
+            node[c] = {}
+            added((node, c))
+            node = root
+            ended(at)
+    return ends, node
+
+
+def phrase_hashes(text: str, ends: list[int], begin: int = 0) -> np.ndarray:
+    """32-bit hashes of the phrases that end at ``ends``, the first from ``begin``."""
+    if not ends:
+        return np.zeros(0, np.uint32)
+    part = text[begin:ends[-1]]
+    codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(mix(codes.astype(np.uint64) + BASE) * _powers(BASE, len(codes))[:-1], out=sums[1:])
+    stops = np.array(ends) - begin
+    starts = np.concatenate([[0], stops[:-1]])
+    whole = (sums[stops] - sums[starts]) * _powers(BASE_INVERSE, len(codes))[starts]
+    return (mix(whole) >> np.uint64(32)).astype(np.uint32)
+
+
+def smallest(*hashes: np.ndarray, size: int = SIZE) -> np.ndarray:
+    """The ``size`` smallest distinct hashes, ascending."""
+    every = np.concatenate(hashes)
+    if len(every) > 4 * size:
+        # Repeats are few (phrases of one parse are distinct), so this many hold enough.
+        every = np.partition(every, 2 * size)[:2 * size]
+    return np.unique(every)[:size]
 
 
 def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
@@ -89,20 +102,27 @@ def as_text(hashes: np.ndarray) -> str:
 
 
 class _Parsed:
-    __slots__ = ("doc_id", "hashes", "held", "keep", "text")
+    """A parsed text whose dictionary waits for its edited text."""
+
+    __slots__ = ("doc_id", "hashes", "head", "journal", "keep", "node", "root", "start", "text")
 
     def __init__(self, doc_id, text: str):
         self.doc_id, self.text = doc_id, text
         self.keep = len(text) - len(text) // 3
-        phrases: set[str] = set()
-        self.held = parse(text, phrases, 0, self.keep)
-        self.hashes = smallest_hashes(phrases)
+        self.root: dict = {}
+        ends, self.node = parse(text[:self.keep], 0, self.root, self.root)
+        self.start = ends[-1] if ends else 0
+        self.head = phrase_hashes(text, ends)
+        self.journal: list = []
+        rest, _ = parse(text, self.keep, self.node, self.root, self.journal)
+        self.hashes = smallest(self.head, phrase_hashes(text, rest, self.start))
 
     def row(self, follower: _Parsed) -> tuple:
         edited = self.text[:self.keep] + follower.text[:len(self.text) - self.keep]
-        start, phrases = self.held
-        parse(edited, phrases, start)
-        changed = smallest_hashes(phrases)
+        for node, c in reversed(self.journal):
+            del node[c]
+        rest, _ = parse(edited, self.keep, self.node, self.root)
+        changed = smallest(self.head, phrase_hashes(edited, rest, self.start))
         return (None if self.doc_id == NO_ID else self.doc_id, len(self.text), edited,
                 as_text(self.hashes), as_text(changed), likeness(self.hashes, changed),
                 likeness(self.hashes, follower.hashes))
