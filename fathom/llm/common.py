@@ -118,10 +118,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    steps = np.full(n + 1, base, np.uint64)
-    steps[0] = 1
-    return np.cumprod(steps, dtype=np.uint64)
+    """The first n + 1 powers; kept for the life of a worker up to the longest asked for."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known) <= n:
+        steps = np.full(max(n, 1 << 16) + 1, base, np.uint64)
+        steps[0] = 1
+        known = np.cumprod(steps, dtype=np.uint64)
+        if n <= 1 << 23:
+            _POWERS[int(base)] = known
+    return known[:n + 1]
 
 
 def word_table(raws: list[bytes]):

@@ -87,14 +87,18 @@ def smallest(*hashes: np.ndarray, size: int = SIZE) -> np.ndarray:
     if len(every) > 4 * size:
         # Repeats are few (phrases of one parse are distinct), so this many hold enough.
         every = np.partition(every, 2 * size)[:2 * size]
-    return np.unique(every)[:size]
+    every = np.sort(every)
+    return every[np.flatnonzero(np.diff(every, prepend=~every[:1]))][:size]
 
 
 def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
-    both = np.union1d(a, b)[:size]
+    both = np.sort(np.concatenate([a, b]))
     if not len(both):
         return 1.0
-    return float((np.isin(both, a) & np.isin(both, b)).sum() / len(both))
+    again = np.diff(both, prepend=~both[:1]) == 0
+    union = np.cumsum(~again)
+    counted = union <= size
+    return float((again & counted).sum() / min(size, union[-1]))
 
 
 def as_text(hashes: np.ndarray) -> str:
