@@ -80,7 +80,7 @@ def context_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total = np.zeros(VOCABULARY * DIM, np.int64)
     for frame in frames:
         raws = [t.encode() for t in frame["text"]]
-        for lo, hi in batches(raws):
+        for lo, hi in batches(raws, 1 << 20):
             row, first = tokens(raws[lo:hi])
             owner = np.repeat(np.arange(hi - lo), np.diff(first))
             for step in range(1, REACH + 1):
@@ -123,11 +123,11 @@ def word_vectors(scratch: Scratch, texts: DataFrame) -> np.ndarray:
 def pooled(raws: list[bytes], vectors: np.ndarray) -> np.ndarray:
     """A feature row for each text."""
     out = np.zeros((len(raws), FEATURES), np.float32)
-    for lo, hi in batches(raws, 1 << 20):
+    for lo, hi in batches(raws, 1 << 18):
         row, first = tokens(raws[lo:hi])
         if not len(row):
             continue
-        v = vectors[row].astype(np.float64)
+        v = vectors[row]
         n = np.diff(first)
         some = np.flatnonzero(n)
         at = first[:-1][some]
