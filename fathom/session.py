@@ -6,9 +6,18 @@ import os
 
 from pyspark.sql import SparkSession
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+DEFAULT_ROWS, TEXT_ROWS = "10000", "1000"
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from the place the driver has it."""
+    """Let Python workers import this package from the place the driver has it.
+
+    Rows can hold long texts, so where the session has Spark's default, batches are made
+    smaller: a worker then holds some megabytes of text at a time.
+    """
+    if spark.conf.get(BATCH_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(BATCH_ROWS, TEXT_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = spark.sparkContext.environment
     known = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
