@@ -16,8 +16,9 @@ import tempfile
 import uuid
 
 import numpy as np
+import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathom.session import ship_package
@@ -25,6 +26,18 @@ from fathom.session import ship_package
 NULL_ID = np.iinfo(np.int64).max
 
 
+def id_columns() -> list[Column]:
+    """doc_id as a long that is never null, and no_id where it is: pandas would make
+    a column with nulls floating-point, and long ids inexact."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
+            F.col("doc_id").isNull().alias("no_id")]
+
+
+def ids_of(frame: pd.DataFrame) -> pd.arrays.IntegerArray:
+    """The ids of such columns, with their nulls."""
+    return pd.arrays.IntegerArray(frame["doc_id"].to_numpy(np.int64).copy(), frame["no_id"].to_numpy(bool).copy())
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor shares; a private one only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)

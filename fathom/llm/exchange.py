@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, shuffle_partitions
+from .common import Scratch, id_columns, shuffle_partitions
 
 MESSAGE = "chunk long, shard int, kind int, body binary, extra binary"
 REPLY = "chunk long, shard int, level int, kind int, bits binary"
@@ -27,7 +27,7 @@ class Exchange:
         self.scratch = Scratch(spark, name)
         parts = shuffle_partitions(spark)
         self.shards = 2 * parts
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+        rows = docs.select(*id_columns(),
                            F.coalesce(F.col("text"), F.lit("")).alias("text"),
                            F.monotonically_increasing_id().alias("row"))
         rows = rows.withColumn("chunk", F.expr(f"row div {chunk_rows}"))

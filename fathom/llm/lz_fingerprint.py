@@ -149,7 +149,7 @@ def _stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             last = None if guest else now
         if rows:
             got = pd.DataFrame(rows, columns=columns)
-            got["doc_id"] = pd.array(got["doc_id"].tolist(), "Int64")
+            got["doc_id"] = pd.array([r[0] for r in rows], "Int64")
             yield got
             rows = []
 

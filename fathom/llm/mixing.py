@@ -74,8 +74,8 @@ def targets(placed: DataFrame, share: float = 1.5, cap: int = 2, cycle=CYCLE) ->
     sizes = placed.groupBy("src").agg(F.sum("size").alias("source_size"))
     order = Window.orderBy(F.col("src") == "-", "src")
     weights = F.array(*[F.lit(w) for w in cycle])
-    weighed = (sizes.withColumn("rank", F.row_number().over(order))
-               .withColumn("weight", weights[(F.col("rank") - 1) % len(cycle)]))
+    weighed = (sizes.withColumn("rank", F.row_number().over(order).cast("long"))
+               .withColumn("weight", weights[((F.col("rank") - 1) % len(cycle)).cast("int")]))
     by_level = Window.orderBy(F.expr(f"{cap} * source_size / weight"), "rank")
     earlier = by_level.rowsBetween(Window.unboundedPreceding, -1)
     rest = by_level.rowsBetween(Window.currentRow, Window.unboundedFollowing)

@@ -10,10 +10,11 @@ only shingles in the same order, so one that falls with every edit.
 2. Each of ``sketches`` hash functions picks the ``sample`` smallest labelled shingles of a
    document and keeps them in text order; their hash is a key. Two documents of Jaccard
    similarity s agree on a key with a chance of about s ** sample.
-3. In each group with a key in common, all are paired with the group's smallest node.
-   Members that are not similar to it are regrouped by that key together with every
-   other key of theirs and paired again with the smallest of those groups. Pairs grow in
-   proportion to the documents.
+3. In each group with a key in common, all are paired with the group's head: the node with
+   the most company over all its groups, which in a group of copies is their source.
+   Where some member is not similar to the head, the group's members are regrouped by its
+   key together with that of one of the next bands, and paired with the heads
+   of those groups. Pairs grow in proportion to the documents.
 4. Pairs are verified by alignment in a band: unless |i - j| <= (n + m) (1 - t) / (1 + t)
    for all matched places the similarity is under t, so the band loses nothing. On distinct
    elements the alignment is a longest increasing subsequence.
@@ -34,7 +35,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, Scratch, batches, connected_components, mix, word_table
+from .common import NULL_ID, Scratch, batches, connected_components, id_columns, ids_of, mix, word_table
+
+NEXT_BANDS = 3
 
 _RNG = np.random.default_rng(99)
 SALTS = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -138,11 +141,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
             for words in _word_hashes(list(frame["text"])):
                 sizes.append(len(words))
                 keys.append(order_keys(shingles(words, k), sketches, sample).tobytes() if len(words) else None)
-            yield pd.DataFrame({"row": frame["row"], "doc_id": frame["doc_id"].astype("Int64"),
+            yield pd.DataFrame({"row": frame["row"], "doc_id": ids_of(frame),
                                 "node": frame["node"], "n_words": sizes, "keys": keys})
 
     named = rows.withColumn("node", F.xxhash64("text"))
-    sketched = scratch.save(named.select(F.monotonically_increasing_id().alias("row"), "doc_id", "node", "text").mapInPandas(
+    sketched = scratch.save(named.select(F.monotonically_increasing_id().alias("row"), *id_columns(), "node", "text").mapInPandas(
         sketch, "row long, doc_id long, node long, n_words long, keys binary"), "sketches")
     nodes = sketched.groupBy("node").agg(
         F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("low"), F.count("*").alias("copies"),
@@ -158,9 +161,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
     keyed = nodes.where("keys IS NOT NULL").select("node", "keys").mapInPandas(listed, "node long, keys array<long>")
     keyed = scratch.save(keyed, "keys")
     single = keyed.select("node", F.posexplode("keys").alias("band", "key"))
-    groups = scratch.save(_with_least(single, ["band", "key"]), "groups")
+    weights, groups = _with_heads(single, ["band", "key"], None)
+    weights, groups = scratch.save(weights, "weights"), scratch.save(groups, "groups")
     # The texts of nodes in some group, one for each: by the row with the smallest id.
-    wanted = groups.select("node").unionAll(groups.select(F.col("least").alias("node"))).distinct()
+    wanted = weights.select("node")
     chosen = nodes.select("node", "low").join(wanted, "node", "left_semi")
     texts = (named.withColumn("low", F.coalesce("doc_id", F.lit(NULL_ID)))
              .join(chosen, ["node", "low"], "left_semi").select("node", "text"))
@@ -171,37 +175,39 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         left = texts.select(F.col("node"), F.col("text").alias("a"))
-        right = texts.select(F.col("node").alias("least"), F.col("text").alias("b"))
-        both = pairs.join(left, "node").join(right, "least")
+        right = texts.select(F.col("node").alias("head"), F.col("text").alias("b"))
+        both = pairs.join(left, "node").join(right, "head")
 
         def align(frames):
             for frame in frames:
                 seqs = {}
-                for name, text in (("node", "a"), ("least", "b")):
+                for name, text in (("node", "a"), ("head", "b")):
                     some = frame.drop_duplicates(name)
                     hashes = _word_hashes(list(some[text]))
                     seqs |= {n: shingles(w, k) for n, w in zip(some[name], hashes, strict=True)}
                 out = [similarity(seqs[a], seqs[b], threshold)
-                       for a, b in zip(frame["node"], frame["least"], strict=True)]
-                yield pd.DataFrame({"node": frame["node"], "least": frame["least"], "similar": np.array(out, float)})
+                       for a, b in zip(frame["node"], frame["head"], strict=True)]
+                yield pd.DataFrame({"node": frame["node"], "head": frame["head"], "similar": np.array(out, float)})
 
-        return scratch.save(both.select("node", "least", "a", "b").mapInPandas(
-            align, "node long, least long, similar double"), name)
+        return scratch.save(both.select("node", "head", "a", "b").mapInPandas(
+            align, "node long, head long, similar double"), name)
 
-    pairs = groups.select("node", "least").where("node <> least").distinct()
+    pairs = groups.select("node", "head").where("node <> head").distinct()
     first = verify(pairs, "first")
-    # Members unlike their group's smallest node meet again by this key and another one. Two
-    # nodes that share a key are both in its group, so only keys of groups can be shared.
-    lost = groups.join(first.where("similar = 0"), ["node", "least"], "left_semi").select("node", "band", "key")
-    other = groups.select("node", F.col("band").alias("band2"), F.col("key").alias("key2"))
-    again = lost.join(other, "node").where("band <> band2")
-    again = again.select("node", F.xxhash64(
-        F.least("band", "band2"), F.greatest("band", "band2"),
-        F.when(F.col("band") < F.col("band2"), F.col("key")).otherwise(F.col("key2")),
-        F.when(F.col("band") < F.col("band2"), F.col("key2")).otherwise(F.col("key"))).alias("key")).distinct()
-    more = _with_least(again, ["key"]).select("node", "least").where("node <> least").distinct()
-    second = verify(more.join(first, ["node", "least"], "left_anti"), "second")
-    links = first.unionAll(second).where("similar > 0").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    # Members of a group in which some aren't similar to its head meet again by its key and that
+    # of one of the next bands. Two nodes that share many keys share two such ones.
+    lost = groups.join(first.where("similar = 0"), ["node", "head"], "left_semi").select("band", "key").distinct()
+    flagged = groups.join(lost.withColumn("lost", F.lit(True)), ["band", "key"], "left")
+    mine = flagged.groupBy("node").agg(F.collect_list(F.struct("band", "key", F.coalesce("lost", F.lit(False)).alias("lost"))).alias("own"))
+    twice = mine.where("exists(own, o -> o.lost)").select("node", F.explode(F.expr(f"""
+        flatten(transform(own, a -> transform(filter(own, b -> (a.lost OR b.lost)
+          AND pmod(b.band - a.band, {sketches}) BETWEEN 1 AND {NEXT_BANDS}), b -> xxhash64(a.band, a.key, b.band, b.key))))""")).alias("key"))
+    _, more = _with_heads(twice, ["key"], weights)
+    more = more.select("node", "head").where("node <> head").distinct()
+    # A pair seen from its other end is the same pair.
+    seen = first.select("node", "head").unionAll(first.select(F.col("head").alias("node"), F.col("node").alias("head")))
+    second = verify(more.join(seen, ["node", "head"], "left_anti"), "second")
+    links = first.unionAll(second).where("similar > 0").select(F.col("node").alias("a"), F.col("head").alias("b"))
     classes = connected_components(spark, scratch.save(links, "links"), scratch)
     members = nodes.select("node", "low", "copies").join(classes, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
@@ -229,11 +235,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, **how) -> DataFra
     return joined.dropDuplicates(["_fathom_id", "_fathom_hash"]).select(*docs.columns)
 
 
-def _with_least(keyed: DataFrame, by: list[str]) -> DataFrame:
-    """Rows of groups of two nodes or more, with the group's smallest node."""
-    least = keyed.groupBy(*by).agg(F.min("node").alias("least"), F.max("node").alias("most")).where(
-        "least < most").drop("most")
-    return keyed.join(least, by)
+def _with_heads(keyed: DataFrame, by: list[str], weights: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Rows of groups of two nodes or more, with the group's head: its heaviest node.
+
+    A node weighs the sizes of all its groups, so the head of a group of copies is the text the
+    others were made from rather than any copy. Also returns (node, weight).
+    """
+    sizes = keyed.groupBy(*by).agg(F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("most")).where(
+        "least < most").drop("least", "most")
+    members = keyed.join(sizes, by)
+    if weights is None:
+        weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    heads = members.join(weights, "node").groupBy(*by).agg(
+        F.max(F.struct("weight", "node"))["node"].alias("head"))
+    return weights, members.drop("n").join(heads, by)
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 
 from fathom.session import ship_package
 
+from .common import id_columns
+
 WINDOW = 2048
 END_ID = 1
 BLOCK_TOKENS = 4_000_000
@@ -218,14 +220,14 @@ def pack_tokens(spark: SparkSession, docs: DataFrame, vocabulary: str | None = N
             held = 0
             got = pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens",
                                               "sequence_id", "offset", "sequence_length", "ids"])
-            got["doc_id"] = pd.array([None if x is None else int(x) for x in got["doc_id"]], "Int64")
+            got["doc_id"] = pd.array([r[0] for r in rows], "Int64")
             return got
 
         for frame in frames:
-            for doc, text in zip(frame["doc_id"], frame["text"], strict=True):
+            for doc, no_id, text in zip(frame["doc_id"], frame["no_id"], frame["text"], strict=True):
                 got = bpe.encode_ordinary(text)
                 got.append(end_id)
-                names.append(None if pd.isna(doc) else doc)
+                names.append(None if no_id else int(doc))
                 ids.append(np.array(got, "<u4"))
                 held += len(got)
                 if held >= block_tokens:
@@ -233,7 +235,7 @@ def pack_tokens(spark: SparkSession, docs: DataFrame, vocabulary: str | None = N
         if ids:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    return docs.select(*id_columns(),
                        F.coalesce("text", F.lit("")).alias("text")).mapInPandas(pack, SCHEMA)
 
 

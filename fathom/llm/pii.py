@@ -9,9 +9,9 @@ cover (phones without a plus, cards with other separators, spaced addresses), wi
 look-alikes such as hexadecimal keys as negatives.
 
 All labelled spans hold a digit or an at sign, so a window without either has no
-span; overlapping windows are laid over all others. Each is decoded, each character takes
-the tag of the window it is most central in, and the spans of the reconciled tags are
-added where they touch no base span.
+span; overlapping windows are laid over all others. Each is decoded; of the spans that all
+windows of a text offer whole, the most central ones in their windows are taken as long as
+they don't overlap, and added where they touch no base span.
 
 Edge cases: null text is empty and has no spans; equal rows get equal rows; very long
 texts are windowed whole; null doc_ids pass through; an empty table gives no rows.
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 from fathom.session import ship_package
 
+from .common import id_columns, ids_of
+
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -306,32 +308,37 @@ def reconciled_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, i
         part = encode(texts[i][begin:begin + WINDOW])
         code[:len(part)] = part
         codes.append(code)
-    best: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
+    offered: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
     for lo in range(0, len(codes), 512):
         got = tagger.decode(np.array(codes[lo:lo + 512]))
         for (i, begin), tags in zip(places[lo:lo + 512], got, strict=True):
-            own = best[i]
-            for k in np.flatnonzero(tags[:len(texts[i]) - begin] if len(texts[i]) - begin < WINDOW else tags >= 0).tolist():
-                off = abs(2 * k - WINDOW + 1)
-                known = own.get(begin + k)
-                if known is None or off < known[0]:
-                    own[begin + k] = (off, int(tags[k]))
+            size = min(WINDOW, len(texts[i]) - begin)
+            for s, kind, e in window_spans(tags[:size]):
+                # A span cut off by its window is whole in another one.
+                if (s > 0 or begin == 0) and (e < size or begin + size == len(texts[i])):
+                    offered[i].append((abs(s + e - WINDOW), begin + s, kind, begin + e))
     out = []
-    for own in best:
-        spans: list[list[int]] = []
-        for at in sorted(own):
-            tag = own[at][1]
-            if not tag:
-                continue
-            kind = (tag - 1) // 2
-            if spans and spans[-1][2] == at and spans[-1][1] == kind and tag % 2 == 0:
-                spans[-1][2] = at + 1
-            else:
-                spans.append([at, kind, at + 1])
-        out.append([tuple(s) for s in spans])
+    for spans in offered:
+        taken: list[tuple[int, int, int]] = []
+        for _, s, kind, e in sorted(set(spans)):  # the most central first
+            if all(s >= t[2] or e <= t[0] for t in taken):
+                taken.append((s, kind, e))
+        out.append(sorted(taken))
     return out
 
 
+def window_spans(tags: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the runs of tags of one kind; a begin tag starts a new one."""
+    spans: list[list[int]] = []
+    for at in np.flatnonzero(tags).tolist():
+        kind, inside = (int(tags[at]) - 1) // 2, int(tags[at]) % 2 == 0
+        if inside and spans and spans[-1][2] == at and spans[-1][1] == kind:
+            spans[-1][2] = at + 1
+        else:
+            spans.append([at, kind, at + 1])
+    return [(s, k, e) for s, k, e in spans]
+
+
 def plausible(kind: int, piece: str) -> bool:
     """Whether a span found by the network passes its kind's own test."""
     digits = NOT_DIGIT.sub("", piece)
@@ -367,7 +374,7 @@ def find_pii(spark: SparkSession, docs: DataFrame, fit_rows: int = 400) -> DataF
     spans the network is trained from.
     """
     ship_package(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select(*id_columns(), F.coalesce("text", F.lit("")).alias("text"))
     contexts = F.expr("slice(regexp_extract_all(text, '(?s).{0,40}[0-9@].{0,40}', 0), 1, 4)")
     # A share by hash first, so that no task sends many rows; about one text in ten has a trigger.
     share = min(1.0, 64 * fit_rows / max(1, texts.count()))
@@ -389,7 +396,7 @@ def find_pii(spark: SparkSession, docs: DataFrame, fit_rows: int = 400) -> DataF
                     rows.append(([KINDS[s[1]] for s in every], [s[0] for s in every],
                                  [s[2] for s in every], [s[3] for s in every]))
                 got = pd.DataFrame(rows, columns=["kinds", "starts", "ends", "added"])
-                got.insert(0, "doc_id", part["doc_id"].astype("Int64").array)
+                got.insert(0, "doc_id", ids_of(part))
                 yield got
 
     return texts.mapInPandas(find, SCHEMA)

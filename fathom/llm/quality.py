@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batches, mix
+from .common import Scratch, batches, id_columns, ids_of, mix
 
 VOCABULARY = 1 << 15
 DIM = 32
@@ -218,14 +218,14 @@ class QualityModel:
         scratch = Scratch(spark, "quality")
         remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % held_out_of
         self.is_held_out = F.coalesce(remainder == held_out, F.lit(False))
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        texts = docs.select(*id_columns(), F.coalesce("text", F.lit("")).alias("text"))
         self.vectors = spark.sparkContext.broadcast(word_vectors(scratch, texts.select("text")))
         shared = self.vectors
 
         def describe(frames):
             for frame in frames:
                 got = pooled([t.encode() for t in frame["text"]], shared.value)
-                yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "x": [r.tobytes() for r in got]})
+                yield pd.DataFrame({"doc_id": ids_of(frame), "x": [r.tobytes() for r in got]})
 
         self.features = scratch.save(texts.mapInPandas(describe, "doc_id long, x binary"), "features")
         marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y"))
@@ -246,9 +246,9 @@ class QualityModel:
         def score(frames):
             for frame in frames:
                 x = np.frombuffer(b"".join(frame["x"]), np.float32).reshape(-1, FEATURES).astype(np.float64)
-                yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "score": net.score(x)})
+                yield pd.DataFrame({"doc_id": ids_of(frame), "score": net.score(x)})
 
-        return self.features.mapInPandas(score, "doc_id long, score double")
+        return self.features.select(*id_columns(), "x").mapInPandas(score, "doc_id long, score double")
 
     def score_of(self, text: Column) -> Column:
         """The score of a text column, for filtering without a join."""

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, batches, mix, pack, pack_sorted, unpack, unpack_sorted, word_table
+from .common import NULL_ID, batches, ids_of, mix, pack, pack_sorted, unpack, unpack_sorted, word_table
 from .exchange import Exchange, split_keys
 
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_text string"
@@ -139,7 +139,7 @@ def remove_repeated_words(spark: SparkSession, docs: DataFrame, window_words: in
 
     def send_last(docs, replies):
         c = _Chunk(docs, levels, shards, replies)
-        ids = docs["doc_id"].fillna(NULL_ID).to_numpy(np.int64)
+        ids = docs["doc_id"].to_numpy(np.int64)
         least = np.full(len(c.distinct), NULL_ID)
         np.minimum.at(least, c.inverse, ids[c.owner[c.at]])
         for s in range(shards):
@@ -165,7 +165,7 @@ def remove_repeated_words(spark: SparkSession, docs: DataFrame, window_words: in
 
     def cut(docs, replies):
         c = _Chunk(docs, levels, shards, replies)
-        ids = docs["doc_id"].fillna(NULL_ID).to_numpy(np.int64)
+        ids = docs["doc_id"].to_numpy(np.int64)
         mine = c.repeated(last, replies)
         # The chunk's own first occurrence of a key that starts here first stays.
         order = np.lexsort((c.at, ids[c.owner[c.at]], c.inverse))
@@ -178,14 +178,14 @@ def remove_repeated_words(spark: SparkSession, docs: DataFrame, window_words: in
         np.add.at(cover, later + window_words, -1)
         gone = np.cumsum(cover)[:-1] > 0
         out = []
-        for i, (doc, text) in enumerate(zip(docs["doc_id"], docs["text"], strict=True)):
+        for i in range(len(c.raws)):
             lo, hi = c.first[i], c.first[i + 1]
             lost = gone[lo:hi]
             words = _words(c.raws[i])
             kept = [w for w, x in zip(words, lost, strict=True) if not x] if lost.any() else words
-            out.append((doc, hi - lo, int(lost.sum()), b" ".join(kept).decode()))
-        got = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_text"])
-        got["doc_id"] = docs["doc_id"].astype("Int64").array
+            out.append((hi - lo, int(lost.sum()), b" ".join(kept).decode()))
+        got = pd.DataFrame(out, columns=["n_words", "n_removed", "kept_text"])
+        got.insert(0, "doc_id", ids_of(docs))
         return got
 
     return ex.finish(cut, SCHEMA)

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, mix, pack, pack_sorted, unpack, unpack_sorted
+from .common import batches, ids_of, mix, pack, pack_sorted, unpack, unpack_sorted
 from .exchange import Exchange, split_keys
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -306,7 +306,7 @@ def remove_repeated_bytes(spark: SparkSession, docs: DataFrame, match_bytes: int
             spans = int(np.count_nonzero(np.diff(lost.astype(np.int8), prepend=0) == 1))
             out.append((hi - lo, n, spans, text[lo:hi][~lost].tobytes() if n else c.raws[i]))
         got = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
-        got.insert(0, "doc_id", docs["doc_id"].astype("Int64").array)
+        got.insert(0, "doc_id", ids_of(docs))
         return got
 
     return ex.finish(cut, SCHEMA)
