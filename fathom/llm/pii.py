@@ -202,7 +202,7 @@ class Tagger:
         np.add.at(g["emb"], ids, dx)
         return float(z.sum() - gold) / b, {k: v / b for k, v in g.items()}
 
-    def fit(self, ids: np.ndarray, tags: np.ndarray, steps: int = 240, batch: int = 48, rate: float = 0.015) -> Tagger:
+    def fit(self, ids: np.ndarray, tags: np.ndarray, steps: int = 400, batch: int = 32, rate: float = 0.03) -> Tagger:
         rng = np.random.default_rng(8)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}

@@ -37,6 +37,7 @@ SPARSE = 4
 REACH = 2
 ROW_BLOCKS = 32
 FEATURES = 2 * DIM + 3
+SLICE = 1 << 17
 
 _CLASS = np.zeros(256, np.uint8)  # 0: white space, 1: letter, 2: digit, 3: other marks
 _CLASS[33:] = 3
@@ -86,9 +87,11 @@ def context_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for step in range(1, REACH + 1):
                 near = owner[:-step] == owner[step:]
                 a, b = row[:-step][near], row[step:][near]
-                for k in range(SPARSE):
-                    for u, v in ((a, b), (b, a)):
-                        total += np.bincount(u * DIM + place[v, k], sign[v, k], len(total)).astype(np.int64)
+                for at in range(0, len(a), 1 << 20):
+                    x, y = a[at:at + (1 << 20)], b[at:at + (1 << 20)]
+                    for k in range(SPARSE):
+                        for u, v in ((x, y), (y, x)):
+                            total += np.bincount(u * DIM + place[v, k], sign[v, k], len(total)).astype(np.int64)
     rows = VOCABULARY * DIM // ROW_BLOCKS
     for k in range(ROW_BLOCKS):
         part = total[k * rows:(k + 1) * rows]
@@ -121,31 +124,42 @@ def word_vectors(scratch: Scratch, texts: DataFrame) -> np.ndarray:
 
 
 def pooled(raws: list[bytes], vectors: np.ndarray) -> np.ndarray:
-    """A feature row for each text."""
+    """A feature row for each text. Sums are taken in double precision, in slices of tokens that
+    start anew in every text, so a text's row does not depend on its neighbours."""
     out = np.zeros((len(raws), FEATURES), np.float32)
     for lo, hi in batches(raws, 1 << 18):
         row, first = tokens(raws[lo:hi])
         if not len(row):
             continue
-        v = vectors[row]
         n = np.diff(first)
-        some = np.flatnonzero(n)
-        at = first[:-1][some]
-        mean = np.add.reduceat(v, at) / n[some, None]
-        square = np.add.reduceat(v * v, at) / n[some, None]
-        dots = np.zeros(len(row))
-        dots[:-1] = np.einsum("ij,ij->i", v[:-1], v[1:])
-        dots[first[1:][some] - 1] = 0
-        near = np.add.reduceat(dots, at) / np.maximum(1, n[some] - 1)
-        out[lo + some, :DIM] = mean
-        out[lo + some, DIM:2 * DIM] = np.sqrt(np.maximum(0, square - mean**2))
-        again = np.zeros(len(row), bool)
         owner = np.repeat(np.arange(len(n)), n)
+        again, near = np.zeros(len(row), bool), np.zeros(len(row))
         for step in (1, 2, 3):
             again[step:] |= (row[step:] == row[:-step]) & (owner[step:] == owner[:-step])
-        out[lo + some, 2 * DIM] = near
-        out[lo + some, 2 * DIM + 2] = np.add.reduceat(again.astype(float), at) / n[some]
+        some = np.flatnonzero(n)
+        total, square = np.zeros((2, len(some), DIM))
+        # Slices: each text's own, of at most SLICE tokens (a batch of several texts is shorter).
+        cuts = np.unique(np.concatenate([first[:-1][some], np.arange(0, len(row), SLICE)])) if len(some) == 1 else first[:-1][some]
+        ends = np.append(cuts[1:], len(row))
+        for group in np.array_split(np.arange(len(cuts)), max(1, len(row) // SLICE)):
+            if not len(group):
+                continue
+            begin, end = cuts[group[0]], ends[group[-1]]
+            v = vectors[row[begin:end]].astype(np.float64)
+            place = np.searchsorted(first[:-1][some], cuts[group], side="right") - 1
+            np.add.at(total, place, np.add.reduceat(v, cuts[group] - begin))
+            np.add.at(square, place, np.add.reduceat(v * v, cuts[group] - begin))
+            near[begin:end - 1] = np.einsum("ij,ij->i", v[:-1], v[1:])
+            if end < len(row):
+                near[end - 1] = vectors[row[end - 1]].astype(np.float64) @ vectors[row[end]].astype(np.float64)
+        near[first[1:][some] - 1] = 0
+        at = first[:-1][some]
+        mean = total / n[some, None]
+        out[lo + some, :DIM] = mean
+        out[lo + some, DIM:2 * DIM] = np.sqrt(np.maximum(0, square / n[some, None] - mean**2))
+        out[lo + some, 2 * DIM] = np.add.reduceat(near, at) / np.maximum(1, n[some] - 1)
         out[lo + some, 2 * DIM + 1] = np.log1p(n[some]) / 10
+        out[lo + some, 2 * DIM + 2] = np.add.reduceat(again.astype(float), at) / n[some]
     return out
 
 

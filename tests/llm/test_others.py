@@ -130,6 +130,16 @@ def test_quality_edges(spark):
     assert quality.score_quality(spark, cases.empty(spark), labels).count() == 0
 
 
+def test_pooling_of_a_long_text():
+    rng = np.random.default_rng(1)
+    vectors = rng.standard_normal((quality.VOCABULARY, quality.DIM)).astype(np.float32)
+    raw = " ".join(f"w{x}" for x in rng.integers(0, 5000, 150_000)).encode()
+    got = quality.pooled([b"short one", raw, b"other"], vectors)[1]
+    v = vectors[quality.tokens([raw])[0]].astype(np.float64)
+    assert np.allclose(got[:quality.DIM], v.mean(axis=0), atol=1e-5) and np.allclose(got[quality.DIM:2 * quality.DIM], v.std(axis=0), atol=1e-5)
+    assert np.isclose(got[2 * quality.DIM], (v[1:] * v[:-1]).sum() / (len(v) - 1), atol=1e-5)
+
+
 def test_pooling_does_not_depend_on_batches():
     rng = random.Random(5)
     raws = [cases.prose(rng, rng.randint(0, 300)).encode() for _ in range(50)] + [b"", b" "]
@@ -399,6 +409,25 @@ def test_least_squares_finds_exact_counts():
 
 
 # ---------------------------------------------------------------- pipeline
+@pytest.fixture(scope="module")
+def labelled(tmp_path_factory, spark):
+    folder = str(tmp_path_factory.mktemp("labels"))
+    spark.createDataFrame([(-5, 1, 0), (4, 1, 0), (7, 1, 0), (10, 1, 0), (13, 1, 0), (16, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("at", range(len(corpus_pipeline.STAGES)))
+def test_stages_take_any_rows(spark, labelled, at):
+    name, stage = corpus_pipeline.STAGES[at]
+    out = stage(spark, cases.with_clashes(cases.frame(spark)), labelled)
+    rows = out.collect()
+    if at < 4:
+        assert tuple(out.columns) == corpus_pipeline.COLUMNS, name
+        assert all(r.n_chars == len(r.text) for r in rows if r.text and at in (1, 3))
+    assert rows
+    assert stage(spark, cases.empty(spark), labelled).count() == 0
+
+
 def test_pipeline_stages_compose(spark):
     sf = f"{DATA}/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
