@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -23,3 +25,30 @@ def ship_package(spark: SparkSession) -> None:
     known = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
     if root not in known.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system.
+
+    Workers outlive their tasks, and allocators keep what a task has freed; an executor
+    that runs one operator after another would hold the peaks of all.
+    """
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over an iterator of batches that gives its memory back at the end."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
+    return run
