@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathom.session import release_memory
+
 from .common import Scratch, id_columns, shuffle_partitions
 
 MESSAGE = "chunk long, shard int, kind int, body binary, extra binary"
@@ -39,12 +41,18 @@ class Exchange:
         """``work(chunk, documents in row order, replies so far)`` for every chunk."""
 
         def alone(key, left):
-            return work(key[0], left.sort_values("row"), None)
+            try:
+                return work(key[0], left.sort_values("row"), None)
+            finally:
+                release_memory()
 
         def both(key, left, right):
             if not len(left):
                 return pd.DataFrame({})
-            return work(key[0], left.sort_values("row"), right)
+            try:
+                return work(key[0], left.sort_values("row"), right)
+            finally:
+                release_memory()
 
         if self.replies is None:
             return self.store.groupBy("chunk").applyInPandas(alone, schema)
@@ -67,6 +75,7 @@ class Exchange:
                 bits = answer(kind, list(part["body"]), list(part["extra"]))
                 out += [(c, int(key[0]), level, kind, b)
                         for c, b in zip(part["chunk"], bits, strict=True) if b is not None]
+            release_memory()
             return pd.DataFrame(out, columns=["chunk", "shard", "level", "kind", "bits"])
 
         messages = self.visit(sending, MESSAGE)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathom.session import ship_package
+from fathom.session import lean, ship_package
 
 from .common import BASE, BASE_INVERSE, _powers, mix, shuffle_partitions
 
@@ -188,7 +188,7 @@ def fingerprint_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = rows.select("key", "text", F.posexplode(to("key")).alias("guest", "bucket"))
     rows = rows.repartition(parts, "bucket").sortWithinPartitions(
         "bucket", "guest", F.col("key").desc(), "text")
-    return rows.select("bucket", "guest", "key", "text").mapInPandas(_stream, SCHEMA)
+    return rows.select("bucket", "guest", "key", "text").mapInPandas(lean(_stream), SCHEMA)
 
 
 def op5_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathom.session import lean
+
 from .common import NULL_ID, Scratch, batches, connected_components, id_columns, ids_of, mix, word_table
 
 NEXT_BANDS = 3
@@ -146,7 +148,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
 
     named = rows.withColumn("node", F.xxhash64("text"))
     sketched = scratch.save(named.select(F.monotonically_increasing_id().alias("row"), *id_columns(), "node", "text").mapInPandas(
-        sketch, "row long, doc_id long, node long, n_words long, keys binary"), "sketches")
+        lean(sketch), "row long, doc_id long, node long, n_words long, keys binary"), "sketches")
     nodes = sketched.groupBy("node").agg(
         F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("low"), F.count("*").alias("copies"),
         F.min("keys").alias("keys"))
@@ -190,7 +192,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
                 yield pd.DataFrame({"node": frame["node"], "head": frame["head"], "similar": np.array(out, float)})
 
         return scratch.save(both.select("node", "head", "a", "b").mapInPandas(
-            align, "node long, head long, similar double"), name)
+            lean(align), "node long, head long, similar double"), name)
 
     pairs = groups.select("node", "head").where("node <> head").distinct()
     first = verify(pairs, "first")

@@ -33,7 +33,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.session import ship_package
+from fathom.session import lean, ship_package
 
 from .common import id_columns
 
@@ -236,7 +236,7 @@ def pack_tokens(spark: SparkSession, docs: DataFrame, vocabulary: str | None = N
             yield flush()
 
     return docs.select(*id_columns(),
-                       F.coalesce("text", F.lit("")).alias("text")).mapInPandas(pack, SCHEMA)
+                       F.coalesce("text", F.lit("")).alias("text")).mapInPandas(lean(pack), SCHEMA)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.session import ship_package
+from fathom.session import lean, ship_package
 
 from .common import id_columns, ids_of
 
@@ -399,7 +399,7 @@ def find_pii(spark: SparkSession, docs: DataFrame, fit_rows: int = 400) -> DataF
                 got.insert(0, "doc_id", ids_of(part))
                 yield got
 
-    return texts.mapInPandas(find, SCHEMA)
+    return texts.mapInPandas(lean(find), SCHEMA)
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathom.session import lean, release_memory
+
 from .common import Scratch, batches, id_columns, ids_of, mix
 
 VOCABULARY = 1 << 15
@@ -106,7 +108,7 @@ def _add_blocks(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
 
 def word_vectors(scratch: Scratch, texts: DataFrame) -> np.ndarray:
     """Unit word vectors from all texts; VOCABULARY x DIM, whatever the corpus."""
-    partial = texts.mapInPandas(context_counts, "block int, part int, body binary")
+    partial = texts.mapInPandas(lean(context_counts), "block int, part int, body binary")
     # Sums of 64 tasks first, so that no task adds up all tasks' blocks of a large corpus.
     halfway = partial.groupBy("block", "part").applyInPandas(_add_blocks, "block int, body binary")
     blocks = scratch.save(halfway.groupBy("block").applyInPandas(_add_blocks, "block int, body binary"), "context")
@@ -241,7 +243,7 @@ class QualityModel:
                 got = pooled([t.encode() for t in frame["text"]], shared.value)
                 yield pd.DataFrame({"doc_id": ids_of(frame), "x": [r.tobytes() for r in got]})
 
-        self.features = scratch.save(texts.mapInPandas(describe, "doc_id long, x binary"), "features")
+        self.features = scratch.save(texts.mapInPandas(lean(describe), "doc_id long, x binary"), "features")
         marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y"))
         marked = marked.where("doc_id IS NOT NULL AND y IS NOT NULL").where(remainder != held_out)
         marked = marked.groupBy("doc_id").agg(F.avg("y").alias("y"))
@@ -269,7 +271,9 @@ class QualityModel:
         net, shared = self.network, self.vectors
 
         def score(part: pd.Series) -> pd.Series:
-            return pd.Series(net.score(pooled([t.encode() for t in part], shared.value).astype(np.float64)))
+            got = net.score(pooled([t.encode() for t in part], shared.value).astype(np.float64))
+            release_memory()
+            return pd.Series(got)
 
         return F.pandas_udf(score, "double")(F.coalesce(text, F.lit("")))
 
