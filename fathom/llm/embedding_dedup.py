@@ -32,6 +32,9 @@ from pyspark.sql import functions as F
 from .common import NULL_ID, Scratch, connected_components
 
 
+CODE_SEED = 5
+
+
 def rotation(dim: int, seed: int) -> np.ndarray:
     """A random orthogonal matrix."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
@@ -63,13 +66,20 @@ def plan_tables(n: int, threshold: float, miss: float) -> tuple[int, int]:
     return math.ceil(math.log(miss) / math.log(1 - same)), bits
 
 
-def linked_pairs(x: np.ndarray, cells: np.ndarray, table: int, left: np.ndarray, right: np.ndarray,
-                 threshold: float, sigmas: float, turn: np.ndarray):
+def encode(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes (packed sign bits of the rotated unit vectors) and their correction factors."""
+    turned = x @ rotation(x.shape[1], CODE_SEED)
+    signs = turned > 0
+    # The factor is the inner product of vector and code; at least 1 / sqrt(dim).
+    factor = np.abs(turned).sum(axis=1) / math.sqrt(x.shape[1])
+    return np.packbits(signs, axis=1), factor
+
+
+def linked_pairs(x: np.ndarray, bits: np.ndarray, factor: np.ndarray, cells: np.ndarray, table: int, left: np.ndarray,
+                 right: np.ndarray, threshold: float, sigmas: float, turned: np.ndarray):
     """Index pairs (i of ``left``, j of ``right``) linked, first met in ``table``."""
     dim = x.shape[1]
-    turned = x @ turn
-    code = np.where(turned > 0, 1.0, -1.0) / math.sqrt(dim)
-    factor = np.einsum("ij,ij->i", turned, code)  # never 0: at least 1 / sqrt(dim)
+    code = np.where(np.unpackbits(bits, axis=1, count=dim).astype(bool), 1.0, -1.0) / math.sqrt(dim)
     spread = np.sqrt(np.maximum(0, 1 - factor**2)) / factor / math.sqrt(max(1, dim - 1))
     estimate = (code[left] / factor[left, None]) @ turned[right].T
     i, j = np.nonzero(estimate + sigmas * spread[left, None] >= threshold)
@@ -128,6 +138,15 @@ def link_embeddings(spark: SparkSession, vectors: DataFrame, threshold: float =
         x /= np.abs(x).max(axis=1, keepdims=True)
         return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
+    def code(frames):
+        for frame in frames:
+            for _, part in frame.groupby(frame["v"].map(len)):
+                bits, factor = encode(unit(part))
+                yield part.assign(code=[b.tobytes() for b in bits], factor=factor)
+
+    # Codes and correction factors are stored with their vectors, once.
+    coded = scratch.save(nodes.mapInPandas(code, "node long, v array<double>, copies long, low long, code binary, factor double"), "coded")
+
     def deal(frames):
         for frame in frames:
             for _, part in frame.groupby(frame["v"].map(len)):
@@ -139,14 +158,15 @@ def link_embeddings(spark: SparkSession, vectors: DataFrame, threshold: float =
                         "t": np.tile(np.arange(tables), len(some)), "cell": own.ravel(),
                         "node": np.repeat(some["node"].to_numpy(), tables),
                         "copies": np.repeat(some["copies"].to_numpy(), tables),
+                        "code": np.repeat(some["code"].to_numpy(), tables), "factor": np.repeat(some["factor"].to_numpy(), tables),
                         "raw": np.repeat(np.array([np.asarray(v, np.float64).tobytes() for v in some["v"]], object), tables)})
 
-    dealt = nodes.mapInPandas(deal, "dim int, t int, cell long, node long, copies long, raw binary")
+    dealt = coded.mapInPandas(deal, "dim int, t int, cell long, node long, copies long, code binary, factor double, raw binary")
     sizes = dealt.groupBy("dim", "t", "cell").agg(F.count("*").alias("n")).where("n > 1").withColumn(
         "blocks", F.expr(f"cast(ceil(n / {cell_rows}) as int)"))
     placed = dealt.join(sizes, ["dim", "t", "cell"]).withColumn("b", F.expr("cast(pmod(node, blocks) as int)"))
     placed = placed.withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)"))).selectExpr(
-        "dim", "t", "least(b, o) AS b1", "greatest(b, o) AS b2", "b", "node", "copies", "raw", "cell",
+        "dim", "t", "least(b, o) AS b1", "greatest(b, o) AS b2", "b", "node", "copies", "code", "factor", "raw", "cell",
         # small cells share a group, so that a task handles some hundred rows at once
         f"CASE WHEN blocks > 1 THEN cell ELSE pmod(xxhash64(cell), {shares}) - {1 << 40} END AS g")
 
@@ -155,7 +175,9 @@ def link_embeddings(spark: SparkSession, vectors: DataFrame, threshold: float =
         x = x / np.abs(x).max(axis=1, keepdims=True)
         x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
         own, t = cells(x), int(frame["t"].iloc[0])
-        turn = rotation(x.shape[1], 5)
+        turned = x @ rotation(x.shape[1], CODE_SEED)
+        bits = np.stack([np.frombuffer(c, np.uint8) for c in frame["code"]])
+        factor = frame["factor"].to_numpy()
         cell, b = frame["cell"].to_numpy(), frame["b"].to_numpy()
         b1, b2 = int(frame["b1"].iloc[0]), int(frame["b2"].iloc[0])
         links: list[tuple] = []
@@ -165,9 +187,9 @@ def link_embeddings(spark: SparkSession, vectors: DataFrame, threshold: float =
                 continue
             if b1 != b2:
                 left, right = rows[b[rows] == b1], rows[b[rows] == b2]
-                i, j = linked_pairs(x, own, t, left, right, threshold, sigmas, turn)
+                i, j = linked_pairs(x, bits, factor, own, t, left, right, threshold, sigmas, turned)
             else:
-                i, j = linked_pairs(x, own, t, rows, rows, threshold, sigmas, turn)
+                i, j = linked_pairs(x, bits, factor, own, t, rows, rows, threshold, sigmas, turned)
                 i, j = i[i < j], j[i < j]
             links.append((i, j))
         i = np.concatenate([k[0] for k in links] or [np.zeros(0, np.int64)])

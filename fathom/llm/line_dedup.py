@@ -19,12 +19,15 @@ table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def repeated_runs(docs: DataFrame, run_lines: int = 3) -> DataFrame:
-    """(id, hash, starts): line numbers (from 0) at which later repeated runs start."""
+def later_runs(docs: DataFrame, run_lines: int = 3) -> DataFrame:
+    """(run, where, first): every run that starts later than another one of the same lines.
+
+    ``where`` and ``first`` are positions: doc (last, id, hash) and at, the line from 0.
+    """
     lines = docs.select(
         F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"),
                  F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash")).alias("doc"),
@@ -43,7 +46,25 @@ def repeated_runs(docs: DataFrame, run_lines: int = 3) -> DataFrame:
     shared = runs.groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select("low")
     candidates = runs.join(shared, "low", "left_semi").select("run", F.struct("doc", "at").alias("where"))
     first = candidates.groupBy("run").agg(F.min("where").alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = candidates.join(first.drop("n"), "run").where(F.col("where") > F.col("first"))
+    return candidates.join(first.drop("n"), "run").where(F.col("where") > F.col("first"))
+
+
+def matched_runs(docs: DataFrame, run_lines: int = 3) -> DataFrame:
+    """(id, start, lines, first_id, first_start): later runs extended to both sides.
+
+    Runs on one diagonal (the same documents and distance) that follow each other line by
+    line make up one maximal match.
+    """
+    l = later_runs(docs, run_lines).select("where.doc", "where.at", F.col("first.doc").alias("other"), F.col("first.at").alias("from"))
+    w = Window.partitionBy("doc", "other", F.col("at") - F.col("from")).orderBy("at")
+    l = l.withColumn("diagonal", F.col("at") - F.col("from")).withColumn("island", F.col("at") - F.row_number().over(w))
+    return l.groupBy("doc", "other", "diagonal", "island").agg(F.min("at").alias("start"), (F.count("*") + run_lines - 1).alias("lines"), F.min("from").alias("first_start")).select(
+        F.col("doc.id").alias("id"), "start", "lines", F.col("other.id").alias("first_id"), "first_start")
+
+
+def repeated_runs(docs: DataFrame, run_lines: int = 3) -> DataFrame:
+    """(id, hash, starts): line numbers (from 0) at which later repeated runs start."""
+    later = later_runs(docs, run_lines)
     return later.groupBy("where.doc").agg(F.collect_set("where.at").alias("starts")).select(
         F.col("doc.id").alias("id"), F.col("doc.hash").alias("hash"), "starts")
 

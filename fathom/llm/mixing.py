@@ -132,6 +132,11 @@ def draws(goals: DataFrame, block_words: int, shard_blocks: int, seed: int) -> D
             WHEN slot = whole THEN source_size - whole * {block_words} ELSE {block_words} END AS words""")
 
 
+def shard_counts(drawn: DataFrame) -> DataFrame:
+    """(shard, src, draws): the source counts of every output shard."""
+    return drawn.groupBy("shard", "src").agg(F.count("*").alias("draws"))
+
+
 def block_pieces(placed: DataFrame, block_words: int) -> DataFrame:
     """(src, start, size, doc_id, block, at, first, n): document pieces of each block."""
     spans = placed.where("size > 0").withColumn("block", F.explode(F.expr(

@@ -129,6 +129,13 @@ def test_lines_against_brute_force(spark, run):
     assert cases.as_set(out, "doc_id", "n_lines", "n_removed", "text") == brute_lines(rows, run)
 
 
+def test_matches_are_maximal(spark):
+    common = "\n".join(f"line {i}" for i in range(6))
+    rows = [(1, f"a\n{common}\nb", None, None, 0), (2, f"{common}\nc", None, None, 0), (3, f"line 1\nline 2\nline 3\nx\n{common}", None, None, 0)]
+    got = cases.as_set(line_dedup.matched_runs(cases.frame(spark, rows)), "id", "start", "lines", "first_id", "first_start")
+    assert got == [(2.0, 0.0, 6.0, 1.0, 1.0), (3.0, 0.0, 3.0, 1.0, 2.0), (3.0, 4.0, 6.0, 1.0, 1.0)]
+
+
 def test_line_plan_is_native(spark):
     out = line_dedup.delete_repeated_lines(cases.frame(spark))
     plan = out._jdf.queryExecution().executedPlan().toString()

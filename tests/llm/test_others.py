@@ -66,6 +66,8 @@ def test_mixing_comes_to_its_targets(spark):
     most = mix.groupBy("src", "start").agg(F.sum("words").alias("n")).join(placed.where("size > 0"), ["src", "start"]).where("n > 2 * size")
     assert most.count() == 0
     assert rows_of(mix) == rows_of(mixing.mix_sources(placed, goals, block_words=16))
+    drawn = mixing.draws(goals, 16, 4, 20240607)
+    assert mixing.shard_counts(drawn).agg(F.sum("draws")).first()[0] == drawn.count() and drawn.select("shard").distinct().count() > 1
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 64, 1000])
@@ -202,9 +204,10 @@ def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((400, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    turned = x @ embedding_dedup.rotation(64, 5)
-    code = np.where(turned > 0, 1.0, -1.0) / 8
-    factor = np.einsum("ij,ij->i", turned, code)
+    turned = x @ embedding_dedup.rotation(64, embedding_dedup.CODE_SEED)
+    bits, factor = embedding_dedup.encode(x)
+    code = np.where(np.unpackbits(bits, axis=1).astype(bool), 1.0, -1.0) / 8
+    assert np.allclose(factor, np.einsum("ij,ij->i", turned, code))
     estimate, true = code / factor[:, None] @ turned.T, x @ x.T
     error = (estimate - true)[~np.eye(400, dtype=bool)]
     spread = (np.sqrt(1 - factor**2) / factor / np.sqrt(63))[:, None]
