@@ -87,6 +87,19 @@ def spacing_candidates(proposals: DataFrame) -> DataFrame:
     return top_rows(c.drop("best", "agree"), ["doc", "region"], [F.col("score").desc(), "candidate_id"], MOST_CANDIDATES)
 
 
+def language_cells(cells: DataFrame, proposals: DataFrame) -> DataFrame:
+    """(table, cell, text, changed): cells with their language-repaired text.
+
+    Only cells with a lone syllable are repaired, by the first proposal (table, cell, position,
+    text) that has the same visible characters and differs.
+    """
+    p = proposals.select("table", "cell", "position", F.col("text").alias("proposed"))
+    j = cells.join(p, ["table", "cell"], "left")
+    fits = (t.without_whitespace(F.col("proposed")) == t.without_whitespace(F.col("text"))) & (F.col("proposed") != F.col("text")) & t.lone_syllable(F.col("text"))
+    best = j.groupBy("table", "cell").agg(F.first("text").alias("text"), F.min_by("proposed", F.when(fits, F.col("position"))).alias("repaired"))
+    return best.select("table", "cell", F.coalesce("repaired", "text").alias("text"), F.col("repaired").isNotNull().alias("changed"))
+
+
 def fallback_candidates(candidates: DataFrame, keys: list[str]) -> DataFrame:
     """The safest spacing candidate of a set: no defects, the source's spacing first, then score."""
     clean = candidates.where(F.size(t.spacing_defects(F.col("text"))) == 0)

@@ -9,6 +9,7 @@ from fathom.operators import candidates as c
 from fathom.operators import canonical as k
 from fathom.operators import layout as lay
 from fathom.operators import validation as v
+from fathom.plans import reconstruct as rec
 
 from .base import Registry, table
 
@@ -55,6 +56,18 @@ def layout_regions(spark, sf):
     return lay.mark_repeated_edges(rows, pages).select("doc", "page", "column", "block", "lines", "first", "edge")
 
 
+@R.add(None)
+def reconstructed_documents(spark, sf):
+    """Characters to Markdown, in one plan."""
+    return rec.reconstruct(_atoms(spark, sf)).markdown
+
+
+@R.add("""SELECT conv_id::VARCHAR AS doc, 0 AS lost FROM conversations GROUP BY 1""")
+def reconstruction_losses(spark, sf):
+    """Regions that a reconstruction loses, repeats or invents: none."""
+    return rec.reconstruct(_atoms(spark, sf)).coverage.select("doc", (F.col("unmatched") + F.col("duplicated") + F.col("unknown")).alias("lost"))
+
+
 @R.add(None)
 def layout_edges(spark, sf):
     """Reading order edges and page continuations of the layout."""

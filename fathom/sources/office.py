@@ -186,15 +186,37 @@ def dictionary_findings(columns: DataFrame, descriptions: DataFrame) -> DataFram
 
 
 def _paragraph_text(p) -> str:
+    """Text of a paragraph's own runs; that of text boxes in it is apart."""
     out = []
-    for e in p.iter():
+
+    def walk(e):
+        if e.tag in (WORD + "txbxContent", WORD + "del", WORD + "moveFrom"):
+            return
         if e.tag == WORD + "t":
             out.append(e.text or "")
-        elif e.tag == WORD + "tab":
+        elif e.tag == WORD + "tab" and e.get(WORD + "val") is None:
             out.append("\t")
         elif e.tag in (WORD + "br", WORD + "cr"):
             out.append("\n")
-    return "".join(out)
+        for child in e:
+            walk(child)
+
+    walk(p)
+    return re.sub("\r\n?", "\n", "".join(out))
+
+
+def _auxiliary_texts(p) -> Iterator[tuple[str, str]]:
+    """(kind, text) of a paragraph's text boxes and alternative texts."""
+    for box in p.iter(WORD + "txbxContent"):
+        text = "\n".join(_paragraph_text(inner) for inner in box.iter(WORD + "p"))
+        if text.strip():
+            yield "text_box", text
+    seen = set()
+    for e in p.iter():
+        note = e.get("descr") if e.tag.endswith("}docPr") else None
+        if note and note.strip() and note not in seen:
+            seen.add(note)
+            yield "alt_text", note
 
 
 def _visible(container) -> Iterator:
@@ -251,6 +273,9 @@ def document_blocks(content: bytes) -> Iterator[tuple]:
             if text.strip():
                 yield n, kind, level, text, None, None, None, None, None
                 n += 1
+            for aside, note in _auxiliary_texts(e):
+                yield n, aside, None, note, None, None, None, None, None
+                n += 1
         elif e.tag == WORD + "tbl":
             for a, b, c, d, text in _grid(e):
                 yield n, "cell", None, text, tables, a, b, c, d

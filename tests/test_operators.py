@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions import geometry as g
 from fathom.operators import candidates, canonical, identity, layout, matching, metrics, registry, reports, sequences, spatial
-from fathom.plans import model, sinks
+from fathom.plans import model, reconstruct, sinks
 
 
 def test_metric_texts(spark):
@@ -96,6 +96,26 @@ def test_no_character_is_lost(spark):
     assert "".join(r.text for r in got).replace(" ", "") == want
 
 
+def test_reconstruction_keeps_all_text(spark):
+    rows = []
+    for page in (1, 2, 3):
+        rows += [(page, 0.1, 0.98, "Head"), (page, 0.1, 0.80, f"1. Title {page}"), (page, 0.1, 0.60, "a plain paragraph of text that is long enough."), (page, 0.1, 0.40, "- one item"), (page, 0.45, 0.04, str(page))]
+    r = reconstruct.reconstruct(atoms(spark, *rows))
+    assert {x.text for x in r.regions.where("edge IS NOT NULL").collect()} == {"Head", "1", "2", "3"}
+    c = r.coverage.first()
+    assert (c.items, c.excluded, c.unmatched, c.duplicated, c.ratio) == (15, 6, 0, 0, 1.0)
+    text = r.markdown.first()["markdown"]
+    for page in (1, 2, 3):
+        assert f"Title {page}" in text
+    assert "Head" not in text and text.count("plain paragraph") == 3
+
+
+def test_language_cells(spark):
+    cells = spark.createDataFrame([(1, 1, "가 나다"), (1, 2, "plain text")], "table int, cell int, text string")
+    props = spark.createDataFrame([(1, 1, 0, "가나다x"), (1, 1, 1, "가나다"), (1, 2, 0, "plaintext")], "table int, cell int, position int, text string")
+    assert {(r.cell, r.text, r.changed) for r in candidates.language_cells(cells, props).collect()} == {(1, "가나다", True), (2, "plain text", False)}
+
+
 def test_decisions(spark):
     rows = [(1, "a", 0.9, False, None, 0), (1, "b", 0.7, False, None, 0), (2, "a", 0.9, False, None, 0), (2, "b", 0.8, False, None, 0), (3, "a", 0.95, False, None, 1),
             (4, "a", 0.5, True, "s", 0), (4, "b", 0.9, True, "s", 0), (4, "c", 0.99, False, None, 0), (5, "a", 0.5, True, "s", 0), (5, "b", 0.4, True, "t", 0), (6, "a", 0.82, False, None, 0)]

@@ -6,9 +6,10 @@ import io
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from fathom.sources import forms, html, office, registry_json
+from fathom.sources import config, forms, html, office, registry_json
 from fathom.streaming import ingest
 
 S = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -79,6 +80,25 @@ def test_document_blocks(spark):
         (0, 1, 0, 2, "a"), (0, 2, 2, 3, "v"), (1, 2, 0, 1, "b"), (1, 2, 1, 2, "c")]
 
 
+def test_text_boxes_and_alternative_texts(spark):
+    box = "<w:txbxContent><w:p><w:r><w:t>inside</w:t></w:r></w:p></w:txbxContent>"
+    body = f'<w:p><w:r><w:t>outside</w:t><w:tab/><w:t>on</w:t></w:r><w:r><w:drawing><wp:docPr descr="a chart"/>{box}</w:drawing></w:r></w:p>'
+    doc = package(word__document=f'<w:document {W} xmlns:wp="http://x/wp"><w:body>{body}</w:body></w:document>')
+    rows = office.read_blocks(spark.createDataFrame([("d", doc)], "name string, content binary")).orderBy("ordinal").collect()
+    assert [(r.kind, r.text) for r in rows] == [("paragraph", "outside\ton"), ("text_box", "inside"), ("alt_text", "a chart")]
+
+
+def test_configuration(spark, tmp_path):
+    yaml = pytest.importorskip("yaml")
+    path = tmp_path / "product.yaml"
+    path.write_text(yaml.safe_dump({"product_key": "k", "operation": "create", "tables": [{"locator": "A|b|c|d"}]}))
+    row = config.read_config(spark, str(path)).first()
+    assert (row.product_key, row.operation, row.tables[0].locator) == ("k", "create", "a|b|c|d")
+    path.write_text(yaml.safe_dump({"product_key": "k", "operation": "retire"}))
+    with pytest.raises(ValueError, match="RETIRE_NOT_SUPPORTED"):
+        config.read_config(spark, str(path))
+
+
 def test_html_items_and_generated_labels(spark):
     page = "<html><head><style>x</style></head><body><h1>T</h1><p>a <b>b</b></p><p>AI generated</p><p>gone</p><ul><li>one</li></ul></body></html>"
     items = html.html_items(spark.createDataFrame([(1, page), (2, None)], "page_id long, html string"))
