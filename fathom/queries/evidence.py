@@ -271,10 +271,10 @@ def tag_targets(spark, sf):
     return reports.tag_codes(s.withColumn("commit", F.lit("a")), s.where("n % 3 <> 0").select("tag", F.when(F.col("n") % 3 == 1, "a").otherwise("b").alias("commit")))
 
 
-@R.add("""WITH v AS (SELECT source AS identity, sha256(lang) AS h FROM documents WHERE doc_id % 2 = 0 AND source LIKE '%1')
+@R.add("""WITH v AS (SELECT source || ':' || lang AS identity, sha256(lang) AS h FROM documents WHERE doc_id % 2 = 0)
 SELECT identity, min(h) AS markdown_hash FROM v GROUP BY 1 HAVING count(DISTINCT h) = 1""")
 def replay_catalog(spark, sf):
     """Verified baselines of one source; identities with several contents have none."""
-    d = table(spark, sf, "documents").where("source LIKE '%1'").select(F.col("source").alias("identity"), F.lit("s").alias("source_hash"), F.col("lang").alias("markdown"),
+    d = table(spark, sf, "documents").select(F.concat("source", F.lit(":"), "lang").alias("identity"), F.lit("s").alias("source_hash"), F.col("lang").alias("markdown"),
                                         F.when(F.col("doc_id") % 2 == 0, F.sha2(F.col("lang").cast("binary"), 256)).otherwise("x").alias("markdown_hash"))
     return reports.replay_catalog(d, "s")

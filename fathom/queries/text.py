@@ -31,11 +31,12 @@ def text_canonical_whitespace(spark, sf):
     return _docs(spark, sf).select("doc_id", ids.sha256_hex(t.canonical_whitespace(F.col("text"))).alias("canonical"))
 
 
-@R.add(rf"""SELECT doc_id, regexp_replace(regexp_replace(replace(left(text, 200), ',', ' ,') || ' ( ok )', '[{W}]+([%℃°,:;.!?)}}\]])', '\1', 'g'),
-  '([(\{{\[])[{W}]+', '\1', 'g') AS repaired FROM documents""")
+@R.add(rf"""SELECT doc_id, sha256(regexp_replace(regexp_replace(replace(text, ',', ' ,') || ' ( ok )', '[{W}]+([%℃°,:;.!?)}}\]])', '\1', 'g'),
+  '([(\{{\[])[{W}]+', '\1', 'g')) AS repaired FROM documents""")
 def text_punctuation_rules(spark, sf):
-    made = F.concat(F.regexp_replace(F.substring("text", 1, 200), ",", " ,"), F.lit(" ( ok )"))
-    return _docs(spark, sf).select("doc_id", t.punctuation_rules(made).alias("repaired"))
+    """Every text, its commas moved off their words first."""
+    made = F.concat(F.regexp_replace("text", ",", " ,"), F.lit(" ( ok )"))
+    return _docs(spark, sf).select("doc_id", ids.sha256_hex(t.punctuation_rules(made)).alias("repaired"))
 
 
 @R.add(rf"SELECT doc_id, sha256(regexp_replace(text, '[{W}]+', '', 'g')) AS dense FROM documents")
