@@ -106,7 +106,7 @@ def group_locations(spark, sf):
 
 
 @R.add("""WITH w AS (SELECT user_id, event_id % 5 AS r, max(event_id % 3) + sum(event_id % 4 + 1) AS n FROM events GROUP BY 1, 2)
-SELECT user_id AS "table", coalesce(CASE WHEN user_id % 2 = 0 THEN 10 END, max(n)) AS columns, CASE WHEN user_id % 2 = 0 AND max(n) > 10 THEN 'TABLE_COLUMNS_INVALID' END AS code FROM w GROUP BY 1""")
+SELECT user_id AS "table", coalesce(CASE WHEN user_id % 2 = 0 THEN 10 END, max(n))::BIGINT AS columns, CASE WHEN user_id % 2 = 0 AND max(n) > 10 THEN 'TABLE_COLUMNS_INVALID' END AS code FROM w GROUP BY 1""")
 def table_columns(spark, sf):
     e = table(spark, sf, "events").select(F.col("user_id").alias("table"), (F.col("event_id") % 5).alias("row"), (F.col("event_id") % 3).alias("before"), (F.col("event_id") % 4 + 1).alias("span"))
     declared = e.where("table % 2 = 0").select("table").distinct().withColumn("declared", F.lit(10))

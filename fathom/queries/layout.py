@@ -62,7 +62,7 @@ def reconstructed_documents(spark, sf):
     return rec.reconstruct(_atoms(spark, sf)).markdown
 
 
-@R.add("""SELECT conv_id::VARCHAR AS doc, 0 AS lost FROM conversations GROUP BY 1""")
+@R.add("""SELECT conv_id::VARCHAR AS doc, 0::BIGINT AS lost FROM conversations GROUP BY 1""")
 def reconstruction_losses(spark, sf):
     """Regions that a reconstruction loses, repeats or invents: none."""
     return rec.reconstruct(_atoms(spark, sf)).coverage.select("doc", (F.col("unmatched") + F.col("duplicated") + F.col("unknown")).alias("lost"))
@@ -118,7 +118,7 @@ def _blocks(spark, sf):
                     (F.lit(0.02) * (1 + F.col("doc_id") % 3)).alias("line_height"), F.lit(0.03).alias("typical_height"), hint.alias("hint"))
 
 
-@R.add(f"WITH {BLOCK} SELECT doc_id AS doc, kind, round(score, 6)::DOUBLE AS score, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 6) DESC, kind) AS rank FROM o")
+@R.add(f"WITH {BLOCK} SELECT doc_id AS doc, kind, round(score, 6)::DOUBLE AS score, (row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 6) DESC, kind))::INT AS rank FROM o")
 def block_candidates(spark, sf):
     """Scored alternatives of the first line of every document."""
     return c.block_candidates(_blocks(spark, sf)).select("doc", "kind", "score", "rank")

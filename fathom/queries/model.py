@@ -116,7 +116,7 @@ def source_snapshots(spark, sf):
 
 @R.add("""WITH c AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) + 1 AS row, p_name, p_size FROM part)
 SELECT p_brand AS sheet, row::INT AS row, lower('pg|shop|' || p_brand || '|parts') AS locator, p_name AS "column", p_size % 2 = 0 AS primary_key, CASE WHEN p_size % 3 = 0 THEN 'customer.c' || p_partkey END AS foreign_key,
-  CASE WHEN p_size % 5 = 0 THEN 'MISSING_DICTIONARY_VALUE' WHEN p_size % 7 = 0 AND p_size % 3 <> 0 THEN 'INCOMPLETE_FOREIGN_KEY' END AS code, row_number() OVER (PARTITION BY p_brand ORDER BY row) AS ordinal FROM c""")
+  CASE WHEN p_size % 5 = 0 THEN 'MISSING_DICTIONARY_VALUE' WHEN p_size % 7 = 0 AND p_size % 3 <> 0 THEN 'INCOMPLETE_FOREIGN_KEY' END AS code, (row_number() OVER (PARTITION BY p_brand ORDER BY row))::INT AS ordinal FROM c""")
 def dictionary_flat(spark, sf):
     """Cells of a flat data dictionary, a sheet for every brand, to column rows."""
     from pyspark.sql import Window

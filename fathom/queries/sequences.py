@@ -31,7 +31,7 @@ def sequence_equal_runs(spark, sf):
     return s.equal_runs(e, ["user_id"], ["ts", "event_id"], "event_type").select("user_id", "event_id", "run")
 
 
-@R.add("""SELECT l_orderkey, l_linenumber, l_linenumber - row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS run FROM lineitem WHERE l_quantity > 10""")
+@R.add("""SELECT l_orderkey, l_linenumber, (l_linenumber - row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber))::INT AS run FROM lineitem WHERE l_quantity > 10""")
 def sequence_contiguous(spark, sf):
     l = table(spark, sf, "lineitem").where("l_quantity > 10").select("l_orderkey", "l_linenumber")
     return s.contiguous_runs(l, ["l_orderkey"], "l_linenumber")
@@ -67,7 +67,7 @@ def interval_merge(spark, sf):
     return s.merge_intervals(l, ["l_orderkey"], "a", "b")
 
 
-@R.add("""SELECT event_type, event_id, value, rank FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rank FROM events) WHERE rank <= 5""")
+@R.add("""SELECT event_type, event_id, value, rank FROM (SELECT *, (row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id))::INT AS rank FROM events) WHERE rank <= 5""")
 def top5_candidates(spark, sf):
     e = table(spark, sf, "events").select("event_type", "event_id", "value")
     return s.top_rows(e, ["event_type"], [F.col("value").desc(), "event_id"])

@@ -37,7 +37,7 @@ def _sides(spark, sf):
     return q, i
 
 
-@R.add(f"""WITH {BOXES}, {PAIRS} SELECT doc, page, q_id, i_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY doc, page, q_id ORDER BY i_id) AS rank FROM m) WHERE rank <= 3""")
+@R.add(f"""WITH {BOXES}, {PAIRS} SELECT doc, page, q_id, i_id, rank FROM (SELECT *, (row_number() OVER (PARTITION BY doc, page, q_id ORDER BY i_id))::INT AS rank FROM m) WHERE rank <= 3""")
 def rect_intersection_limit(spark, sf):
     """At most three meeting boxes of each query box."""
     q, i = _sides(spark, sf)
@@ -107,7 +107,7 @@ def page_fractions(spark, sf):
         "id", F.round("f.left", 9).alias("l"), F.round("f.top", 9).alias("t"), "anchor")
 
 
-@R.add(f"""WITH {BOXES} SELECT doc, page, min(l) AS l, min(b) AS b, max(r) AS r, max(t) AS t FROM x GROUP BY 1, 2""")
+@R.add(f"""WITH {BOXES} SELECT doc, page, round(min(l), 9) AS l, round(min(b), 9) AS b, round(max(r), 9) AS r, round(max(t), 9) AS t FROM x GROUP BY 1, 2""")
 def box_unions(spark, sf):
     return _boxes(spark, sf).groupBy("doc", "page").agg(g.union(F.col("box")).alias("u")).select(
-        "doc", "page", F.col("u.left").alias("l"), F.col("u.bottom").alias("b"), F.col("u.right").alias("r"), F.col("u.top").alias("t"))
+        "doc", "page", *[F.round(f"u.{side}", 9).alias(side[0]) for side in ("left", "bottom", "right", "top")])
