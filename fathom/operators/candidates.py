@@ -13,6 +13,7 @@ from fathom.functions import text as t
 from fathom.functions.ids import content_id
 from fathom.operators.sequences import top_rows
 
+# Limits and patterns of the rules.
 MOST_CANDIDATES = 5
 AUTO_SCORE, AUTO_MARGIN = 0.82, 0.12
 LEAST_CONFIDENCE, CONSENSUS = 0.80, 2
