@@ -163,8 +163,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
     keyed = nodes.where("keys IS NOT NULL").select("node", "keys").mapInPandas(listed, "node long, keys array<long>")
     keyed = scratch.save(keyed, "keys")
     single = keyed.select("node", F.posexplode("keys").alias("band", "key"))
-    weights, groups = _with_heads(single, ["band", "key"], None)
-    weights, groups = scratch.save(weights, "weights"), scratch.save(groups, "groups")
+    members = scratch.save(_members(single, ["band", "key"]), "members")
+    weights = scratch.save(members.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
+    groups = scratch.save(_with_heads(members, ["band", "key"], weights), "groups")
     # The texts of nodes in some group, one for each: by the row with the smallest id.
     wanted = weights.select("node")
     chosen = nodes.select("node", "low").join(wanted, "node", "left_semi")
@@ -204,8 +205,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
     twice = mine.where("exists(own, o -> o.lost)").select("node", F.explode(F.expr(f"""
         flatten(transform(own, a -> transform(filter(own, b -> (a.lost OR b.lost)
           AND pmod(b.band - a.band, {sketches}) BETWEEN 1 AND {NEXT_BANDS}), b -> xxhash64(a.band, a.key, b.band, b.key))))""")).alias("key"))
-    _, more = _with_heads(twice, ["key"], weights)
-    more = more.select("node", "head").where("node <> head").distinct()
+    again = scratch.save(_members(twice, ["key"]), "again")
+    more = _with_heads(again, ["key"], weights).select("node", "head").where("node <> head").distinct()
     # A pair seen from its other end is the same pair.
     seen = first.select("node", "head").unionAll(first.select(F.col("head").alias("node"), F.col("node").alias("head")))
     second = verify(more.join(seen, ["node", "head"], "left_anti"), "second")
@@ -237,20 +238,25 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, **how) -> DataFra
     return joined.dropDuplicates(["_fathom_id", "_fathom_hash"]).select(*docs.columns)
 
 
-def _with_heads(keyed: DataFrame, by: list[str], weights: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Rows of groups of two nodes or more, with the group's head: its heaviest node.
+def _members(keyed: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of groups of two nodes or more, with the group's size n.
 
-    A node weighs the sizes of all its groups, so the head of a group of copies is the text the
-    others were made from rather than any copy. Also returns (node, weight).
+    Written before it is joined again by the same key: each join then stands alone, and
+    adaptive execution can split the partition of a hot group.
     """
     sizes = keyed.groupBy(*by).agg(F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("most")).where(
         "least < most").drop("least", "most")
-    members = keyed.join(sizes, by)
-    if weights is None:
-        weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    heads = members.join(weights, "node").groupBy(*by).agg(
-        F.max(F.struct("weight", "node"))["node"].alias("head"))
-    return weights, members.drop("n").join(heads, by)
+    return keyed.join(sizes, by)
+
+
+def _with_heads(members: DataFrame, by: list[str], weights: DataFrame) -> DataFrame:
+    """Members with their group's head: its heaviest node.
+
+    A node weighs the sizes of all its groups, so the head of a group of copies is the text the
+    others were made from rather than any copy.
+    """
+    heads = members.join(weights, "node").groupBy(*by).agg(F.max(F.struct("weight", "node"))["node"].alias("head"))
+    return members.drop("n").join(heads, by)
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
