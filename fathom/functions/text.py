@@ -151,8 +151,11 @@ def spacing_defects(value: Column) -> Column:
 
 
 def fragmented(value: Column) -> Column:
-    """Runs of single Hangul syllables, or an identifier split at an underscore."""
-    return value.rlike(r"(?:(?<![가-힣])[가-힣] ){2,}[가-힣](?![가-힣])") | value.rlike(r"[A-Za-z0-9]\s+_|_\s+[A-Za-z0-9]")
+    """Two Hangul words of which one is a single syllable, or an identifier split by white space."""
+    pairs = F.regexp_extract_all(value, _lit(f"(?<![가-힣A-Za-z0-9_])([가-힣]+)[{WHITE}]+([가-힣]+)"), F.lit(0))
+    lone = F.exists(pairs, lambda m: m.rlike(f"^[가-힣][{WHITE}]|[{WHITE}][가-힣]$"))
+    split = value.rlike(rf"\b[A-Za-z0-9]+[{WHITE}]+[A-Za-z0-9]*_[A-Za-z0-9_]*\b|\b[A-Za-z0-9_]*_[A-Za-z0-9_]*[{WHITE}]+[A-Za-z0-9]+\b")
+    return lone | split
 
 
 def lone_syllable(value: Column) -> Column:
@@ -176,12 +179,10 @@ def edit_budget_code(source: Column, corrected: Column, kind: Column) -> Column:
     moved = F.exists(F.zip_with(a, b, lambda x, y: (x != y) & (x.rlike(blank) | y.rlike(blank))), lambda m: m)
     visible = F.char_length(without_whitespace(source))
     budget = F.greatest(F.lit(1), F.least(F.lit(4), F.floor(visible * 15 / 100).cast("int")))
-    return (F.when(source == corrected, "UNCHANGED")
-            .when((kind == "spacing") & (without_whitespace(source) != without_whitespace(corrected)), "CHARACTERS_CHANGED")
-            .when(kind == "spacing", F.lit(None).cast("string"))
-            .when(F.char_length(source) != F.char_length(corrected), "LENGTH_CHANGED")
-            .when(moved, "WHITESPACE_CHANGED")
-            .when(changes > budget, "BUDGET_EXCEEDED"))
+    spacing = (source == corrected) | (without_whitespace(source) != without_whitespace(corrected))
+    recognition = (F.char_length(source) != F.char_length(corrected)) | moved | (changes == 0) | (changes > budget)
+    return (F.when((kind == "spacing") & spacing, "SEMANTIC_OCR_CORRECTION_SPACING_INVALID")
+            .when((kind != "spacing") & recognition, "SEMANTIC_OCR_CORRECTION_RECOGNITION_INVALID"))
 
 
 def has_raw_html(value: Column) -> Column:
@@ -226,9 +227,10 @@ def as_boolean(value: Column) -> Column:
 
 def form_locator(location: Column, table: Column) -> Column:
     """``platform|catalog|schema|table`` of a dotted location; two parts lack the platform."""
-    parts = F.split(F.lower(trimmed(location)), r"\.")
+    parts = F.transform(F.split(F.lower(location), r"\."), trimmed)
     leaf = F.lower(trimmed(table))
-    return (F.when(F.size(parts) == 2, F.concat_ws("|", F.lit("unspecified"), parts[0], parts[1], leaf))
+    bad = F.exists(parts, lambda p: (p == "") | p.contains("|")) | (leaf == "") | leaf.contains("|")
+    return (F.when(bad, F.lit(None).cast("string")).when(F.size(parts) == 2, F.concat_ws("|", F.lit("unspecified"), parts[0], parts[1], leaf))
             .when(F.size(parts) == 3, F.concat_ws("|", parts[0], parts[1], parts[2], leaf)))
 
 
@@ -260,12 +262,12 @@ def url_policy_code(url: Column, hosts: tuple[str, ...]) -> Column:
         return F.try_parse_url(url, F.lit(name))
 
     authority = F.coalesce(part("AUTHORITY"), F.lit(""))
-    return (F.when(F.coalesce(part("PROTOCOL"), F.lit("")) != "https", "HTTPS_REQUIRED")
-            .when(authority.contains("@"), "CREDENTIALS_FORBIDDEN")
-            .when(authority.rlike(":[0-9]+$"), "PORT_FORBIDDEN")
-            .when(~F.coalesce(part("HOST"), F.lit("")).isin(*hosts), "UNTRUSTED_HOST")
-            .when(part("QUERY").isNotNull() | part("REF").isNotNull(), "QUERY_FORBIDDEN")
-            .when(F.coalesce(part("PATH"), F.lit("")).rlike(r"(^|/)\.\.?(/|$)|%|//"), "PATH_FORBIDDEN"))
+    return (F.when(F.coalesce(part("PROTOCOL"), F.lit("")) != "https", "ATTACHMENT_HTTPS_REQUIRED")
+            .when(authority.contains("@"), "ATTACHMENT_CREDENTIALS_FORBIDDEN")
+            .when(authority.rlike(":[0-9]+$"), "ATTACHMENT_PORT_FORBIDDEN")
+            .when(~F.coalesce(part("HOST"), F.lit("")).isin(*hosts), "UNTRUSTED_ATTACHMENT_HOST")
+            .when(part("QUERY").isNotNull() | part("REF").isNotNull(), "ATTACHMENT_QUERY_FORBIDDEN")
+            .when(F.coalesce(part("PATH"), F.lit("")).rlike(r"(^|/)\.\.?(/|$)|%|//"), "UNTRUSTED_ATTACHMENT_PATH"))
 
 
 def sensitive_redaction(key: Column, value: Column) -> Column:

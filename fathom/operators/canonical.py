@@ -37,7 +37,7 @@ def grid_findings(cells: DataFrame, tables: DataFrame) -> DataFrame:
     overlapping pairs of the same row would miss shapes, so cells are unrolled to
     places; limits are checked first and bound that.
     """
-    code = (F.when((F.col("row_count") > MOST_ROWS) | (F.col("column_count") > MOST_COLUMNS), "TABLE_GRID_LIMIT")
+    code = (F.when((F.col("row_count") > MOST_ROWS) | (F.col("column_count") > MOST_COLUMNS), "TABLE_GRID_DIMENSIONS_INVALID")
             .when(F.col("row_count") * F.col("column_count") > MOST_AREA, "TABLE_GRID_AREA_LIMIT"))
     limits = tables.select("table", code.alias("code")).where("code IS NOT NULL")
     sound = tables.join(limits, "table", "left_anti")

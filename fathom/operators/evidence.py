@@ -139,7 +139,7 @@ def table_column_count(rows: DataFrame, declared: DataFrame) -> DataFrame:
     """
     wide = rows.groupBy("table", "row").agg((F.max("before") + F.sum("span")).alias("n")).groupBy("table").agg(F.max("n").alias("widest"))
     j = wide.join(declared, "table", "left")
-    return j.select("table", F.coalesce("declared", "widest").alias("columns"), F.when(F.col("declared") < F.col("widest"), "TABLE_COLUMNS_INVALID").alias("code"))
+    return j.select("table", F.coalesce("declared", "widest").alias("columns"), F.when(F.col("declared") < F.col("widest"), "DOCX_TABLE_DECLARED_GRID_TOO_SMALL").alias("code"))
 
 
 def list_metadata(paragraphs: DataFrame, formats: DataFrame) -> DataFrame:

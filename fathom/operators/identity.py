@@ -64,11 +64,11 @@ def resolve_foreign_keys(tables: DataFrame, columns: DataFrame) -> DataFrame:
         code.alias("code"))
 
 
-def match_named(candidates: DataFrame, existing: DataFrame, scope: list[str], id_col: str) -> DataFrame:
+def match_named(candidates: DataFrame, existing: DataFrame, scope: list[str], id_col: str, kind: str = "COLUMN") -> DataFrame:
     """Match records to existing ones by name or alias; first match by id.
 
     ``candidates``: scope, name. ``existing``: scope, id, name, aliases, status. Adds id and
-    code: KEPT, NEW or RETIRED_REUSE. Existing active records that nothing matched come
+    code: KEPT, NEW or RETIRED_<kind>_REUSE. Existing active records that nothing matched come
     back with code RETIRED.
     """
     answers = existing.select(*scope, id_col, "status", F.explode(F.array_distinct(F.transform(
@@ -76,7 +76,7 @@ def match_named(candidates: DataFrame, existing: DataFrame, scope: list[str], id
     answers = first_match(answers, [*scope, "key"], [id_col])
     matched = candidates.withColumn("key", F.lower("name")).join(answers, [*scope, "key"], "left")
     found = matched.select(
-        *scope, "name", id_col, F.when(F.col(id_col).isNull(), "NEW").when(F.col("status") == "RETIRED", "RETIRED_REUSE")
+        *scope, "name", id_col, F.when(F.col(id_col).isNull(), "NEW").when(F.col("status") == "RETIRED", f"RETIRED_{kind}_REUSE")
         .otherwise("KEPT").alias("code"))
     gone = existing.join(found.select(*scope, id_col).where(F.col(id_col).isNotNull()), [*scope, id_col], "left_anti")
     return found.unionByName(gone.select(*scope, "name", id_col, F.lit("RETIRED").alias("code")))

@@ -73,8 +73,8 @@ def parse_metric(spark: SparkSession, text: str):
     except (ParseException, Py4JJavaError) as e:
         first = text.lstrip().split(None, 1)[0].upper() if text.strip() else ""
         if ";" in text or first in {"SELECT", "WITH", "INSERT", "UPDATE", "DELETE", "DROP", "CREATE", "ALTER"}:
-            raise MetricError("METRIC_SQL_UNSAFE", text) from e
-        raise MetricError("METRIC_SQL_INVALID", text) from e
+            raise MetricError("LLM_METRIC_SQL_UNSAFE", text) from e
+        raise MetricError("LLM_METRIC_SQL_INVALID", text) from e
     _check(node, text)
     return node
 
@@ -82,11 +82,11 @@ def parse_metric(spark: SparkSession, text: str):
 def _check(node, text: str) -> None:
     kind = _class(node)
     if kind in DENIED_NODES:
-        raise MetricError("METRIC_SQL_UNSAFE", text)
+        raise MetricError("LLM_METRIC_SQL_UNSAFE", text)
     if kind == "UnresolvedFunction":
         name = node.nameParts().mkString(".").lower()
         if name not in ALLOWED_FUNCTIONS:
-            raise MetricError("METRIC_SQL_UNSAFE", name)
+            raise MetricError("LLM_METRIC_SQL_UNSAFE", name)
     for child in _children(node):
         _check(child, text)
 
@@ -109,7 +109,7 @@ def qualify(spark: SparkSession, text: str, dataset: Dataset) -> str:
     for parts in references(node):
         if len(parts) > 2 or parts[-1].lower() not in dataset.columns or (
                 len(parts) == 2 and parts[0].lower() != dataset.name.lower()):
-            raise MetricError("METRIC_REFERENCE_UNKNOWN", ".".join(parts))
+            raise MetricError("LLM_METRIC_REFERENCE_UNKNOWN", ".".join(parts))
     return _render(spark, node, dataset)[0]
 
 
@@ -132,7 +132,7 @@ def _render(spark: SparkSession, node, dataset: Dataset) -> tuple[str, bool]:
     for before, after, _ in parts:  # a node's SQL holds its children's, in order
         found = own.find(before, at)
         if found < 0:
-            raise MetricError("METRIC_SQL_INVALID", own)
+            raise MetricError("LLM_METRIC_SQL_INVALID", own)
         out += own[at:found] + after
         at = found + len(before)
     whole = [p[2] for p in parts]
@@ -157,13 +157,13 @@ def compile_metrics(spark: SparkSession, metrics: list[tuple[str, str, str]], da
     seen: set[str] = set()
     for name, over, text in metrics:
         if name.lower() in seen:
-            raise MetricError("METRIC_NAME_DUPLICATE", name)
+            raise MetricError("LLM_METRIC_NAME_DUPLICATE", name)
         seen.add(name.lower())
         names = [d.strip().lower() for d in over.split(",")]
         if len(names) > 1:
-            warned.append((name, "METRIC_MULTI_DATASET_EXCLUDED"))
+            warned.append((name, "METRIC_MULTI_DATASET_UNSUPPORTED"))
         elif names[0] not in catalog:
-            warned.append((name, "METRIC_DATASET_UNKNOWN"))
+            warned.append((name, "LLM_METRIC_DATASET_UNKNOWN"))
         else:
             dataset = catalog[names[0]]
             ready.setdefault(dataset.name, {})[name] = qualify(spark, text, dataset)

@@ -39,9 +39,9 @@ def generated_code(anchor: Column, proposal: Column, mutable: Column | None = No
 def patch_code(original: Column, patched: Column, confidence: Column) -> Column:
     """Why a text patch is refused, or null: confidence, growth, line count, markup."""
     lines = F.regexp_count(original, F.lit("\n")) != F.regexp_count(patched, F.lit("\n"))
-    return (F.when(original.isNull(), "PATCH_SPAN_UNKNOWN").when(confidence < LEAST_CONFIDENCE, "PATCH_CONFIDENCE_TOO_LOW")
-            .when(F.char_length(patched) > F.greatest(F.lit(1), F.char_length(original)) * MOST_GROWTH, "PATCH_GROWTH_EXCEEDED")
-            .when(lines, "PATCH_LINES_CHANGED").when(t.has_raw_html(patched) & ~t.has_raw_html(original), "PATCH_MARKUP"))
+    return (F.when(original.isNull(), "SEMANTIC_OCR_CORRECTION_UNKNOWN_SPAN").when(confidence < LEAST_CONFIDENCE, "SEMANTIC_OCR_CORRECTION_CONFIDENCE_LOW")
+            .when(F.char_length(patched) > F.greatest(F.lit(1), F.char_length(original)) * MOST_GROWTH, "SEMANTIC_OCR_CORRECTION_TEXT_GROWTH_EXCEEDED")
+            .when(lines, "SEMANTIC_OCR_CORRECTION_LINE_BLOCK_CHANGE").when(t.has_raw_html(patched) & ~t.has_raw_html(original), "SEMANTIC_OCR_CORRECTION_TEXT_UNSAFE"))
 
 
 def page_codes(patches: DataFrame, spans: DataFrame) -> DataFrame:
@@ -66,8 +66,8 @@ def plan_codes(plan: DataFrame, context: DataFrame) -> DataFrame:
     w = Window.partitionBy("doc").orderBy("order", "block")
     o = blocks.withColumn("want", F.row_number().over(w) - 1).groupBy("doc").agg(
         F.bool_or(F.col("want") != F.col("order")).alias("disordered"), F.min("confidence").alias("confidence"))
-    code = (F.when(F.col("unknown"), "PLAN_SPAN_UNKNOWN").when(F.col("missing"), "PLAN_SPAN_MISSING").when(F.col("twice"), "PLAN_SPAN_DUPLICATE")
-            .when(F.coalesce("disordered", F.lit(False)), "PLAN_ORDER_INVALID").when(F.col("confidence") < LEAST_CONFIDENCE, "PLAN_CONFIDENCE_TOO_LOW"))
+    code = (F.when(F.col("unknown"), "SEMANTIC_REPAIR_UNKNOWN_SPAN").when(F.col("missing"), "SEMANTIC_REPAIR_MISSING_SPAN").when(F.col("twice"), "SEMANTIC_REPAIR_DUPLICATE_SPAN")
+            .when(F.coalesce("disordered", F.lit(False)), "SEMANTIC_REPAIR_ORDER_INVALID").when(F.col("confidence") < LEAST_CONFIDENCE, "SEMANTIC_REPAIR_CONFIDENCE_LOW"))
     return per.join(o, "doc", "left").select("doc", code.alias("code"))
 
 

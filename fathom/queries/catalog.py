@@ -62,7 +62,7 @@ def fk_orphans(spark, sf):
 k AS (SELECT p_brand, lower(name) AS key, column_id, status FROM e UNION SELECT p_brand, lower(alias), column_id, status FROM e),
 f AS (SELECT p_brand, key, column_id, status FROM (SELECT *, row_number() OVER (PARTITION BY p_brand, key ORDER BY column_id) AS n FROM k) WHERE n = 1),
 c AS (SELECT p_brand, CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE 'Alias ' || p_partkey END AS name FROM part WHERE p_partkey % 5 <> 0),
-m AS (SELECT c.p_brand, c.name, f.column_id, CASE WHEN f.column_id IS NULL THEN 'NEW' WHEN status = 'RETIRED' THEN 'RETIRED_REUSE' ELSE 'KEPT' END AS code
+m AS (SELECT c.p_brand, c.name, f.column_id, CASE WHEN f.column_id IS NULL THEN 'NEW' WHEN status = 'RETIRED' THEN 'RETIRED_COLUMN_REUSE' ELSE 'KEPT' END AS code
   FROM c LEFT JOIN f ON c.p_brand = f.p_brand AND lower(c.name) = f.key)
 SELECT * FROM m UNION ALL SELECT p_brand, name, column_id, 'RETIRED' FROM e WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.p_brand = e.p_brand AND m.column_id = e.column_id)""")
 def column_identity(spark, sf):

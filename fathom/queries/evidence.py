@@ -106,7 +106,7 @@ def group_locations(spark, sf):
 
 
 @R.add("""WITH w AS (SELECT user_id, event_id % 5 AS r, max(event_id % 3) + sum(event_id % 4 + 1) AS n FROM events GROUP BY 1, 2)
-SELECT user_id AS "table", coalesce(CASE WHEN user_id % 2 = 0 THEN 10 END, max(n))::BIGINT AS columns, CASE WHEN user_id % 2 = 0 AND max(n) > 10 THEN 'TABLE_COLUMNS_INVALID' END AS code FROM w GROUP BY 1""")
+SELECT user_id AS "table", coalesce(CASE WHEN user_id % 2 = 0 THEN 10 END, max(n))::BIGINT AS columns, CASE WHEN user_id % 2 = 0 AND max(n) > 10 THEN 'DOCX_TABLE_DECLARED_GRID_TOO_SMALL' END AS code FROM w GROUP BY 1""")
 def table_columns(spark, sf):
     e = table(spark, sf, "events").select(F.col("user_id").alias("table"), (F.col("event_id") % 5).alias("row"), (F.col("event_id") % 3).alias("before"), (F.col("event_id") % 4 + 1).alias("span"))
     declared = e.where("table % 2 = 0").select("table").distinct().withColumn("declared", F.lit(10))
@@ -159,7 +159,7 @@ def generated_repairs(spark, sf):
     return t.select("conv_id", "turn", repair.generated_code(F.col("a"), made).alias("code"))
 
 
-@R.add("""SELECT conv_id AS doc, CASE WHEN conv_id % 4 = 0 THEN 'PATCH_CONFIDENCE_TOO_LOW' WHEN conv_id % 4 = 1 THEN 'PATCH_GROWTH_EXCEEDED' WHEN conv_id % 4 = 2 THEN 'PATCH_SPAN_UNKNOWN' END AS code FROM (SELECT DISTINCT conv_id FROM conversations)""")
+@R.add("""SELECT conv_id AS doc, CASE WHEN conv_id % 4 = 0 THEN 'SEMANTIC_OCR_CORRECTION_CONFIDENCE_LOW' WHEN conv_id % 4 = 1 THEN 'SEMANTIC_OCR_CORRECTION_TEXT_GROWTH_EXCEEDED' WHEN conv_id % 4 = 2 THEN 'SEMANTIC_OCR_CORRECTION_UNKNOWN_SPAN' END AS code FROM (SELECT DISTINCT conv_id FROM conversations)""")
 def page_patches(spark, sf):
     """The first failing patch rejects its page."""
     t = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), F.lit(1).alias("page"), F.col("turn").alias("span"), "text")
@@ -169,7 +169,7 @@ def page_patches(spark, sf):
     return repair.page_codes(p, t).select("doc", "code")
 
 
-@R.add("""SELECT conv_id AS doc, CASE conv_id % 5 WHEN 0 THEN 'PLAN_SPAN_MISSING' WHEN 1 THEN 'PLAN_SPAN_UNKNOWN' WHEN 2 THEN 'PLAN_SPAN_DUPLICATE' WHEN 3 THEN 'PLAN_CONFIDENCE_TOO_LOW' END AS code FROM (SELECT DISTINCT conv_id FROM conversations)""")
+@R.add("""SELECT conv_id AS doc, CASE conv_id % 5 WHEN 0 THEN 'SEMANTIC_REPAIR_MISSING_SPAN' WHEN 1 THEN 'SEMANTIC_REPAIR_UNKNOWN_SPAN' WHEN 2 THEN 'SEMANTIC_REPAIR_DUPLICATE_SPAN' WHEN 3 THEN 'SEMANTIC_REPAIR_CONFIDENCE_LOW' END AS code FROM (SELECT DISTINCT conv_id FROM conversations)""")
 def structure_plans(spark, sf):
     """The first rule each repair plan breaks."""
     c = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("span"))

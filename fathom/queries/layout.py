@@ -293,7 +293,7 @@ def fidelity_status(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", v.fidelity_status((F.col("o_custkey") % 5 == 0).cast("int"), zero, (F.col("o_custkey") % 3 == 0).cast("int"), zero, zero).alias("status"))
 
 
-@R.add("""SELECT event_id, CASE WHEN user_id % 2 = 0 THEN 'PLAN_UNKNOWN_SPAN' WHEN value > 50 THEN 'PLAN_ORDER_INVALID' END AS code FROM events""")
+@R.add("""SELECT event_id, CASE WHEN user_id % 2 = 0 THEN 'SEMANTIC_REPAIR_UNKNOWN_SPAN' WHEN value > 50 THEN 'SEMANTIC_REPAIR_ORDER_INVALID' END AS code FROM events""")
 def plan_checks(spark, sf):
     """The first failed check of an ordered set."""
-    return table(spark, sf, "events").select("event_id", v.plan_code({"PLAN_UNKNOWN_SPAN": F.col("user_id") % 2 == 0, "PLAN_ORDER_INVALID": F.col("value") > 50}).alias("code"))
+    return table(spark, sf, "events").select("event_id", v.plan_code({"SEMANTIC_REPAIR_UNKNOWN_SPAN": F.col("user_id") % 2 == 0, "SEMANTIC_REPAIR_ORDER_INVALID": F.col("value") > 50}).alias("code"))

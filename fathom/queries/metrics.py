@@ -74,11 +74,11 @@ def metric_by_related_dimension(spark, sf):
 
 CHECKED = [
     ("COUNT(DISTINCT l_partkey)", "OK"), ("COUNT(*)", "OK"), ("ROUND(SUM(l_quantity) / NULLIF(COUNT(*), 0), 2)", "OK"),
-    ("COUNT(missing_column)", "METRIC_REFERENCE_UNKNOWN"), ("SUM(orders.o_totalprice)", "METRIC_REFERENCE_UNKNOWN"),
-    ("SUM(a.lineitem.l_tax)", "METRIC_REFERENCE_UNKNOWN"), ("COUNT(l_tax); COUNT(l_tax)", "METRIC_SQL_UNSAFE"),
-    ("SELECT COUNT(*) FROM lineitem", "METRIC_SQL_UNSAFE"), ("1 + (SELECT 1)", "METRIC_SQL_UNSAFE"), ("SUM(", "METRIC_SQL_INVALID"),
-    ("EXPLODE(SPLIT(l_returnflag, ','))", "METRIC_SQL_UNSAFE"), ("JAVA_METHOD('java.lang.System', 'exit', 0)", "METRIC_SQL_UNSAFE"),
-    ("SUM(l_tax) OVER (PARTITION BY l_returnflag)", "METRIC_SQL_UNSAFE"), ("EXISTS (SELECT 1)", "METRIC_SQL_UNSAFE"),
+    ("COUNT(missing_column)", "LLM_METRIC_REFERENCE_UNKNOWN"), ("SUM(orders.o_totalprice)", "LLM_METRIC_REFERENCE_UNKNOWN"),
+    ("SUM(a.lineitem.l_tax)", "LLM_METRIC_REFERENCE_UNKNOWN"), ("COUNT(l_tax); COUNT(l_tax)", "LLM_METRIC_SQL_UNSAFE"),
+    ("SELECT COUNT(*) FROM lineitem", "LLM_METRIC_SQL_UNSAFE"), ("1 + (SELECT 1)", "LLM_METRIC_SQL_UNSAFE"), ("SUM(", "LLM_METRIC_SQL_INVALID"),
+    ("EXPLODE(SPLIT(l_returnflag, ','))", "LLM_METRIC_SQL_UNSAFE"), ("JAVA_METHOD('java.lang.System', 'exit', 0)", "LLM_METRIC_SQL_UNSAFE"),
+    ("SUM(l_tax) OVER (PARTITION BY l_returnflag)", "LLM_METRIC_SQL_UNSAFE"), ("EXISTS (SELECT 1)", "LLM_METRIC_SQL_UNSAFE"),
 ]
 
 
@@ -96,7 +96,7 @@ def metric_guard(spark, sf):
     return spark.createDataFrame(rows, "expression string, code string")
 
 
-@R.add("""SELECT * FROM (VALUES ('both', 'METRIC_MULTI_DATASET_EXCLUDED'), ('ghost', 'METRIC_DATASET_UNKNOWN')) AS t(metric, code)""")
+@R.add("""SELECT * FROM (VALUES ('both', 'METRIC_MULTI_DATASET_UNSUPPORTED'), ('ghost', 'LLM_METRIC_DATASET_UNKNOWN')) AS t(metric, code)""")
 def metric_exclusions(spark, sf):
     """Metrics over several datasets are left out with a warning."""
     _, warned = m.compile_metrics(spark, [

@@ -186,9 +186,9 @@ def text_comparison_key(spark, sf):
   WHEN 2 THEN replace(text, ' ', '  ') ELSE text || 'x' END AS b, CASE WHEN turn % 4 = 2 THEN 'spacing' ELSE 'recognition' END AS kind FROM conversations),
 c AS (SELECT *, length(regexp_replace(a, '[{W}]+', '', 'g')) AS visible, CASE WHEN length(a) = length(b)
   THEN len(list_filter(range(1, length(a) + 1), lambda i: a[i] <> b[i])) END AS changes FROM x)
-SELECT conv_id, turn, CASE WHEN a = b THEN 'UNCHANGED' WHEN kind = 'spacing' AND regexp_replace(a, '[{W}]+', '', 'g') <> regexp_replace(b, '[{W}]+', '', 'g')
-  THEN 'CHARACTERS_CHANGED' WHEN kind = 'spacing' THEN NULL WHEN length(a) <> length(b) THEN 'LENGTH_CHANGED'
-  WHEN changes > greatest(1, least(4, (visible * 15) // 100)) THEN 'BUDGET_EXCEEDED' END AS code FROM c""")
+SELECT conv_id, turn, CASE WHEN kind = 'spacing' AND (a = b OR regexp_replace(a, '[{W}]+', '', 'g') <> regexp_replace(b, '[{W}]+', '', 'g'))
+  THEN 'SEMANTIC_OCR_CORRECTION_SPACING_INVALID' WHEN kind <> 'spacing' AND (a = b OR length(a) <> length(b) OR changes > greatest(1, least(4, (visible * 15) // 100)))
+  THEN 'SEMANTIC_OCR_CORRECTION_RECOGNITION_INVALID' END AS code FROM c""")
 def text_edit_budget(spark, sf):
     text, turn = F.col("text"), F.col("turn") % 4
     made = (F.when(turn == 0, text).when(turn == 1, F.regexp_replace(text, "th", "tb")).when(turn == 2, F.regexp_replace(text, " ", "  "))
@@ -198,9 +198,9 @@ def text_edit_budget(spark, sf):
 
 
 @R.add(r"""WITH x AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS h FROM pages)
-SELECT page_id, CASE WHEN NOT url LIKE 'https://%' THEN 'HTTPS_REQUIRED' WHEN h LIKE '%@%' THEN 'CREDENTIALS_FORBIDDEN'
-  WHEN regexp_matches(h, ':[0-9]+$') THEN 'PORT_FORBIDDEN' WHEN h NOT IN ('example.com', 'www.example.com') THEN 'UNTRUSTED_HOST'
-  WHEN url LIKE '%?%' OR url LIKE '%#%' THEN 'QUERY_FORBIDDEN' END AS code FROM x""")
+SELECT page_id, CASE WHEN NOT url LIKE 'https://%' THEN 'ATTACHMENT_HTTPS_REQUIRED' WHEN h LIKE '%@%' THEN 'ATTACHMENT_CREDENTIALS_FORBIDDEN'
+  WHEN regexp_matches(h, ':[0-9]+$') THEN 'ATTACHMENT_PORT_FORBIDDEN' WHEN h NOT IN ('example.com', 'www.example.com') THEN 'UNTRUSTED_ATTACHMENT_HOST'
+  WHEN url LIKE '%?%' OR url LIKE '%#%' THEN 'ATTACHMENT_QUERY_FORBIDDEN' END AS code FROM x""")
 def text_url_policy(spark, sf):
     return table(spark, sf, "pages").select("page_id", t.url_policy_code(F.col("url"), ("example.com", "www.example.com")).alias("code"))
 

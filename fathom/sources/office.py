@@ -33,8 +33,18 @@ FORM_LABELS = {"column": "컬럼명", "description": "컬럼_설명", "data_type
 FORM_METADATA = {"저장_플랫폼_및_세부_위치": "location", "테이블_명": "table", "테이블_설명": "description"}
 
 
+DOCUMENT_CODES = {"INVALID": "SEMANTIC_DOCX_UNREADABLE", "PART_TOO_LARGE": "DOCX_PART_TOO_LARGE",
+                  "RATIO": "DOCX_PART_COMPRESSION_RATIO_EXCEEDED", "TOTAL_TOO_LARGE": "DOCX_TOTAL_TOO_LARGE"}
+WORKBOOK_CODES = {"INVALID": "ATTACHMENT_CONTAINER_MISMATCH", "PART_TOO_LARGE": "ATTACHMENT_TOO_LARGE",
+                  "RATIO": "ATTACHMENT_ZIP_BOMB", "TOTAL_TOO_LARGE": "ATTACHMENT_TOO_LARGE"}
+
+
 class PackageError(ValueError):
-    pass
+    """A package that must not be opened; its text says why."""
+
+
+def _code(e: Exception, codes: dict[str, str]) -> str:
+    return codes[str(e) if isinstance(e, PackageError) else "INVALID"]
 
 
 def package_parts(content: bytes) -> zipfile.ZipFile:
@@ -42,12 +52,16 @@ def package_parts(content: bytes) -> zipfile.ZipFile:
     try:
         package = zipfile.ZipFile(io.BytesIO(content))
     except zipfile.BadZipFile as e:
-        raise PackageError("PACKAGE_INVALID") from e
+        raise PackageError("INVALID") from e
     total = 0
     for info in package.infolist():
         total += info.file_size
-        if info.file_size > MOST_PART or total > MOST_TOTAL or info.file_size > MOST_RATIO * max(1, info.compress_size):
-            raise PackageError("PACKAGE_TOO_LARGE")
+        if info.file_size > MOST_PART:
+            raise PackageError("PART_TOO_LARGE")
+        if info.file_size > MOST_RATIO * max(1, info.compress_size):
+            raise PackageError("RATIO")
+        if total > MOST_TOTAL:
+            raise PackageError("TOTAL_TOO_LARGE")
     return package
 
 
@@ -93,7 +107,7 @@ def read_cells(files: DataFrame) -> DataFrame:
                 try:
                     rows += [(name, *cell, None) for cell in sheet_cells(bytes(content))]
                 except (PackageError, KeyError, ElementTree.ParseError) as e:
-                    rows.append((name, None, None, None, None, str(e) if isinstance(e, PackageError) else "PACKAGE_INVALID"))
+                    rows.append((name, None, None, None, None, _code(e, WORKBOOK_CODES)))
             yield pd.DataFrame(rows, columns=["name", "sheet", "row", "col", "value", "code"]).astype(
                 {"row": "Int32", "col": "Int32"})
 
@@ -293,7 +307,7 @@ def read_blocks(files: DataFrame) -> DataFrame:
                 try:
                     rows += [(name, *b, None) for b in document_blocks(bytes(content))]
                 except (PackageError, KeyError, ElementTree.ParseError) as e:
-                    rows.append((name, *[None] * 9, str(e) if isinstance(e, PackageError) else "PACKAGE_INVALID"))
+                    rows.append((name, *[None] * 9, _code(e, DOCUMENT_CODES)))
             got = pd.DataFrame(rows, columns=[x.split()[0] for x in BLOCK_SCHEMA.split(", ")])
             yield got.astype({c: "Int32" for c in ("ordinal", "level", "table", "start_row", "end_row", "start_column", "end_column")})
 

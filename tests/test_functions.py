@@ -77,9 +77,12 @@ def test_changed_boundaries(spark):
     assert one(spark, t.changed_boundaries(F.col("a"), F.col("b")), a="nsn", b="nnh") == [1, 2]
 
 
+SPACING, RECOGNITION = "SEMANTIC_OCR_CORRECTION_SPACING_INVALID", "SEMANTIC_OCR_CORRECTION_RECOGNITION_INVALID"
+
+
 @pytest.mark.parametrize(("a", "b", "kind", "code"), [
-    ("abc", "abc", "spacing", "UNCHANGED"), ("a bc", "ab c", "spacing", None), ("abc", "abd", "spacing", "CHARACTERS_CHANGED"), ("abc", "abd", "recognition", None),
-    ("abc", "abcd", "recognition", "LENGTH_CHANGED"), ("a bc", "abc ", "recognition", "WHITESPACE_CHANGED"), ("abcdef", "xyzdef", "recognition", "BUDGET_EXCEEDED")])
+    ("abc", "abc", "spacing", SPACING), ("a bc", "ab c", "spacing", None), ("abc", "abd", "spacing", SPACING), ("abc", "abd", "recognition", None), ("abc", "abc", "recognition", RECOGNITION),
+    ("abc", "abcd", "recognition", RECOGNITION), ("a bc", "abc ", "recognition", RECOGNITION), ("abcdef", "xyzdef", "recognition", RECOGNITION)])
 def test_edit_budget(spark, a, b, kind, code):
     assert one(spark, t.edit_budget_code(F.col("a"), F.col("b"), F.col("k")), a=a, b=b, k=kind) == code
 
@@ -96,9 +99,12 @@ def test_small_functions(spark):
     assert one(spark, t.normalize_header(F.col("v")), v=" Data  Type ") == "data_type"
     assert one(spark, t.qualified_identifier_repair(F.col("v")), v="a . b") == "a.b"
     assert one(spark, t.lone_syllable(F.col("v")), v="가 나다") is True
-    assert one(spark, t.fragmented(F.col("v")), v="net _amount") is True
+    for value, want in (("net _amount", True), ("net_ amount", True), ("가 나다", True), ("가나 다라", False), ("가나 다라 마", False), ("plain text", False), ("x가 나다", False)):
+        assert one(spark, t.fragmented(F.col("v")), v=value) is want, value
+    assert one(spark, t.form_locator(F.col("v"), F.col("w")), v="Ws. Sales", w=" T") == "unspecified|ws|sales|t"
+    assert one(spark, t.form_locator(F.col("v"), F.col("w")), v="ws..x", w="t") is None
     assert one(spark, arrow.utf8_prefix(F.col("v"), F.col("n")), v="é€x", n=4) == "é"
-    assert one(spark, t.url_policy_code(F.col("v"), ("h.com",)), v="https://h.com/a/../b") == "PATH_FORBIDDEN"
+    assert one(spark, t.url_policy_code(F.col("v"), ("h.com",)), v="https://h.com/a/../b") == "UNTRUSTED_ATTACHMENT_PATH"
 
 
 def test_canonical_hashes_ignore_what_does_not_matter(spark):

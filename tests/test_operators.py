@@ -23,7 +23,7 @@ def test_metric_texts(spark):
     assert out.first()["m"] == 0.5 and out.dtypes[0][1].startswith("decimal")
     with pytest.raises(metrics.MetricError, match="METRIC_DATASET_NAME_AMBIGUOUS"):
         metrics.dataset_catalog([d, metrics.Dataset("MARKETING_CAMPAIGN", {}, {})])
-    with pytest.raises(metrics.MetricError, match="METRIC_NAME_DUPLICATE"):
+    with pytest.raises(metrics.MetricError, match="LLM_METRIC_NAME_DUPLICATE"):
         metrics.compile_metrics(spark, [("A", "t", "COUNT(*)"), ("a", "t", "COUNT(*)")], {"t": df})
 
 
@@ -36,7 +36,7 @@ def test_relationships_do_not_fan_out(spark):
 def test_first_match_wins(spark):
     existing = spark.createDataFrame([("s", "c2", "x", ["n"], "ACTIVE"), ("s", "c1", "n", None, "RETIRED")], "scope string, id string, name string, aliases array<string>, status string")
     got = identity.match_named(spark.createDataFrame([("s", "N")], "scope string, name string"), existing, ["scope"], "id")
-    assert {(r.name, r.id, r.code) for r in got.collect()} == {("N", "c1", "RETIRED_REUSE"), ("x", "c2", "RETIRED")}
+    assert {(r.name, r.id, r.code) for r in got.collect()} == {("N", "c1", "RETIRED_COLUMN_REUSE"), ("x", "c2", "RETIRED")}
 
 
 def test_islands_of_nothing_and_of_one(spark):
@@ -129,7 +129,7 @@ def test_grids(spark):
     cells = spark.createDataFrame([(1, 0, 0, 2, 0, 1), (1, 1, 0, 1, 1, 2), (1, 2, 1, 2, 1, 2), (2, 0, 0, 1, 0, 2), (2, 1, 0, 1, 1, 2), (4, 0, 0, 0, 0, 1)],
                                   "table int, cell int, start_row int, end_row int, start_column int, end_column int")
     assert {(r.table, r.code) for r in canonical.grid_findings(cells, tables).collect()} == {
-        (2, "TABLE_GRID_OVERLAP"), (3, "TABLE_GRID_LIMIT"), (4, "TABLE_CELL_OUT_OF_BOUNDS"), (5, "TABLE_GRID_NOT_PARTITIONED")}
+        (2, "TABLE_GRID_OVERLAP"), (3, "TABLE_GRID_DIMENSIONS_INVALID"), (4, "TABLE_CELL_OUT_OF_BOUNDS"), (5, "TABLE_GRID_NOT_PARTITIONED")}
 
 
 def test_topological_orders(spark):

@@ -59,7 +59,8 @@ def test_form_dictionary_stops_at_the_first_blank_row(spark):
 def test_broken_and_swollen_packages_are_rows(spark):
     bomb = package(xl__workbook="x" * 5_000_000)
     df = spark.createDataFrame([("broken", b"no zip"), ("bomb", bomb)], "name string, content binary")
-    assert {r.name: r.code for r in office.read_cells(df).collect()} == {"broken": "PACKAGE_INVALID", "bomb": "PACKAGE_TOO_LARGE"}
+    assert {r.name: r.code for r in office.read_cells(df).collect()} == {"broken": "ATTACHMENT_CONTAINER_MISMATCH", "bomb": "ATTACHMENT_ZIP_BOMB"}
+    assert {r.name: r.code for r in office.read_blocks(df).collect()} == {"broken": "SEMANTIC_DOCX_UNREADABLE", "bomb": "DOCX_PART_COMPRESSION_RATIO_EXCEEDED"}
 
 
 def test_document_blocks(spark):
