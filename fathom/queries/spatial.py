@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fathom.functions import geometry as g
@@ -80,7 +79,7 @@ def without_overlap(spark, sf):
     return sp.without_overlap(x, x, ["doc", "page"], "id", "box").select("doc", "page", "id")
 
 
-@R.add(f"""WITH {BOXES}, n AS (SELECT *, lead(l) OVER w AS l2, lead(b) OVER w AS b2, lead(r) OVER w AS r2, lead(t) OVER w AS t2 FROM x WINDOW w AS (ORDER BY id)), z AS (SELECT * FROM n WHERE l2 IS NOT NULL)
+@R.add(f"""WITH {BOXES}, z AS (SELECT q.*, i.l AS l2, i.b AS b2, i.r AS r2, i.t AS t2 FROM x q JOIN x i ON i.id = q.id + 1)
 SELECT id, (least(t - b, t2 - b2) <= 0 OR greatest(0, least(t, t2) - greatest(b, b2)) / least(t - b, t2 - b2) >= 0.35) AS baseline,
   round(CASE WHEN least(r - l, r2 - l2) > 0 THEN greatest(0, least(r, r2) - greatest(l, l2)) / least(r - l, r2 - l2) ELSE 0 END, 9) AS across,
   round(pow((l + r) / 2 - (l2 + r2) / 2, 2) + pow((b + t) / 2 - (b2 + t2) / 2, 2), 9) AS distance,
@@ -89,8 +88,7 @@ SELECT id, (least(t - b, t2 - b2) <= 0 OR greatest(0, least(t, t2) - greatest(b,
 def box_measures(spark, sf):
     """Baselines, overlaps and distances of a part's box and the next one's."""
     x = _boxes(spark, sf).select("id", "box")
-    keys = x.select("id").withColumn("next", F.lead("id").over(Window.orderBy("id")))
-    j = x.join(keys, "id").join(x.select(F.col("id").alias("next"), F.col("box").alias("other")), "next")
+    j = x.join(x.select((F.col("id") - 1).alias("id"), F.col("box").alias("other")), "id")
     a, b = F.col("box"), F.col("other")
     return j.select("id", g.same_baseline(a, b).alias("baseline"), F.round(g.horizontal_overlap(a, b), 9).alias("across"),
                     F.round(g.center_distance(a, b), 9).alias("distance"), F.round(g.overlap_score(a, b), 9).alias("score"))

@@ -61,3 +61,21 @@ def test_nothing_else_imports_the_subpackage():
             if name.endswith(".py"):
                 with open(f"{folder}/{name}") as f:
                     assert "fathom.llm" not in f.read()
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(every.QUERIES) - {"stream_window_counts"}))
+def test_no_query_forms_a_product(spark, name):
+    plan = plan_of(every.QUERIES[name](spark, SF))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_scans_read_what_a_query_needs(spark):
+    plan = every.QUERIES["metric_revenue_by_flag"](spark, SF)._jdf.queryExecution().toString()
+    schema = plan[plan.rindex("ReadSchema:"):].split("\n")[0]
+    assert "l_extendedprice" in schema and "l_shipdate" not in schema and "l_orderkey" not in schema
+    filtered = plan_of(every.QUERIES["majority_vote"](spark, SF))
+    assert "PushedFilters: [IsNotNull(value), GreaterThanOrEqual(value,20.0)" in filtered
