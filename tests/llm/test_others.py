@@ -445,3 +445,63 @@ def test_pipeline_stages_compose(spark):
     whole = corpus_pipeline.run(spark, sf)
     assert whole.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert whole.agg(F.sum("length")).first()[0] > 0
+
+
+def test_pipeline_against_brute_force(spark):
+    """Every stage against a plain version of it, each on what the stage before kept."""
+    import duckdb
+
+    from tests.llm.test_dedup import brute_lines, ordered_jaccard
+
+    sf, stages = f"{DATA}/sf0.001", dict(corpus_pipeline.STAGES)
+    start = spark.read.parquet(f"{sf}/documents.parquet")
+    good = stages["quality classifier"](spark, start, sf)
+    scores = quality.score_quality(spark, start, spark.read.parquet(f"{sf}/labels.parquet"))
+    kept = {r.doc_id for r in scores.collect() if r.score >= 0.7}
+    rows = [tuple(r) for r in start.collect() if r.doc_id in kept]
+    assert cases.as_set(good, *corpus_pipeline.COLUMNS) == cases.as_set(spark.createDataFrame(rows, cases.SCHEMA), *corpus_pipeline.COLUMNS)
+
+    cut = stages["line dedup"](spark, cases.frame(spark, rows), sf)
+    want = {d: text for d, _, _, text in brute_lines(rows, 3)}
+    assert {r.doc_id: r.text for r in cut.collect()} == want
+    rows = [(d, want[d], lang, source, len(want[d])) for d, _, lang, source, _ in rows]
+
+    words = {r[0]: WORD.findall(r[1]) for r in rows}
+    sets = {d: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for d, w in words.items()}
+    root = {d: d for d in words}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids = sorted(words)
+    text_of = {r[0]: r[1] for r in rows}
+    for i, a in enumerate(ids):
+        for b in ids[i + 1:]:
+            shared = len(sets[a] & sets[b])
+            if text_of[a] == text_of[b] or (shared > 0.3 * max(len(sets[a]), len(sets[b])) and ordered_jaccard(words[a], words[b]) >= 0.8):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    single = stages["MinHash near-dedup"](spark, cases.frame(spark, rows), sf)
+    assert sorted(r.doc_id for r in single.collect()) == sorted({find(d) for d in ids})
+    rows = [r for r in rows if find(r[0]) == r[0]]
+
+    mixed = stages["mixing sources to target weights"](spark, cases.frame(spark, rows), sf).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", rows)
+    taken = {r[0]: r[1] for r in con.sql(f"SELECT doc_id, taken FROM ({mixing.ORACLE_SQL})").fetchall()}
+    got: dict = dict.fromkeys(taken, 0)
+    for r in mixed:
+        got[r.doc_id] += len(WORD.findall(r.text))
+    assert got == taken
+
+    packed = stages["packing"](spark, spark.createDataFrame(mixed, cases.SCHEMA), sf).collect()
+    bpe = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    texts: dict = {}
+    for r in mixed:
+        texts.setdefault(r.doc_id, []).append(np.array([*bpe.encode_ordinary(r.text), 1], "<u4"))
+    assert sum(p.length for p in packed) == sum(len(x) for xs in texts.values() for x in xs)
+    for p in packed:
+        assert any(len(x) == p.doc_tokens and zlib.crc32(x[p.start:p.start + p.length].tobytes()) == p.ids_crc32 for x in texts[p.doc_id])
