@@ -91,7 +91,8 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     n, m = len(a), len(b)
     if not n or not m:
         return 0.0
-    need = threshold / (1 + threshold) * (n + m)
+    # Rounding must not reject a pair exactly at the threshold: the last line alone decides.
+    need = threshold / (1 + threshold) * (n + m) - 1e-6
     if min(n, m) < need:
         return 0.0
     order = np.argsort(b)
@@ -99,7 +100,7 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     place = np.minimum(np.searchsorted(ranked, a), m - 1)
     i = np.flatnonzero(ranked[place] == a)
     j = order[place[i]]
-    near = np.abs(i - j) <= (n + m) * (1 - threshold) / (1 + threshold)
+    near = np.abs(i - j) <= (n + m) * (1 - threshold) / (1 + threshold) + 1e-6
     j = j[near]
     if len(j) < need:
         return 0.0

@@ -238,6 +238,35 @@ def test_shared_passage_does_not_link_others(spark):
         {(r.doc_id, r.class_id) for r in out.collect()} == {(i, i // 2 * 2) for i in range(80)}
 
 
+@pytest.mark.parametrize("n", [4, 8, 28, 40, 100, 396])
+def test_texts_exactly_at_the_threshold_are_similar(n):
+    """n of n * 5 / 4 shingles: with words put before, after or on both sides, and one text in place of words."""
+    m = n * 5 // 4
+    base = [f"b{i}" for i in range(n + 4)]
+    more = [f"m{i}" for i in range(m - n)]
+    pairs = [(base, more + base), (base, base + more), (base, more[:1] + base + more[1:])]
+    common = (n + m) * 4 // 9
+    if (n + m) * 4 % 9 == 0:
+        pairs.append((base[:common + 4] + [f"x{i}" for i in range(n - common)], base[:common + 4] + [f"y{i}" for i in range(m - common)]))
+    for a, b in pairs:
+        assert ordered_jaccard(a, b) == 0.8
+        x, y = (order_minhash.shingles(w, 5) for w in order_minhash._word_hashes([" ".join(a), " ".join(b)]))
+        assert order_minhash.similarity(x, y, 0.8) == 0.8 == order_minhash.similarity(y, x, 0.8)
+
+
+def test_no_size_at_the_threshold_is_lost_to_rounding():
+    lost = 0
+    for n in range(1, 120):
+        for m in range(n, 120):
+            common, rest = divmod((n + m) * 4, 9)
+            if rest or common > n:
+                continue
+            a = np.arange(n, dtype=np.uint64)
+            b = np.concatenate([a[:common], np.arange(1000, 1000 + m - common, dtype=np.uint64)])
+            lost += order_minhash.similarity(a, b, 0.8) != 0.8
+    assert lost == 0
+
+
 @pytest.mark.parametrize("apply", [
     lambda s, d: substring_dedup.remove_repeated_words(s, d), lambda s, d: suffix_dedup.remove_repeated_bytes(s, d),
     lambda s, d: line_dedup.delete_repeated_lines(d), lambda s, d: order_minhash.near_duplicates(s, d),
