@@ -12,9 +12,11 @@ only shingles in the same order, so one that falls with every edit.
    similarity s agree on a key with a chance of about s ** sample.
 3. In each group with a key in common, all are paired with the group's head: the node with
    the most company over all its groups, which in a group of copies is their source.
-   Where some member is not similar to the head, the group's members are regrouped by its
-   key together with that of one of the next bands, and paired with the heads
-   of those groups. Pairs grow in proportion to the documents.
+   A group whose members are still in several classes (its members unlike the head) is
+   compared whole: its members are dealt to blocks, every pair of blocks is one piece of
+   work, and every pair of members of different classes is compared, once over all
+   bands. A count of common shingles, never under M, settles most of them. So any two
+   documents with a key in common are compared or already in one class.
 4. Pairs are verified by alignment in a band: unless |i - j| <= (n + m) (1 - t) / (1 + t)
    for all matched places the similarity is under t, so the band loses nothing. On distinct
    elements the alignment is a longest increasing subsequence.
@@ -39,7 +41,8 @@ from fathom.session import lean
 
 from .common import NULL_ID, Scratch, batches, connected_components, id_columns, ids_of, mix, word_table
 
-NEXT_BANDS = 3
+#: Most members and words of a block, but for a longer text.
+BLOCK_NODES, BLOCK_WORDS = 1024, 1 << 20
 
 _RNG = np.random.default_rng(99)
 SALTS = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -119,6 +122,43 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     return got if got >= threshold else 0.0
 
 
+def links_between(seqs: list[np.ndarray], keys: np.ndarray, classes: np.ndarray, right: np.ndarray, band: int,
+                  threshold: float) -> list[tuple[int, int]]:
+    """Links between rows not marked ``right`` and those marked; among all if none is marked.
+
+    Left out are pairs of one class (with the links found here) and those with an earlier
+    key in common, which meet in that key's group.
+    """
+    order = np.argsort(right, kind="stable")
+    seqs, keys, sizes = [seqs[i] for i in order], keys[order], np.array([len(seqs[i]) for i in order])
+    label = np.unique(classes[order], return_inverse=True)[1]
+    n, split = len(seqs), int(np.count_nonzero(~right))
+    one = split == n
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    ids = np.unique(np.concatenate(seqs), return_inverse=True)[1]
+    mine, out = np.zeros(len(ids), np.int32), []
+    for x in range(n - 1 if one else split):
+        lo = x + 1 if one else split
+        need = threshold / (1 + threshold) * (sizes[lo:] + sizes[x]) - 1e-6
+        open_ = (label[lo:] != label[x]) & (np.minimum(sizes[lo:], sizes[x]) >= need)
+        if band and open_.any():
+            open_ &= ~(keys[lo:, :band] == keys[x, :band]).any(axis=1)
+        if not open_.any():
+            continue
+        mine[ids[at[x]:at[x + 1]]] = 1
+        some = np.flatnonzero(open_)
+        if len(some) * 4 < n - lo:
+            common = np.array([mine[ids[at[lo + y]:at[lo + y + 1]]].sum() for y in some])
+        else:
+            common = np.add.reduceat(mine[ids[at[lo]:]], at[lo:n] - at[lo])[some]
+        mine[ids[at[x]:at[x + 1]]] = 0
+        for y in (lo + some[common >= need[some]]).tolist():
+            if label[y] != label[x] and similarity(seqs[x], seqs[y], threshold):
+                out.append((int(order[x]), int(order[y])))
+                label[label == label[y]] = label[x]
+    return out
+
+
 def _word_hashes(texts: list[str]) -> list[np.ndarray]:
     raws, out = [t.encode() for t in texts], []
     for lo, hi in batches(raws):
@@ -152,7 +192,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
         lean(sketch), "row long, doc_id long, node long, n_words long, keys binary"), "sketches")
     nodes = sketched.groupBy("node").agg(
         F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("low"), F.count("*").alias("copies"),
-        F.min("keys").alias("keys"))
+        F.min("keys").alias("keys"), F.max("n_words").alias("n_words"))
     nodes = scratch.save(nodes, "nodes")
 
     def listed(frames):
@@ -198,21 +238,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = 0.8
 
     pairs = groups.select("node", "head").where("node <> head").distinct()
     first = verify(pairs, "first")
-    # Members of a group in which some aren't similar to its head meet again by its key and that
-    # of one of the next bands. Two nodes that share many keys share two such ones.
-    lost = groups.join(first.where("similar = 0"), ["node", "head"], "left_semi").select("band", "key").distinct()
-    flagged = groups.join(lost.withColumn("lost", F.lit(True)), ["band", "key"], "left")
-    mine = flagged.groupBy("node").agg(F.collect_list(F.struct("band", "key", F.coalesce("lost", F.lit(False)).alias("lost"))).alias("own"))
-    twice = mine.where("exists(own, o -> o.lost)").select("node", F.explode(F.expr(f"""
-        flatten(transform(own, a -> transform(filter(own, b -> (a.lost OR b.lost)
-          AND pmod(b.band - a.band, {sketches}) BETWEEN 1 AND {NEXT_BANDS}), b -> xxhash64(a.band, a.key, b.band, b.key))))""")).alias("key"))
-    again = scratch.save(_members(twice, ["key"]), "again")
-    more = _with_heads(again, ["key"], weights).select("node", "head").where("node <> head").distinct()
-    # A pair seen from its other end is the same pair.
-    seen = first.select("node", "head").unionAll(first.select(F.col("head").alias("node"), F.col("node").alias("head")))
-    second = verify(more.join(seen, ["node", "head"], "left_anti"), "second")
-    links = first.unionAll(second).where("similar > 0").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    classes = connected_components(spark, scratch.save(links, "links"), scratch)
+    links = scratch.save(first.where("similar > 0").select(F.col("node").alias("a"), F.col("head").alias("b")), "links")
+    classes = connected_components(spark, links, scratch)
+    # Groups of several classes hold members that no head has settled: all of them are compared.
+    blocks = scratch.save(_blocks(groups.select("band", "key", "node").join(classes, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")).join(nodes.select("node", "n_words"), "node")), "blocks")
+
+    def compare(frames):
+        for frame in _whole(frames, "pair"):
+            seqs = [shingles(w, k) for w in _word_hashes(list(frame["text"]))]
+            keys = np.stack([np.frombuffer(b, np.uint64) for b in frame["keys"]])
+            found = links_between(seqs, keys, frame["component"].to_numpy(), frame["right"].to_numpy(bool), int(frame["band"].iloc[0]), threshold)
+            nodes_ = frame["node"].to_numpy()
+            yield pd.DataFrame({"a": nodes_[[x for x, _ in found]], "b": nodes_[[y for _, y in found]]}, dtype="int64")
+
+    placed = blocks.join(nodes.select("node", "keys"), "node").join(texts, "node")
+    rest = scratch.save(placed.repartition("pair").sortWithinPartitions("pair").mapInPandas(lean(compare), "a long, b long"), "rest")
+    known = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    classes = connected_components(spark, known.unionAll(rest), Scratch(spark, "minhash_rest"))
     members = nodes.select("node", "low", "copies").join(classes, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     sizes = members.groupBy("component").agg(F.min("low").alias("least"), F.sum("copies").alias("class_size"),
@@ -260,5 +303,41 @@ def _with_heads(members: DataFrame, by: list[str], weights: DataFrame) -> DataFr
     return members.drop("n").join(heads, by)
 
 
+def _blocks(members: DataFrame) -> DataFrame:
+    """Members of groups of several classes, once for each pair of blocks they are in.
+
+    A class too large for a block has blocks of its own, which do not meet each other; the
+    others share theirs. Returns pair, band, node, component, right (the pair's second block).
+    """
+    by = ["band", "key"]
+    sizes = members.groupBy(*by, "component").agg(F.count("*").alias("n"), F.sum("n_words").alias("w"))
+    sizes = sizes.withColumn("large", F.expr(f"n > {BLOCK_NODES} OR w > {BLOCK_WORDS}")).withColumn(
+        "owner", F.expr("if(large, component, 0L)"))
+    pools = sizes.groupBy(*by, "large", "owner").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.count("*").alias("classes"))
+    pools = pools.withColumn("blocks", F.expr(f"cast(greatest(ceil(n / {BLOCK_NODES}), ceil(w / {BLOCK_WORDS})) as int)"))
+    pools = pools.groupBy(*by).agg(F.sum("classes").alias("classes"), F.collect_list(F.struct("large", "owner", "blocks")).alias("pools"))
+    dealt = members.join(pools.where("classes > 1").drop("classes"), by).join(sizes.drop("n", "w"), [*by, "component"])
+    dealt = dealt.withColumn("mine", F.expr("""named_struct('large', large, 'owner', owner, 'block',
+        cast(pmod(node, filter(pools, p -> p.large = large AND p.owner = owner)[0].blocks) as int))"""))
+    dealt = dealt.withColumn("other", F.explode(F.expr("""flatten(transform(
+        filter(pools, p -> NOT (large AND p.large AND p.owner = owner)),
+        p -> transform(sequence(0, p.blocks - 1), i -> named_struct('large', p.large, 'owner', p.owner, 'block', i))))""")))
+    return dealt.select(F.expr("xxhash64(band, key, least(mine, other), greatest(mine, other))").alias("pair"), "band", "node",
+                        "component", F.expr("mine > other").alias("right"))
+
+
+def _whole(frames: Iterator[pd.DataFrame], by: str) -> Iterator[pd.DataFrame]:
+    """Each group of rows sorted by ``by``, in one frame."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        for value, some in frame.groupby(by, sort=False):
+            if held and held[0][by].iloc[0] != value:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            held.append(some)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -238,6 +238,35 @@ def test_shared_passage_does_not_link_others(spark):
         {(r.doc_id, r.class_id) for r in out.collect()} == {(i, i // 2 * 2) for i in range(80)}
 
 
+def template_family(pairs=120, template=430, shared=26, own=40):
+    """Pairs on one template: similar to each other (0.852), unlike all others (0.768)."""
+    rng = random.Random(5)
+    words = [f"t{i}" for i in range(template)]
+    rows = []
+    for p in range(pairs):
+        both = [f"s{p}_{i}" for i in range(shared)]
+        cut = rng.randrange(100, template - 100)
+        for side in "ab":
+            mine = [f"{side}{p}_{i}" for i in range(own)]
+            rows.append((len(rows), " ".join(words[:cut] + both + words[cut:] + mine), "en", "s", 0))
+    return rows
+
+
+@pytest.mark.parametrize("limits", [(1024, 1 << 20), (50, 1 << 20), (1024, 20000)], ids=["one", "members", "words"])
+def test_every_pair_of_a_template_family_is_found(spark, monkeypatch, limits):
+    """In one block, and in several by either limit."""
+    monkeypatch.setattr(order_minhash, "BLOCK_NODES", limits[0])
+    monkeypatch.setattr(order_minhash, "BLOCK_WORDS", limits[1])
+    rows = template_family()
+    words = [r[1].split() for r in rows]
+    assert all(ordered_jaccard(words[i], words[i + 1]) >= 0.8 for i in range(0, 20, 2))
+    assert all(ordered_jaccard(words[0], words[i]) < 0.8 for i in range(2, 20))
+    # A large class beside them: copies of one text, each with another word at its end.
+    rows += [(1000 + i, " ".join([*words[0][:300], *[f"z{j}" for j in range(200)], f"end{i}"]), "en", "s", 0) for i in range(120)]
+    out = {(r.doc_id, r.class_id) for r in order_minhash.near_duplicates(spark, cases.frame(spark, rows)).collect()}
+    assert out == {(i, i // 2 * 2) for i in range(240)} | {(1000 + i, 1000) for i in range(120)}
+
+
 @pytest.mark.parametrize("n", [4, 8, 28, 40, 100, 396])
 def test_texts_exactly_at_the_threshold_are_similar(n):
     """n of n * 5 / 4 shingles: with words put before, after or on both sides, and one text in place of words."""
