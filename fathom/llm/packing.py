@@ -4,21 +4,25 @@ Documents are tokenized, closed with an end id, and cut into whole windows and a
 remainder. Remainders are packed block by block of some million tokens inside the task
 that read them, so no document, length or block total crosses a task:
 
-1. enumerate the combinations of up to three remainder lengths that fill a window
+1. enumerate all combinations of up to three remainder lengths that fill a window
    exactly;
 2. solve for non-negative repeat counts x with A x close to the length histogram, where
-   column p of A counts the lengths of combination p (multiplicative updates);
-3. round the counts, as far as the histogram allows;
+   column p of A counts the lengths of combination p (block coordinate descent with an
+   active set, so x is sparse);
+3. round the counts, as far as the histogram allows, and solve again for what is left;
+   when that takes no more, short remainders are laid end to end to piles of an
+   eighth, then a quarter of a window, and 1 to 3 are done again with the piles' lengths;
 4. pack what is left greedily: the longest first, then the longest that fits, and
    a piece cut from the next document where none fits. The rest of a block that
    fills no window becomes sequences whose lengths are powers of two, which need no
    padding.
 
-The ids are those of the byte-level BPE vocabulary whose ranks ``vocabulary`` names;
-strings of special tokens in a text are ordinary text.
+The ids are those of the byte-level BPE vocabulary whose ranks ``vocabulary`` names; the
+string of its special token gets that token's id wherever a text holds it.
 
 Edge cases: null text is empty and packs as its end id alone; very long texts are cut
-into many windows; equal rows are packed each; an empty table gives no rows.
+into many windows; ties of length are taken in any order; equal rows and null doc_ids
+are packed each; extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +44,7 @@ from .common import id_columns
 WINDOW = 2048
 END_ID = 1
 BLOCK_TOKENS = 4_000_000
-MOST_COMBINATIONS = 20_000
+SPECIAL = {"<|endoftext|>": 50256}  # as the vocabulary names it
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
           "offset long, sequence_length long, ids binary")
 
@@ -55,71 +59,134 @@ def encoder(vocabulary: str):
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         _ENCODERS[vocabulary] = tiktoken.Encoding(
-            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
     return _ENCODERS[vocabulary]
 
 
-def fill_combinations(lengths: np.ndarray, counts: np.ndarray, window: int) -> np.ndarray:
-    """Rows of three indexes into ``lengths`` (-1: none) whose lengths sum to ``window``.
+def token_ids(bpe, text: str) -> list[int]:
+    return bpe.encode(text, allowed_special="all") if any(x in text for x in SPECIAL) else bpe.encode_ordinary(text)
 
-    If there are more than MOST_COMBINATIONS, those of the most frequent lengths.
-    """
+
+def fill_combinations(lengths: np.ndarray, window: int) -> np.ndarray:
+    """Every row of up to three indexes into ``lengths`` (-1: none) whose lengths sum to
+    ``window``, ordered by the first index, that of the longest."""
     place = np.full(window + 1, -1)
     place[lengths] = np.arange(len(lengths))
-    other = place[window - lengths]
-    pairs = np.flatnonzero((other >= 0) & (lengths * 2 <= window))
-    two = np.stack([pairs, other[pairs], np.full(len(pairs), -1)], axis=1)
-    i, j = np.triu_indices(len(lengths))
-    rest = window - lengths[i] - lengths[j]
-    ok = rest >= lengths[j]
-    i, j, rest = i[ok], j[ok], rest[ok]
-    ok = place[rest] >= 0
-    three = np.stack([i[ok], j[ok], place[rest[ok]]], axis=1)
-    if len(three) > MOST_COMBINATIONS:
-        rarest = counts[three].min(axis=1)
-        three = three[np.argsort(-rarest, kind="stable")[:MOST_COMBINATIONS]]
-    return np.concatenate([two, three])
-
-
-def repeat_counts(combos: np.ndarray, histogram: np.ndarray, steps: int = 200) -> np.ndarray:
-    """x >= 0 that makes the lengths used by ``combos`` near ``histogram`` in least squares."""
-    used = np.where(combos < 0, len(histogram), combos)
-    goal = np.append(histogram.astype(float), 0.0)
-
-    def forward(x):
-        got = np.bincount(used.ravel(), np.repeat(x, used.shape[1]), len(goal))
-        got[-1] = 0
-        return got
-
-    numerator = goal[used].sum(axis=1)
-    x = np.full(len(combos), histogram.sum() / max(1, 2 * len(combos)))
+    rows = []
+    for i in range(len(lengths) - 1, -1, -1):
+        rest = window - lengths[i]
+        if rest > 2 * lengths[i]:
+            break
+        second = lengths[:i + 1]
+        ok = np.flatnonzero((second <= rest) & (2 * second >= rest))
+        third = place[rest - second[ok]]
+        both = (third >= 0) | (second[ok] == rest)
+        rows.append(np.stack([np.full(both.sum(), i), ok[both], third[both]], axis=1))
+    return np.concatenate(rows[::-1]).astype(np.int32) if rows else np.zeros((0, 3), np.int32)
+
+
+def repeat_counts(combos: np.ndarray, histogram: np.ndarray, steps: int = 24) -> np.ndarray:
+    """x >= 0 that makes the lengths used by ``combos`` near ``histogram`` in least squares.
+
+    Block coordinate descent with an active set: a step looks at every combination,
+    takes for each longest length the one that lowers the squared error most, keeps
+    those of them that share no length, and moves each to its minimum. All others
+    stay at zero, so the solution is sparse.
+    """
+    none = len(histogram)
+    used = np.where(combos < 0, none, combos)
+    rest = np.append(histogram, 0).astype(np.float32)  # histogram - A x
+    x = np.zeros(len(combos), np.float32)
+    if not len(combos):
+        return x
+    heads = np.flatnonzero(np.diff(used[:, 0], prepend=-1))
+    group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(used))))
+    same, last, pair = used[:, 0] == used[:, 1], used[:, 1] == used[:, 2], used[:, 2] == none
+    # Squared length of a column: its lengths' repeats, squared.
+    norm = np.select([pair & same, pair, same & last, same | last], [4, 2, 9, 5], 3).astype(np.float32)
     for _ in range(steps):
-        x *= numerator / (forward(x)[used].sum(axis=1) + 1e-12)
+        slope = rest[used[:, 0]] + rest[used[:, 1]] + rest[used[:, 2]]
+        move = np.maximum(slope / norm, -x)
+        gain = move * (2 * slope - move * norm)
+        best = np.flatnonzero(gain == np.maximum.reduceat(gain, heads)[group])
+        best = best[gain[best] > 0.05]  # less moves no count to the next whole one
+        if not len(best):
+            break
+        best = best[np.argsort(-gain[best], kind="stable")]
+        rank = np.full(none + 1, len(best))
+        np.minimum.at(rank, used[best], np.arange(len(best))[:, None])
+        rank[none] = len(best)
+        own = np.arange(len(best))[:, None]
+        free = ((rank[used[best]] == own) | (used[best] == none)).all(axis=1)
+        best = best[free]
+        x[best] += move[best]
+        np.subtract.at(rest, used[best], move[best][:, None])
+        rest[none] = 0
     return x
 
 
-def plan_remainders(remainders: list[int], window: int) -> list[list[tuple[int, int, int]]]:
-    """Sequences of (document, from, length) over remainders; all full but for the last ones."""
-    by_length: dict[int, list[int]] = {}
+def _fill_exactly(piles: dict[int, list], window: int, rounds: int) -> list[list]:
+    """Solve, round and take, again on what is left, until a round takes little more."""
+    out: list[list] = []
+    for _ in range(rounds):
+        lengths = np.array(sorted(n for n, v in piles.items() if v), np.int64)
+        if not len(lengths):
+            break
+        counts = np.array([len(piles[n]) for n in lengths.tolist()], np.int64)
+        combos = fill_combinations(lengths, window)
+        x = repeat_counts(combos, counts)
+        left, taken = counts.copy(), 0
+        for p in np.argsort(-x, kind="stable"):
+            # Rounded up from a third: the histogram, not the rounding, sets the limit.
+            most = int(x[p] + 2 / 3)
+            if not most:
+                break
+            kinds, times = np.unique(combos[p][combos[p] >= 0], return_counts=True)
+            n = min(most, int((left[kinds] // times).min()))
+            left[kinds] -= n * times
+            for _ in range(n):
+                out.append([piles[int(lengths[k])].pop() for k, t in zip(kinds, times, strict=True) for _ in range(t)])
+            taken += n
+        if taken * 50 < len(out):
+            break
+    return out
+
+
+def _glue(piles: dict[int, list], least: int) -> tuple[dict[int, list], bool]:
+    """Piles shorter than ``least`` joined, shortest first, to piles of that length or more."""
+    out: dict[int, list] = {n: v for n, v in piles.items() if n >= least and v}
+    held, size, glued = [], 0, False
+    for n in sorted(n for n in piles if n < least):
+        for pile in piles[n]:
+            glued |= bool(held)
+            held, size = held + pile, size + n
+            if size >= least:
+                out.setdefault(size, []).append(held)
+                held, size = [], 0
+    if held:
+        out.setdefault(size, []).append(held)
+    return out, glued
+
+
+def plan_remainders(remainders: list[int], window: int, rounds: int = 6) -> tuple[list[list[tuple[int, int, int]]], int]:
+    """Sequences of (document, from, length) over remainders, and how many of them, the
+    first ones, come from the least squares; all are full but for the last ones."""
+    piles: dict[int, list] = {}
     for i, n in enumerate(remainders):
         if n:
-            by_length.setdefault(n, []).append(i)
-    out: list[list[tuple[int, int, int]]] = []
-    lengths = np.array(sorted(by_length), np.int64)
-    counts = np.array([len(by_length[n]) for n in lengths.tolist()], np.int64)
-    if len(lengths):
-        combos = fill_combinations(lengths, counts, window)
-        if len(combos):
-            x = repeat_counts(combos, counts)
-            for p in np.argsort(-x, kind="stable"):
-                if x[p] < 0.5:
-                    break
-                parts = [int(lengths[k]) for k in combos[p] if k >= 0]
-                for _ in range(round(x[p])):
-                    if any(len(by_length[n]) < parts.count(n) for n in parts):
-                        break
-                    out.append([(by_length[n].pop(), 0, n) for n in parts])
-    return out + _greedy({n: [(i, 0) for i in v] for n, v in by_length.items() if v}, window)
+            piles.setdefault(n, []).append([(i, 0, n)])
+    out = _fill_exactly(piles, window, rounds)
+    for part in (8, 4):
+        piles, glued = _glue(piles, window // part)
+        if glued:
+            out += _fill_exactly(piles, window, rounds)
+    solved = [[x for pile in row for x in pile] for row in out]
+    pool: dict[int, list[tuple[int, int]]] = {}
+    for v in piles.values():
+        for pile in v:
+            for i, begin, n in pile:
+                pool.setdefault(n, []).append((i, begin))
+    return solved + _greedy(pool, window), len(solved)
 
 
 def _greedy(pool: dict[int, list[tuple[int, int]]], window: int) -> list[list[tuple[int, int, int]]]:
@@ -181,7 +248,7 @@ def pack_block(ids: list[np.ndarray], window: int) -> list[list[tuple[int, int,
         whole.append(n * window)
         out += [[(i, k * window, window)] for k in range(n)]
         remainders.append(len(x) % window)
-    return out + [[(i, whole[i] + at, n) for i, at, n in row] for row in plan_remainders(remainders, window)]
+    return out + [[(i, whole[i] + at, n) for i, at, n in row] for row in plan_remainders(remainders, window)[0]]
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None,
@@ -225,7 +292,7 @@ def pack_tokens(spark: SparkSession, docs: DataFrame, vocabulary: str | None = N
 
         for frame in frames:
             for doc, no_id, text in zip(frame["doc_id"], frame["no_id"], frame["text"], strict=True):
-                got = bpe.encode_ordinary(text)
+                got = token_ids(bpe, text)
                 got.append(end_id)
                 names.append(None if no_id else int(doc))
                 ids.append(np.array(got, "<u4"))
