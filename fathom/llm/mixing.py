@@ -2,20 +2,25 @@
 
 The words of each source, in a fixed document order, are cut into blocks of
 ``block_words``. Sources get target sizes by weight, capped at ``cap`` times their
-size. A source's target is a number of block draws; every draw falls on an output shard
-at random, so the shards' source counts are multinomial draws given the totals. Draw j
-of a source is slot ``j mod blocks`` of pass ``j div blocks``; a keyed pseudorandom
-permutation (swap-or-not, a new key in each pass) maps the slot to a block, and
-blocks are joined by index with the document pieces they consist of. A short last
-block keeps its place at the end of each pass and the last draw is cut to the words
-still wanted, so a source's words come to its target rounded to a whole word.
+size. An output shard has ``shard_blocks`` places, and each place draws a source by a
+hash of its number, with a chance in proportion to the source's target in blocks: the
+shard's source counts are multinomial. A shard takes as many slots of a source as it drew
+places, following those of the shards before it. Slot j of a source is index ``j mod
+blocks`` of pass ``j div blocks``; a keyed pseudorandom permutation (swap-or-not, a new
+key in each pass) maps the index to a block, and blocks are joined by index with the
+document pieces they consist of. A short last block keeps its place at the end of each
+pass; slots after pass ``cap`` are not filled, so no document is taken more often.
+
+With N places a source of share p gets its target with a relative standard deviation of
+sqrt((1 - p) / (p N)), which falls with the size of the corpus.
 
 No step gathers a source in one task: document starts are prefix sums over
 (source, bucket of documents) plus prefix sums over the buckets' totals.
 
-Edge cases: null or empty text has size 0 and is taken 0 times; a null source is a
-source of its own, last in order; equal rows are separate documents with the same
-columns; null doc_ids order first in their bucket; an empty table gives no rows.
+Edge cases: null or empty text has size 0 and is taken 0 times; a very long text is
+many blocks; a null source is a source of its own, last in order; equal rows are separate
+documents with the same columns, ties of doc_id are ordered by size; null doc_ids order
+first in their bucket; extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,10 +31,13 @@ from pyspark.sql import functions as F
 from .common import Scratch, shuffle_partitions
 
 CYCLE = (5, 2, 1)
+BLOCK_WORDS, SEED = 128, 20240607
 ROUNDS = 24
 PRIME = 2147483647
-DOCS_A_BUCKET = 2048
-DRAWS_A_RANGE = 8192
+DOCS_A_BUCKET = 512
+SHARDS_A_GROUP = 1024
+CELL = 1 << 20
+FOLDS = ((1103515245, 12345), (630360016, 777), (1397204094, 99))
 SPLIT = r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
 
 
@@ -52,7 +60,7 @@ def place_documents(docs: DataFrame) -> DataFrame:
     count = sized.count()
     buckets = max(1, -(-count // DOCS_A_BUCKET))
     sized = sized.withColumn("bucket", F.expr(
-        f"(pmod(coalesce(cast(doc_id as bigint), 0), {PRIME}) * 48271) % {PRIME} % {buckets}"))
+        f"(pmod(coalesce(cast(doc_id as bigint), 0), {PRIME}) * 48271 + size * 69621) % {PRIME} % {buckets}"))
     inside = (Window.partitionBy("src", "bucket").orderBy("doc_id", "size")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     sized = sized.withColumn("local", F.sum("size").over(inside) - F.col("size"))
@@ -105,31 +113,54 @@ def _permuted(slot: str, domain: str, key: str) -> str:
         % {PRIME} * 16807 % {PRIME}) div 65536 % 2 = 1 THEN {mirror} ELSE x END)"""
 
 
-def draws(goals: DataFrame, block_words: int, shard_blocks: int, seed: int) -> DataFrame:
-    """(src, shard, draw, pass, block, words): every block draw of the mix, by shard."""
-    n = goals.selectExpr(
-        "src", "source_size", "rank", "cast(round(target) as bigint) AS words",
-        f"greatest(1, cast(ceil(sum(target) OVER () / {block_words * shard_blocks}) as bigint)) AS shards",
-        f"source_size div {block_words} AS whole",
-        f"cast(ceil(source_size / {block_words}) as bigint) AS blocks").where("words > 0")
-    n = n.selectExpr(
-        "*", "words div source_size AS passes", "words % source_size AS rest",
-    ).selectExpr("*", f"passes * blocks + cast(ceil(rest / {block_words}) as bigint) AS draws",
-                 f"(rank * 7919 + {seed}) % {PRIME} AS key")
-    # One row a range first, so that a large source is not unrolled by one task.
-    ranges = n.withColumn("from", F.explode(F.expr(
-        f"sequence(cast(0 as bigint), draws - 1, cast({DRAWS_A_RANGE} as bigint))")))
-    ranges = ranges.repartition(shuffle_partitions(goals.sparkSession), "src", "from")
-    each = ranges.withColumn("draw", F.explode(F.expr(
-        f"sequence(from, least(from + {DRAWS_A_RANGE}, draws) - 1)")))
-    each = each.selectExpr("*", "draw div blocks AS pass", "draw % blocks AS slot").selectExpr(
+def draws(goals: DataFrame, block_words: int, shard_blocks: int, seed: int, cap: int = 2) -> DataFrame:
+    """(src, shard, slot, pass, block): every block of the mix, by shard.
+
+    Each of a shard's ``shard_blocks`` places draws a source on its own, with a
+    chance in proportion to the source's target in blocks, so the shard's source counts
+    are multinomial. Counts before a shard, summed in two levels, give the slots that
+    the shard takes of each source.
+    """
+    spark = goals.sparkSession
+    n = goals.selectExpr("src", "source_size", "rank", f"source_size div {block_words} AS whole",
+                         f"cast(ceil(source_size / {block_words}) as bigint) AS blocks",
+                         "target").where("target > 0")
+    by_rank = Window.orderBy("rank")
+    everything = by_rank.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    n = n.withColumn("upto", F.sum(F.expr("target * blocks / source_size")).over(
+        by_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("total", F.max("upto").over(everything))
+    n = n.withColumn("to", F.floor(F.col("upto") / F.col("total") * PRIME + 0.5).cast("long"))
+    n = n.withColumn("from", F.coalesce(F.lag("to").over(by_rank), F.lit(0)))
+    places = n.agg(F.expr("cast(round(coalesce(max(total), 0)) as bigint)").alias("places"))
+    # One row a range of shards first, so that no task unrolls a large mix alone.
+    shards = places.where("places > 0").withColumn("shard", F.explode(F.expr(
+        f"sequence(cast(0 as bigint), (places - 1) div {shard_blocks})")))
+    shards = shards.repartition(shuffle_partitions(spark), "shard")
+    drawn = shards.withColumn("place", F.explode(F.expr(
+        f"sequence(shard * {shard_blocks}, least((shard + 1) * {shard_blocks}, places) - 1)")))
+    drawn = drawn.selectExpr("shard", f"(place % {PRIME} * 48271 + place div {PRIME} * 16807 + {seed}) % {PRIME} AS u")
+    for times, plus in FOLDS:
+        drawn = drawn.selectExpr("shard", f"((u ^ (u div 32768)) * {times} + {plus}) % {PRIME} AS u")
+    # A source is found by the cell of its interval that holds the draw.
+    intervals = n.where("from < to").withColumn("cell", F.explode(F.expr(f"sequence(from div {CELL}, (to - 1) div {CELL})")))
+    drawn = drawn.withColumn("cell", F.expr(f"u div {CELL}")).join(
+        intervals.select("src", "from", "to", "cell"), "cell").where("u >= from AND u < to")
+    counts = shard_counts(drawn)
+    counts = Scratch(spark, "mixing_draws").save(counts.withColumn("group", F.expr(f"shard div {SHARDS_A_GROUP}")), "counts")
+    inside = Window.partitionBy("src", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("src").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.groupBy("src", "group").agg(F.sum("draws").alias("n")).select(
+        "src", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    counts = counts.withColumn("local", F.coalesce(F.sum("draws").over(inside), F.lit(0))).join(bases, ["src", "group"])
+    each = counts.join(n, "src").selectExpr(
+        "src", "shard", "whole", "blocks", "base + local AS low",
+        f"least(base + local + draws, {cap} * blocks) AS high", f"(rank * 7919 + {seed}) % {PRIME} AS key").where("low < high")
+    each = each.repartition(shuffle_partitions(spark), "src", "shard").withColumn(
+        "slot", F.explode(F.expr("sequence(low, high - 1)")))
+    each = each.selectExpr("*", "slot div blocks AS pass", "slot % blocks AS x").selectExpr(
         "*", f"(key + pass * 15485863) % {PRIME} AS passkey")
-    return each.selectExpr(
-        "src", "draw", "pass",
-        f"((draw % {PRIME} * 48271 + key * 16807) % {PRIME} * 69621 % {PRIME}) * shards div {PRIME} AS shard",
-        f"CASE WHEN slot = whole THEN slot ELSE {_permuted('slot', 'whole', 'passkey')} END AS block",
-        f"""CASE WHEN draw = draws - 1 AND rest > 0 THEN rest - slot * {block_words}
-            WHEN slot = whole THEN source_size - whole * {block_words} ELSE {block_words} END AS words""")
+    return each.selectExpr("src", "shard", "slot", "pass",
+                           f"CASE WHEN x = whole THEN x ELSE {_permuted('x', 'whole', 'passkey')} END AS block")
 
 
 def shard_counts(drawn: DataFrame) -> DataFrame:
@@ -148,23 +179,22 @@ def block_pieces(placed: DataFrame, block_words: int) -> DataFrame:
         f"least(start + size, (block + 1) * {block_words}) - greatest(start, block * {block_words}) AS n")
 
 
-def mix_sources(placed: DataFrame, goals: DataFrame, block_words: int = 256,
-                shard_blocks: int = 1024, seed: int = 20240607) -> DataFrame:
-    """The mix, a row for each document piece of each draw.
+def mix_sources(placed: DataFrame, goals: DataFrame, block_words: int = BLOCK_WORDS,
+                shard_blocks: int = 1024, seed: int = SEED) -> DataFrame:
+    """The mix, a row for each document piece of each block.
 
-    Columns: shard, src, draw, pass, block, at (place of the piece in its block), doc_id,
+    Columns: shard, src, slot, pass, block, at (place of the piece in its block), doc_id,
     start (the document's, which with src names it), first (its first word taken, from
-    0) and words (taken from there). Order by shard and a hash of draw to write it.
+    0) and words (taken from there). Order by shard and a hash of slot to write it.
     """
-    drawn = draws(goals, block_words, shard_blocks, seed).withColumnRenamed("words", "limit")
+    drawn = draws(goals, block_words, shard_blocks, seed)
     pieces = block_pieces(placed, block_words)
     # Both sides grow with the corpus, though they are unrolled from small tables.
-    return (drawn.hint("merge").join(pieces.hint("merge"), ["src", "block"])
-            .withColumn("words", F.least("n", F.col("limit") - F.col("at"))).where("words > 0")
-            .select("shard", "src", "draw", "pass", "block", "at", "doc_id", "start", "first", "words"))
+    return drawn.hint("merge").join(pieces.hint("merge"), ["src", "block"]).select(
+        "shard", "src", "slot", "pass", "block", "at", "doc_id", "start", "first", F.col("n").alias("words"))
 
 
-def mixed_documents(docs: DataFrame, block_words: int = 256) -> DataFrame:
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mix as documents: for each pass, the words of each document that it takes.
 
     Returns the columns doc_id, text, lang, source, n_chars; a document taken in two
@@ -215,12 +245,14 @@ d{r + 1} AS (SELECT * EXCLUDE (x, y{r}), CASE WHEN ((((greatest(x, y{r}) % {PRIM
   + (passkey + {r * 40692}) % {PRIME}) % {PRIME} * 16807 % {PRIME}) // 65536) % 2 = 1 THEN y{r} ELSE x END AS x FROM p{r})""")
         step = f"d{r + 1}"
     size = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT"
+    folds = "".join(f"u{i + 1} AS (SELECT place, (xor(u, u // 32768) * {t} + {c}) % {PRIME} AS u FROM u{i}),\n"
+                    for i, (t, c) in enumerate(FOLDS))
     return f"""
-WITH s AS (SELECT doc_id, coalesce('+' || source, '-') AS src, {size} AS size,
-  ((((coalesce(doc_id, 0) % {PRIME}) + {PRIME}) % {PRIME} * 48271) % {PRIME})
-    % greatest(1, (SELECT (count(*) + {DOCS_A_BUCKET - 1}) // {DOCS_A_BUCKET} FROM documents)) AS bucket FROM documents),
+WITH s AS (SELECT doc_id, coalesce('+' || source, '-') AS src, {size} AS size FROM documents),
+sb AS (SELECT *, (((coalesce(doc_id, 0) % {PRIME}) + {PRIME}) % {PRIME} * 48271 + size * 69621) % {PRIME}
+    % greatest(1, (SELECT (count(*) + {DOCS_A_BUCKET - 1}) // {DOCS_A_BUCKET} FROM documents)) AS bucket FROM s),
 placed AS (SELECT doc_id, src, size, sum(size) OVER (PARTITION BY src ORDER BY bucket, doc_id NULLS FIRST, size
-  ROWS UNBOUNDED PRECEDING)::BIGINT - size AS start FROM s),
+  ROWS UNBOUNDED PRECEDING)::BIGINT - size AS start FROM sb),
 w AS (SELECT src, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY src = '-', src) AS rank FROM s GROUP BY src),
 w2 AS (SELECT *, [5, 2, 1][(rank - 1) % 3 + 1] AS weight FROM w),
 w3 AS (SELECT *, 2 * source_size / weight AS r FROM w2),
@@ -231,22 +263,22 @@ fl AS (SELECT *, 2 * source_size <= level * weight AS full_ FROM lv),
 cm AS (SELECT *, (SELECT level FROM fl WHERE NOT full_ ORDER BY r, rank LIMIT 1) AS common FROM fl),
 goals AS (SELECT src, source_size, rank, CASE WHEN full_ OR common IS NULL THEN (2 * source_size)::DOUBLE
   ELSE least((2 * source_size)::DOUBLE, common * weight) END AS target FROM cm),
-n AS (SELECT src, source_size, rank, round(target)::BIGINT AS words, source_size // 256 AS whole,
-  (source_size + 255) // 256 AS blocks FROM goals WHERE round(target) > 0),
-n2 AS (SELECT *, (words // source_size) * blocks + ((words % source_size) + 255) // 256 AS draws,
-  words % source_size AS rest, (rank * 7919 + 20240607) % {PRIME} AS key FROM n),
-e AS (SELECT *, unnest(range(draws)) AS draw FROM n2),
-e2 AS (SELECT *, draw % blocks AS slot, (key + (draw // blocks) * 15485863) % {PRIME} AS passkey FROM e),
-d0 AS (SELECT *, slot AS x FROM e2 WHERE slot < whole),
+n AS (SELECT src, source_size, rank, source_size // {BLOCK_WORDS} AS whole, (source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS} AS blocks,
+  target FROM goals WHERE target > 0),
+n2 AS (SELECT *, sum(target * blocks / source_size) OVER (ORDER BY rank ROWS UNBOUNDED PRECEDING) AS upto FROM n),
+n3 AS (SELECT *, floor(upto / (SELECT max(upto) FROM n2) * {PRIME} + 0.5)::BIGINT AS to_ FROM n2),
+n4 AS (SELECT *, coalesce(lag(to_) OVER (ORDER BY rank), 0) AS from_, (rank * 7919 + {SEED}) % {PRIME} AS key FROM n3),
+u0 AS (SELECT place, (place % {PRIME} * 48271 + place // {PRIME} * 16807 + {SEED}) % {PRIME} AS u
+  FROM (SELECT unnest(range(round(coalesce((SELECT max(upto) FROM n2), 0))::BIGINT)) AS place)),
+{folds}t AS (SELECT src, least(count(*), 2 * any_value(blocks)) AS slots FROM u{len(FOLDS)} JOIN n4 ON u >= from_ AND u < to_ GROUP BY src),
+e AS (SELECT src, whole, blocks, key, unnest(range(slots)) AS slot FROM t JOIN n4 USING (src)),
+e2 AS (SELECT *, slot % blocks AS x, (key + (slot // blocks) * 15485863) % {PRIME} AS passkey FROM e),
+d0 AS (SELECT * FROM e2 WHERE x < whole),
 {", ".join(rounds)},
-drawn AS (SELECT src, x AS block, CASE WHEN draw = draws - 1 AND rest > 0 THEN rest - slot * 256 ELSE 256 END AS lim FROM {step}
-  UNION ALL SELECT src, slot, CASE WHEN draw = draws - 1 AND rest > 0 THEN rest - slot * 256
-    ELSE source_size - whole * 256 END FROM e2 WHERE slot = whole),
-pc AS (SELECT src, start, size, unnest(range(start // 256, (start + size - 1) // 256 + 1)) AS block FROM placed WHERE size > 0),
-pn AS (SELECT src, start, block, greatest(start - block * 256, 0) AS pos,
-  least(start + size, (block + 1) * 256) - greatest(start, block * 256) AS n FROM pc),
-tk AS (SELECT src, start, sum(greatest(0, least(n, lim - pos)))::BIGINT AS taken
-  FROM drawn JOIN pn USING (src, block) GROUP BY src, start)
+drawn AS (SELECT src, x AS block FROM {step} UNION ALL SELECT src, x FROM e2 WHERE x = whole),
+pc AS (SELECT src, start, size, unnest(range(start // {BLOCK_WORDS}, (start + size - 1) // {BLOCK_WORDS} + 1)) AS block FROM placed WHERE size > 0),
+pn AS (SELECT src, start, block, least(start + size, (block + 1) * {BLOCK_WORDS}) - greatest(start, block * {BLOCK_WORDS}) AS n FROM pc),
+tk AS (SELECT src, start, sum(n)::BIGINT AS taken FROM drawn JOIN pn USING (src, block) GROUP BY src, start)
 SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN coalesce(taken, 0) ELSE 0 END::BIGINT AS taken
 FROM placed JOIN goals USING (src) LEFT JOIN tk USING (src, start)
 """

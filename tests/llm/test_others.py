@@ -62,12 +62,36 @@ def test_mixing_comes_to_its_targets(spark):
     got = {r.src: r for r in goals.collect()}
     assert {k: round(r.target, 6) for k, r in got.items()} == {"-" if s is None else "+" + s: round(t, 6) for s, t in want.items()}
     taken = {r.src: r.n for r in mix.groupBy("src").agg(F.sum("words").alias("n")).collect()}
-    assert all(abs(taken.get(k, 0) - r.target) <= 0.5 for k, r in got.items())
+    places = sum(r.target for r in got.values()) / 16
+    for k, r in got.items():  # a multinomial draw, cut at twice the source
+        assert taken.get(k, 0) <= 2 * r.source_size
+        assert abs(taken.get(k, 0) - r.target) <= 16 * (4.5 * (r.target / 16 * (1 - r.target / 16 / places)) ** 0.5 + 1)
     most = mix.groupBy("src", "start").agg(F.sum("words").alias("n")).join(placed.where("size > 0"), ["src", "start"]).where("n > 2 * size")
     assert most.count() == 0
     assert rows_of(mix) == rows_of(mixing.mix_sources(placed, goals, block_words=16))
-    drawn = mixing.draws(goals, 16, 4, 20240607)
-    assert mixing.shard_counts(drawn).agg(F.sum("draws")).first()[0] == drawn.count() and drawn.select("shard").distinct().count() > 1
+
+
+def test_shards_hold_multinomial_counts(spark):
+    goals = spark.createDataFrame([("+a", 400_000, 1, 600_000.0), ("+b", 300_000, 2, 240_000.0), ("-", 100_000, 3, 160_000.0)],
+                                  "src string, source_size long, rank long, target double")
+    drawn = mixing.draws(goals, 10, 100, 5).cache()
+    shards = 1000
+    for src, p, blocks in (("+a", 0.6, 40_000), ("+b", 0.24, 30_000), ("-", 0.16, 10_000)):
+        rows = drawn.where(F.col("src") == src)
+        got = {r.shard: r.draws for r in mixing.shard_counts(rows).collect()}
+        counts = np.array([got.get(i, 0) for i in range(shards)])
+        assert abs(counts.mean() - 100 * p) < 4 * (100 * p * (1 - p) / shards) ** 0.5
+        assert 0.85 < counts.var() / (100 * p * (1 - p)) < 1.15
+        assert abs(np.corrcoef(counts[:-1], counts[1:])[0, 1]) < 0.13
+        # Shards take consecutive slots, and every slot is a block of its own pass.
+        slots = [(r["pass"], r.block, r.slot) for r in rows.orderBy("slot").collect()]
+        assert [x[2] for x in slots] == list(range(len(slots))) and len({x[:2] for x in slots}) == len(slots)
+        assert all(x[0] == x[2] // blocks and 0 <= x[1] < blocks for x in slots)
+        by_shard = [r.shard for r in rows.orderBy("slot").collect()]
+        assert by_shard == sorted(by_shard)
+    other = mixing.shard_counts(mixing.draws(goals, 10, 100, 6)).where("src = '+a' AND shard < 50")
+    mine = mixing.shard_counts(drawn).where("src = '+a' AND shard < 50")
+    assert rows_of(other) != rows_of(mine) and rows_of(mine) == rows_of(mixing.shard_counts(mixing.draws(goals, 10, 100, 5)).where("src = '+a' AND shard < 50"))
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 64, 1000])
