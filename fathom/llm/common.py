@@ -39,9 +39,12 @@ def ids_of(frame: pd.DataFrame) -> pd.arrays.IntegerArray:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor shares; a private one only where none is named."""
+    """The folder every executor shares; a private one only where none is named and
+    driver and executors are one process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="fathom-shared-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -90,6 +93,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+HOT_KEYS = 10_000
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows`` joined by ``keys`` to ``counted``, a row for each key with its count n.
+
+    Keys that hold more than a 10 000th of all ``total`` rows are fewer than that, so
+    they are broadcast and their rows stay where they are; the others are shuffled.
+    Both inputs are read twice and should be stored tables.
+    """
+    limit = max(1, total // HOT_KEYS)
+    hot = F.broadcast(counted.where(F.col("n") > limit))
+    cold = rows.join(hot.select(*keys), keys, "left_anti").join(counted.where(F.col("n") <= limit), keys)
+    return rows.join(hot, keys).unionByName(cold)
+
+
 # ---------------------------------------------------------------- compact arrays
 def pack(*values) -> bytes:
     return zstandard.compress(pickle.dumps(values, protocol=5), 1)
