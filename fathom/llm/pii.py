@@ -3,18 +3,21 @@
 Base patterns (email, ip, card, phone) are matched in every whole text, leftmost and
 without overlap within a kind; matches that fail their test are dropped. A character-level
 bidirectional LSTM with CRF transitions, written in numpy, is trained from labelled
-spans: the base spans of at most ``fit_rows`` documents (chosen by a hash of doc_id; a
-documented bound) in their contexts, and generated variants that the patterns do not
+spans: the base spans in ``fit_contexts`` contexts (a documented bound; chosen by a hash
+of document and place among all contexts) and generated variants that the patterns do not
 cover (phones without a plus, cards with other separators, spaced addresses), with
 look-alikes such as hexadecimal keys as negatives.
 
 All labelled spans hold a digit or an at sign, so a window without either has no
 span; overlapping windows are laid over all others. Each is decoded; of the spans that all
 windows of a text offer whole, the most central ones in their windows are taken as long as
-they don't overlap, and added where they touch no base span.
+they don't overlap. A span too long to lie whole in a window is read from the tags of all
+windows together, each character's from the window it is most central in. Spans are
+added where they touch no base span.
 
 Edge cases: null text is empty and has no spans; equal rows get equal rows; very long
-texts are windowed whole; null doc_ids pass through; an empty table gives no rows.
+texts are windowed whole; ties between spans go to the one that starts first; null
+doc_ids pass through; extra columns are not read; an empty table gives no rows.
 Offsets count code points, ends exclusive.
 """
 
@@ -42,7 +45,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 
-WINDOW, STRIDE = 64, 32
+WINDOW, STRIDE = 128, 32
+FIT_WINDOW = 64  # of the windows trained from
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 ALPHABET = 98  # printable ASCII, then other white space, other letters, all else
 SCHEMA = "doc_id long, kinds array<string>, starts array<int>, ends array<int>, added array<boolean>"
@@ -74,8 +78,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             out.append((start, 0, done))
         sign = text.find("@", max(sign + 1, done))
     for m in IP.finditer(text):
-        if all(int(x) <= 255 for x in m[0].split(".") if len(x) < 10) and all(
-                len(x.lstrip("0")) <= 3 for x in m[0].split(".")):
+        parts = [x.lstrip("0") or "0" for x in m[0].split(".")]
+        if all(len(x) <= 3 and int(x) <= 255 for x in parts):
             out.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = NOT_DIGIT.sub("", m[0])
@@ -265,14 +269,14 @@ def training_windows(contexts: list[str], generated: int = 1600):
     ids, tags = [], []
 
     def add(text: str, spans: list[tuple[int, int, int]], begin: int):
-        code, tag = np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.int64)
+        code, tag = np.zeros(FIT_WINDOW, np.int64), np.zeros(FIT_WINDOW, np.int64)
         all_tags = np.zeros(len(text), np.int64)
         for s, kind, e in spans:
             all_tags[s:e] = 2 + 2 * kind
             all_tags[s] = 1 + 2 * kind
-        part = encode(text)[begin:begin + WINDOW]
+        part = encode(text)[begin:begin + FIT_WINDOW]
         code[:len(part)] = part
-        tag[:len(part)] = all_tags[begin:begin + WINDOW]
+        tag[:len(part)] = all_tags[begin:begin + FIT_WINDOW]
         ids.append(code)
         tags.append(tag)
 
@@ -282,7 +286,7 @@ def training_windows(contexts: list[str], generated: int = 1600):
         for s in spans:  # one tag a character
             if all(s[0] >= o[2] or s[2] <= o[0] for o in taken):
                 taken.append(s)
-        add(text, taken, max(0, (len(text) - WINDOW) // 2))
+        add(text, taken, max(0, (len(text) - FIT_WINDOW) // 2))
     words = [w for c in contexts for w in c.split() if not TRIGGER.search(w)] or ["the", "of", "and"]
     for _ in range(generated):
         piece, kind = _generated(rng)
@@ -309,14 +313,22 @@ def reconciled_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, i
         code[:len(part)] = part
         codes.append(code)
     offered: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
+    decoded: dict[int, list[tuple[int, np.ndarray]]] = {}
+    cut_off = set()
     for lo in range(0, len(codes), 512):
         got = tagger.decode(np.array(codes[lo:lo + 512]))
         for (i, begin), tags in zip(places[lo:lo + 512], got, strict=True):
             size = min(WINDOW, len(texts[i]) - begin)
+            decoded.setdefault(i, []).append((begin, tags[:size].astype(np.int8)))
             for s, kind, e in window_spans(tags[:size]):
-                # A span cut off by its window is whole in another one.
+                # A span cut off by its window is whole in another one, or longer than any holds.
                 if (s > 0 or begin == 0) and (e < size or begin + size == len(texts[i])):
                     offered[i].append((abs(s + e - WINDOW), begin + s, kind, begin + e))
+                else:
+                    cut_off.add(i)
+    for i in cut_off:
+        offered[i] += [(2 * WINDOW, s, kind, e) for s, kind, e in window_spans(merged_tags(decoded[i], len(texts[i])))
+                       if e - s >= WINDOW - STRIDE - 1]
     out = []
     for spans in offered:
         taken: list[tuple[int, int, int]] = []
@@ -327,6 +339,17 @@ def reconciled_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, i
     return out
 
 
+def merged_tags(windows: list[tuple[int, np.ndarray]], size: int) -> np.ndarray:
+    """The tags of a text, each character's from the window it is most central in."""
+    out, off = np.zeros(size, np.int8), np.full(size, WINDOW, np.float32)
+    for begin, tags in windows:
+        here = np.abs(np.arange(len(tags)) + 0.5 - WINDOW / 2)
+        nearer = here < off[begin:begin + len(tags)]
+        out[begin:begin + len(tags)][nearer] = tags[nearer]
+        off[begin:begin + len(tags)][nearer] = here[nearer]
+    return out
+
+
 def window_spans(tags: np.ndarray) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the runs of tags of one kind; a begin tag starts a new one."""
     spans: list[list[int]] = []
@@ -367,21 +390,20 @@ def added_spans(text: str, base: list, found: list) -> list[tuple[int, int, int]
     return out
 
 
-def find_pii(spark: SparkSession, docs: DataFrame, fit_rows: int = 400) -> DataFrame:
+def find_pii(spark: SparkSession, docs: DataFrame, fit_contexts: int = 1200) -> DataFrame:
     """All spans of every text: doc_id, kinds, starts, ends and added (by the network).
 
-    Spans are ordered by start, then kind. ``fit_rows`` bounds the documents whose base
-    spans the network is trained from.
+    Spans are ordered by start, then kind. ``fit_contexts`` bounds the contexts (a digit
+    or an at sign and what is around it) whose base spans the network is trained from.
     """
     ship_package(spark)
     texts = docs.select(*id_columns(), F.coalesce("text", F.lit("")).alias("text"))
-    contexts = F.expr("slice(regexp_extract_all(text, '(?s).{0,40}[0-9@].{0,40}', 0), 1, 4)")
-    # A share by hash first, so that no task sends many rows; about one text in ten has a trigger.
-    share = min(1.0, 64 * fit_rows / max(1, texts.count()))
-    some = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    chosen = (some.where(F.col("text").rlike("[0-9@]")).select(
-        F.xxhash64("doc_id").alias("o"), "doc_id", contexts.alias("c")).orderBy("o", "doc_id", "c").limit(fit_rows).collect())
-    tagger = Tagger().fit(*training_windows([c for r in chosen for c in r["c"]]))
+    # A share of the texts by hash first, so that no task sorts many contexts.
+    share = min(1.0, 16 * fit_contexts / max(1, texts.count()))
+    some = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select(
+        "doc_id", F.posexplode(F.expr("regexp_extract_all(text, '(?s).{0,40}[0-9@].{0,40}', 0)")).alias("place", "c"))
+    chosen = some.withColumn("o", F.xxhash64("doc_id", "place")).orderBy("o", "doc_id", "place", "c").limit(fit_contexts).collect()
+    tagger = Tagger().fit(*training_windows([r["c"] for r in chosen]))
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -408,4 +430,4 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"filter({every}, (s, i) -> NOT added[i])"
     counts = [F.expr(f"cast(size(filter(kinds, (k, i) -> k = '{k}' AND NOT added[i])) as bigint)").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.expr(f"sha2(cast(array_join({base}, ',') as binary), 256)").alias("base_sha256"),
-                        F.expr(f"array_join({every}, ',')").alias("spans"))
+                        F.expr(f"array_join({every}, ',')").alias("spans"), F.size("kinds").cast("long").alias("n_spans"))

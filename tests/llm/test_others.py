@@ -329,6 +329,42 @@ def test_personal_data_edges(spark):
     assert pii.find_pii(spark, cases.empty(spark)).count() == 0
 
 
+def test_long_octets_are_judged_by_value():
+    for ip, ok in (("0000000999.1.1.1", False), ("00000000255.001.1.0", True), ("256.1.1.1", False), ("0000000000000.0.0.0", True), ("1.2.3.99999999999", False)):
+        assert bool(pii.base_spans(f"at {ip} end")) == ok == bool(literal_spans(f"at {ip} end")), ip
+
+
+def test_decoding_against_all_tag_sequences():
+    import itertools
+
+    tagger = pii.Tagger(embed=3, hidden=3, seed=2)
+    rng = np.random.default_rng(4)
+    tagger.p["trans"] = rng.standard_normal((pii.TAGS, pii.TAGS))
+    ids = rng.integers(0, pii.ALPHABET, (6, 4))
+    e, _ = tagger.emissions(ids)
+    every = np.array(list(itertools.product(range(pii.TAGS), repeat=4)))
+    for row, tags in zip(e, tagger.decode(ids), strict=True):
+        score = sum(row[i, every[:, i]] for i in range(4)) + sum(tagger.p["trans"][every[:, i], every[:, i + 1]] for i in range(3))
+        assert tuple(every[score.argmax()]) == tuple(tags)
+
+
+class _Marks:
+    """A tagger that knows the true tags: capitals and at signs are one card number."""
+
+    def decode(self, ids):
+        inside = (ids >= ord("A") - 32) & (ids <= ord("Z") - 32) | (ids == ord("@") - 32)
+        begins = inside & ~np.concatenate([np.zeros((len(ids), 1), bool), inside[:, :-1]], axis=1)
+        return np.where(begins, 5, np.where(inside, 6, 0))
+
+
+@pytest.mark.parametrize("size", [5, 32, 50, 64, 80, 94, 95, 130, 400])
+def test_spans_of_any_length_are_found_at_every_offset(size):
+    span = "".join("@" if i % 20 == 3 else "A" for i in range(size))  # windows need a trigger
+    for offset in range(70):
+        text = "x" * offset + span + "y" * 200
+        assert pii.reconciled_spans([text], _Marks())[0] == [(offset, 2, offset + size)], offset
+
+
 def test_gradients_are_right():
     tagger = pii.Tagger(embed=4, hidden=3)
     rng = np.random.default_rng(0)
