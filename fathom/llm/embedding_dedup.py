@@ -1,23 +1,27 @@
 """Embedding near-dedup with randomised-rotation binary codes.
 
 1. Equal vectors become one node with a multiplicity, so a common vector costs one row.
-2. Candidates: each of ``tables`` random rotations deals the unit vectors into cells by
-   the signs of ``bits`` coordinates. The number of tables is set from the number of bits
-   so that a pair exactly at the threshold shares no cell with a chance of at most
-   ``miss`` (closer pairs: far less); the number of bits grows with the logarithm of
-   the number of vectors, which holds the cells' mean size. Cells above
-   ``cell_rows`` are split into blocks, every pair of blocks being one group.
-3. In a group a pair is looked at in the first table only in which it shares a cell. The
-   signs of the rotated vector are its code, the inner product of vector and code
-   its stored correction factor: code . query / factor estimates the cosine without
-   bias, with a known spread. Only pairs whose upper confidence bound (``sigmas``
-   deviations) reaches the threshold are recomputed, in double precision.
-4. A group returns link counts by node and a spanning forest of its links, never its
+2. The signs of a unit vector in several random rotations are its code, the inner
+   product of vector and code its stored correction factor.
+3. Candidates: each of ``tables`` slices of ``bits`` signs of the code deals the vectors into
+   cells. The number of tables is set from the number of bits so that a pair exactly at the
+   threshold shares no cell with a chance of at most ``miss`` (closer pairs: far less); the
+   number of bits grows with the logarithm of the number of vectors, which holds the
+   cells' mean size. Only ids and codes are dealt. Cells above ``cell_rows`` are split
+   into blocks, every pair of blocks being one group.
+4. In a group a pair is looked at in the first table only in which it shares a cell. Pairs
+   whose codes differ in more signs than a pair at the threshold does, by ``sigmas``
+   deviations, are out. The vectors of the others are fetched: code . vector / factor
+   estimates the cosine without bias, with a known spread, and only pairs whose upper
+   confidence bound (``sigmas`` deviations) reaches the threshold are recomputed, in
+   double precision.
+5. A group returns link counts by node and a spanning forest of its links, never its
    pairs; components are found from the forests' edges.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite values link with
 nothing, not even equal ones, and are kept; equal vec_ids are separate rows; a null vec_id
-sorts last; vectors of different lengths are compared within their length.
+sorts last; vectors of different lengths are compared within their length; very long
+vectors have longer codes; extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,8 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import NULL_ID, Scratch, connected_components
 
-
-CODE_SEED = 5
+PAIRS = 1 << 16  # handled at a time
 
 
 def rotation(dim: int, seed: int) -> np.ndarray:
@@ -41,58 +44,82 @@ def rotation(dim: int, seed: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-class Cells:
-    """Cell numbers of unit vectors in each table; rotations are made when first used."""
+class Codes:
+    """Signs of unit vectors in whole rotations, enough for ``tables`` slices of ``bits``."""
 
     def __init__(self, tables: int, bits: int, seed: int = 77):
         self.tables, self.bits, self.seed = tables, bits, seed
         self.planes: dict[int, np.ndarray] = {}
 
-    def __call__(self, x: np.ndarray) -> np.ndarray:
+    def turned(self, x: np.ndarray) -> np.ndarray:
+        """The vectors in all rotations, side by side, as unit vectors; double precision."""
         dim = x.shape[1]
         if dim not in self.planes:
-            need = self.tables * self.bits
-            turns = [rotation(dim, self.seed + i) for i in range(-(-need // dim))]
-            self.planes[dim] = np.concatenate(turns, axis=1)[:, :need].astype(np.float32)
-        signs = (x.astype(np.float32) @ self.planes[dim]) > 0
-        weights = (1 << np.arange(self.bits)).astype(np.int64)
-        return signs.reshape(len(x), self.tables, self.bits) @ weights
+            turns = -(-self.tables * self.bits // dim)
+            self.planes[dim] = np.concatenate([rotation(dim, self.seed + i) for i in range(turns)], axis=1) / math.sqrt(turns)
+        return x @ self.planes[dim]
+
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes (packed signs) and correction factors."""
+        turned = self.turned(x)
+        return np.packbits(turned > 0, axis=1), np.abs(turned).sum(axis=1) / math.sqrt(turned.shape[1])
+
+    def width(self, dim: int) -> int:
+        return -(-self.tables * self.bits // dim) * dim
+
+    def signs(self, codes: np.ndarray, dim: int) -> np.ndarray:
+        """Codes as rows of 1 and -1."""
+        return np.unpackbits(codes, axis=1, count=self.width(dim)).astype(np.float32) * 2 - 1
+
+    def cells(self, codes: np.ndarray) -> np.ndarray:
+        """The cell of each code in each table."""
+        signs = np.unpackbits(codes, axis=1, count=self.tables * self.bits)
+        return signs.reshape(len(codes), self.tables, self.bits) @ (1 << np.arange(self.bits)).astype(np.int64)
 
 
 def plan_tables(n: int, threshold: float, miss: float) -> tuple[int, int]:
-    """(tables, bits) for ``n`` vectors."""
-    bits = min(30, max(6, math.ceil(math.log2(max(n, 1) / 64 + 1))))
+    """(tables, bits) for ``n`` vectors; 40 bits serve 2e13 vectors."""
+    bits = min(40, max(6, math.ceil(math.log2(max(n, 1) / 64 + 1))))
     same = (1 - math.acos(threshold) / math.pi) ** bits
     return math.ceil(math.log(miss) / math.log(1 - same)), bits
 
 
-def encode(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes (packed sign bits of the rotated unit vectors) and their correction factors."""
-    turned = x @ rotation(x.shape[1], CODE_SEED)
-    signs = turned > 0
-    # The factor is the inner product of vector and code; at least 1 / sqrt(dim).
-    factor = np.abs(turned).sum(axis=1) / math.sqrt(x.shape[1])
-    return np.packbits(signs, axis=1), factor
+def first_met(cells: np.ndarray, table: int, i: np.ndarray, j: np.ndarray):
+    """Slices of the pairs that share no cell of an earlier table."""
+    for k in range(0, len(i), PAIRS):
+        a, b = i[k:k + PAIRS], j[k:k + PAIRS]
+        fresh = ~(cells[a, :table] == cells[b, :table]).any(axis=1) if table else np.ones(len(a), bool)
+        yield a[fresh], b[fresh]
+
+
+def near_codes(signs: np.ndarray, cells: np.ndarray, table: int, left: np.ndarray, right: np.ndarray,
+               threshold: float, sigmas: float) -> np.ndarray:
+    """Indexes of rows with a partner, first met in ``table``, whose code is near enough."""
+    m = signs.shape[1]
+    apart = math.acos(threshold) / math.pi  # chance of a differing sign
+    least = m - 2 * m * (apart + sigmas * math.sqrt(apart * (1 - apart) / m))
+    i, j = np.nonzero(signs[left] @ signs[right].T >= least)
+    i, j = left[i], right[j]
+    i, j = i[i != j], j[i != j]
+    near = np.zeros(len(signs), bool)
+    for a, b in first_met(cells, table, i, j):
+        near[a] = near[b] = True
+    return np.flatnonzero(near)
 
 
-def linked_pairs(x: np.ndarray, bits: np.ndarray, factor: np.ndarray, cells: np.ndarray, table: int, left: np.ndarray,
-                 right: np.ndarray, threshold: float, sigmas: float, turned: np.ndarray):
+def linked_pairs(x: np.ndarray, turned: np.ndarray, signs: np.ndarray, factor: np.ndarray, cells: np.ndarray, table: int,
+                 left: np.ndarray, right: np.ndarray, threshold: float, sigmas: float):
     """Index pairs (i of ``left``, j of ``right``) linked, first met in ``table``."""
-    dim = x.shape[1]
-    code = np.where(np.unpackbits(bits, axis=1, count=dim).astype(bool), 1.0, -1.0) / math.sqrt(dim)
-    spread = np.sqrt(np.maximum(0, 1 - factor**2)) / factor / math.sqrt(max(1, dim - 1))
-    estimate = (code[left] / factor[left, None]) @ turned[right].T
+    m = signs.shape[1]
+    spread = np.sqrt(np.maximum(0, 1 - factor**2)) / factor / math.sqrt(max(1, m - 1))
+    estimate = (signs[left] / (math.sqrt(m) * factor[left, None])) @ turned[right].T
     i, j = np.nonzero(estimate + sigmas * spread[left, None] >= threshold)
-    i, j = left[i], right[j]
-    if table:
-        fresh = ~(cells[i, :table] == cells[j, :table]).any(axis=1)
-        i, j = i[fresh], j[fresh]
     out = []
-    for k in range(0, len(i), 1 << 16):  # exact, in double precision
-        a, b = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
+    for a, b in first_met(cells, table, left[i], right[j]):  # exact, in double precision
         hit = np.einsum("ij,ij->i", x[a], x[b]) >= threshold
         out.append((a[hit], b[hit]))
-    return (np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])) if out else (i, j)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([o[0] for o in out] or [none]), np.concatenate([o[1] for o in out] or [none])
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -114,7 +141,7 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def link_embeddings(spark: SparkSession, vectors: DataFrame, threshold: float = 0.95, miss: float = 1e-7,
+def link_embeddings(spark: SparkSession, vectors: DataFrame, threshold: float = 0.95, miss: float = 1e-6,
                     sigmas: float = 5.0, cell_rows: int = 2048) -> DataFrame:
     """Links by cosine >= ``threshold`` (see module), a row for each vector.
 
@@ -131,65 +158,73 @@ def link_embeddings(spark: SparkSession, vectors: DataFrame, threshold: float =
     count = nodes.count()
     tables, bits = plan_tables(count, threshold, miss)
     shares = max(1, count // 4096)
-    cells = Cells(tables, bits)
+    codes = Codes(tables, bits)
 
-    def unit(frame: pd.DataFrame) -> np.ndarray:
-        x = np.stack(frame["v"].to_numpy()).astype(np.float64)
-        x /= np.abs(x).max(axis=1, keepdims=True)
+    def unit(x: np.ndarray) -> np.ndarray:
+        x = x / np.abs(x).max(axis=1, keepdims=True)
         return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
     def code(frames):
         for frame in frames:
-            for _, part in frame.groupby(frame["v"].map(len)):
-                bits, factor = encode(unit(part))
-                yield part.assign(code=[b.tobytes() for b in bits], factor=factor)
+            for dim, part in frame.groupby(frame["v"].map(len)):
+                x = np.stack(part["v"].to_numpy()).astype(np.float64)
+                got, factor = codes.encode(unit(x))
+                yield pd.DataFrame({"node": part["node"], "dim": dim, "raw": [r.tobytes() for r in x],
+                                    "copies": part["copies"], "code": [c.tobytes() for c in got], "factor": factor})
 
     # Codes and correction factors are stored with their vectors, once.
-    coded = scratch.save(nodes.mapInPandas(code, "node long, v array<double>, copies long, low long, code binary, factor double"), "coded")
+    coded = scratch.save(nodes.mapInPandas(code, "node long, dim int, raw binary, copies long, code binary, factor double"), "coded")
 
     def deal(frames):
         for frame in frames:
-            for _, part in frame.groupby(frame["v"].map(len)):
-                got = cells(unit(part))
-                for lo in range(0, len(part), 256):
-                    some, own = part.iloc[lo:lo + 256], got[lo:lo + 256]
-                    yield pd.DataFrame({
-                        "dim": np.repeat(some["v"].map(len).to_numpy(), tables),
-                        "t": np.tile(np.arange(tables), len(some)), "cell": own.ravel(),
-                        "node": np.repeat(some["node"].to_numpy(), tables),
-                        "copies": np.repeat(some["copies"].to_numpy(), tables),
-                        "code": np.repeat(some["code"].to_numpy(), tables), "factor": np.repeat(some["factor"].to_numpy(), tables),
-                        "raw": np.repeat(np.array([np.asarray(v, np.float64).tobytes() for v in some["v"]], object), tables)})
-
-    dealt = coded.mapInPandas(deal, "dim int, t int, cell long, node long, copies long, code binary, factor double, raw binary")
+            for lo in range(0, len(frame), 256):
+                some = frame.iloc[lo:lo + 256]
+                own = codes.cells(np.stack([np.frombuffer(c, np.uint8)[:-(-tables * bits // 8)] for c in some["code"]]))
+                yield pd.DataFrame({"dim": np.repeat(some["dim"].to_numpy(), tables), "t": np.tile(np.arange(tables), len(some)),
+                                    "cell": own.ravel(), "node": np.repeat(some["node"].to_numpy(), tables),
+                                    "code": np.repeat(some["code"].to_numpy(), tables)})
+
+    dealt = coded.select("dim", "node", "code").mapInPandas(deal, "dim int, t int, cell long, node long, code binary")
     sizes = dealt.groupBy("dim", "t", "cell").agg(F.count("*").alias("n")).where("n > 1").withColumn(
         "blocks", F.expr(f"cast(ceil(n / {cell_rows}) as int)"))
     placed = dealt.join(sizes, ["dim", "t", "cell"]).withColumn("b", F.expr("cast(pmod(node, blocks) as int)"))
     placed = placed.withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)"))).selectExpr(
-        "dim", "t", "least(b, o) AS b1", "greatest(b, o) AS b2", "b", "node", "copies", "code", "factor", "raw", "cell",
+        "dim", "t", "least(b, o) AS b1", "greatest(b, o) AS b2", "b", "node", "code", "cell",
         # small cells share a group, so that a task handles some hundred rows at once
         f"CASE WHEN blocks > 1 THEN cell ELSE pmod(xxhash64(cell), {shares}) - {1 << 40} END AS g")
+    group = ["dim", "t", "g", "b1", "b2"]
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack([np.frombuffer(r, np.float64) for r in frame["raw"]])
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
-        own, t = cells(x), int(frame["t"].iloc[0])
-        turned = x @ rotation(x.shape[1], CODE_SEED)
-        bits = np.stack([np.frombuffer(c, np.uint8) for c in frame["code"]])
-        factor = frame["factor"].to_numpy()
+    def cells_of(frame: pd.DataFrame):
+        """Rows of each cell of a group, as both sides of the block pair."""
         cell, b = frame["cell"].to_numpy(), frame["b"].to_numpy()
         b1, b2 = int(frame["b1"].iloc[0]), int(frame["b2"].iloc[0])
-        links: list[tuple] = []
         order = np.argsort(cell, kind="stable")
         for rows in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
-            if len(rows) < 2:
-                continue
             if b1 != b2:
-                left, right = rows[b[rows] == b1], rows[b[rows] == b2]
-                i, j = linked_pairs(x, bits, factor, own, t, left, right, threshold, sigmas, turned)
-            else:
-                i, j = linked_pairs(x, bits, factor, own, t, rows, rows, threshold, sigmas, turned)
+                yield rows[b[rows] == b1], rows[b[rows] == b2]
+            elif len(rows) > 1:
+                yield rows, rows
+
+    def filter_codes(frame: pd.DataFrame) -> pd.DataFrame:
+        t, dim = int(frame["t"].iloc[0]), int(frame["dim"].iloc[0])
+        packed = np.stack([np.frombuffer(c, np.uint8) for c in frame["code"]])
+        signs, own = codes.signs(packed, dim), codes.cells(packed[:, :-(-tables * bits // 8)])
+        near = [near_codes(signs, own, t, left, right, threshold, sigmas) for left, right in cells_of(frame)]
+        return frame.iloc[np.concatenate([np.zeros(0, np.int64), *near])][[*group, "b", "node", "cell"]]
+
+    near = scratch.save(placed.groupBy(*group).applyInPandas(
+        filter_codes, "dim int, t int, g long, b1 int, b2 int, b int, node long, cell long"), "near")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        t, dim = int(frame["t"].iloc[0]), int(frame["dim"].iloc[0])
+        x = unit(np.stack([np.frombuffer(r, np.float64) for r in frame["raw"]]))
+        packed = np.stack([np.frombuffer(c, np.uint8) for c in frame["code"]])
+        signs, own = codes.signs(packed, dim), codes.cells(packed[:, :-(-tables * bits // 8)])
+        turned, factor = codes.turned(x), frame["factor"].to_numpy()
+        links = []
+        for left, right in cells_of(frame):
+            i, j = linked_pairs(x, turned, signs, factor, own, t, left, right, threshold, sigmas)
+            if left is right:
                 i, j = i[i < j], j[i < j]
             links.append((i, j))
         i = np.concatenate([k[0] for k in links] or [np.zeros(0, np.int64)])
@@ -203,8 +238,9 @@ def link_embeddings(spark: SparkSession, vectors: DataFrame, threshold: float =
             "other": pd.array([None] * len(some) + node[[e[1] for e in edges]].tolist(), "Int64"),
             "n": np.concatenate([linked[some], np.zeros(len(edges))]).astype(np.int64)})
 
-    found = scratch.save(placed.groupBy("dim", "t", "g", "b1", "b2").applyInPandas(
-        compare, "node long, other long, n long"), "found")
+    fetched = near.join(coded.select("node", "raw", "copies", "code", "factor"), "node")
+    found = scratch.save(fetched.groupBy(*group).applyInPandas(compare, "node long, other long, n long"), "found")
+    scratch.drop("near", "coded")
     counts = found.where("other IS NULL").groupBy("node").agg(F.sum("n").alias("n"))
     edges = found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b"))
     groups = connected_components(spark, edges, scratch)

@@ -228,17 +228,41 @@ def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((400, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    turned = x @ embedding_dedup.rotation(64, embedding_dedup.CODE_SEED)
-    bits, factor = embedding_dedup.encode(x)
-    code = np.where(np.unpackbits(bits, axis=1).astype(bool), 1.0, -1.0) / 8
-    assert np.allclose(factor, np.einsum("ij,ij->i", turned, code))
+    codes = embedding_dedup.Codes(20, 9)
+    turned = codes.turned(x)
+    packed, factor = codes.encode(x)
+    m = codes.width(64)
+    code = codes.signs(packed, 64) / np.sqrt(m)
+    assert m == 192 and np.allclose(factor, np.einsum("ij,ij->i", turned, code))
     estimate, true = code / factor[:, None] @ turned.T, x @ x.T
+    assert np.allclose(turned @ turned.T, true)
     error = (estimate - true)[~np.eye(400, dtype=bool)]
-    spread = (np.sqrt(1 - factor**2) / factor / np.sqrt(63))[:, None]
+    spread = (np.sqrt(1 - factor**2) / factor / np.sqrt(m - 1))[:, None]
     assert abs(error.mean()) < 0.005
     assert (np.abs(estimate - true) <= 5 * spread + 1e-9).mean() > 0.99999
 
 
+def test_few_pairs_at_the_threshold_are_filtered_out():
+    rng = np.random.default_rng(3)
+    tables, bits = embedding_dedup.plan_tables(50_000, 0.95, 1e-6)
+    codes = embedding_dedup.Codes(tables, bits)
+    lost = met = 0
+    for _ in range(20):
+        a, o = rng.standard_normal((2, 200, 64))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        o -= (o * a).sum(axis=1, keepdims=True) * a
+        o /= np.linalg.norm(o, axis=1, keepdims=True)
+        b = 0.9501 * a + np.sqrt(1 - 0.9501**2) * o
+        ca, cb = codes.encode(a)[0], codes.encode(b)[0]
+        share = codes.cells(ca) == codes.cells(cb)
+        met += int(share.any(axis=1).sum())
+        sa, sb = codes.signs(ca, 64), codes.signs(cb, 64)
+        for i in np.flatnonzero(share.any(axis=1)):
+            both = np.stack([sa[i], sb[i]])
+            lost += not len(embedding_dedup.near_codes(both, np.zeros((2, 1), np.int64), 0, np.array([0, 1]), np.array([0, 1]), 0.95, 5.0))
+    assert met >= 3999 and lost == 0  # of 4000 pairs at 0.9501
+
+
 # ---------------------------------------------------------------- fingerprints
 def brute_phrases(text: str) -> set[str]:
     seen: set[str] = set()
