@@ -1,6 +1,8 @@
 """Corpus-wide key counting without a row for each key.
 
-Documents are kept once as a table bucketed by chunk (some hundred documents).
+Documents are kept once as a table bucketed by chunk (``chunk_bytes`` of text, or one
+longer document). The numbers of buckets and of shards of the key space grow with the
+bytes of the corpus, so a chunk, a bucket and a shard stay of one size at any scale.
 In each round every chunk sends, to each shard of the key space, one compressed
 sorted array of its distinct keys; the shard answers with a bit or byte for each
 key sent. A frequent key is one entry in each chunk's message, however often it
@@ -24,16 +26,41 @@ MESSAGE = "chunk long, shard int, kind int, body binary, extra binary"
 REPLY = "chunk long, shard int, level int, kind int, bits binary"
 
 
+def chunked(rows: DataFrame, chunk_bytes: int) -> DataFrame:
+    """``rows`` with the chunk (long) and row (long, ascending in it) they belong to."""
+
+    def number(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        chunk = row = TaskContext.get().partitionId() << 33
+        held = 0
+        for batch in batches:
+            sizes = pc.add(pc.binary_length(batch.column("text")), 64).to_numpy(zero_copy_only=False)
+            at, chunks = 0, np.empty(len(sizes), np.int64)
+            for at, size in enumerate(sizes.tolist()):
+                if held and held + size > chunk_bytes:
+                    chunk, held = chunk + 1, 0
+                held += size
+                chunks[at] = chunk
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.arange(row, row + len(sizes))), pa.array(chunks)],
+                names=[*batch.schema.names, "row", "chunk"])
+            row += len(sizes)
+
+    return rows.mapInArrow(number, "doc_id long, no_id boolean, text string, row long, chunk long")
+
+
 class Exchange:
-    def __init__(self, spark: SparkSession, docs: DataFrame, name: str, chunk_rows: int = 512):
+    def __init__(self, spark: SparkSession, docs: DataFrame, name: str, chunk_bytes: int = 1 << 20,
+                 shard_bytes: int = 64 << 20):
         self.scratch = Scratch(spark, name)
         parts = shuffle_partitions(spark)
-        self.shards = 2 * parts
-        rows = docs.select(*id_columns(),
-                           F.coalesce(F.col("text"), F.lit("")).alias("text"),
-                           F.monotonically_increasing_id().alias("row"))
-        rows = rows.withColumn("chunk", F.expr(f"row div {chunk_rows}"))
-        self.store = self.scratch.save_bucketed(rows, "store", "chunk", parts)
+        rows = docs.select(*id_columns(), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+        size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        self.shards = max(2 * parts, -(-size // shard_bytes))
+        self.store = self.scratch.save_bucketed(chunked(rows, chunk_bytes), "store", "chunk", max(parts, -(-size // shard_bytes)))
         self.replies: DataFrame | None = None
         self.level = 0
 
@@ -112,3 +139,9 @@ def split_keys(keys: np.ndarray, shards: int):
     rank[order] = np.arange(len(order))
     bounds = np.searchsorted(shard[order], np.arange(shards + 1))
     return distinct[order], rank[inverse], counts[order], bounds
+
+
+def parts_of(bounds: np.ndarray):
+    """(shard, from, to) of the shards that have keys."""
+    for s in np.flatnonzero(np.diff(bounds)).tolist():
+        yield s, int(bounds[s]), int(bounds[s + 1])

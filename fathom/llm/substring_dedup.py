@@ -11,9 +11,12 @@ The short levels are counted by 32-bit keys inside each shard of the key space:
 may let a unique window pass to the next level, never stop a repeated one. The last
 level compares 64-bit keys.
 
+Chunks and shards are sized by bytes; a text longer than a chunk is a chunk of its own.
+
 Edge cases: null text has no words; texts under ``window_words`` words lose nothing;
 equal texts lose all words but the first one's, ties of doc_id going to the row in
-the earlier chunk; null doc_ids come last; empty tables give an empty result.
+the earlier chunk; null doc_ids come last; very long texts are read whole; extra columns
+are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, batches, ids_of, mix, pack, pack_sorted, unpack, unpack_sorted, word_table
-from .exchange import Exchange, split_keys
+from .exchange import Exchange, parts_of, split_keys
 
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_text string"
 
@@ -76,11 +79,9 @@ class _Chunk:
     def repeated(self, level: int, replies: dict) -> np.ndarray:
         """For each distinct key whether it repeats (last level: starts here first)."""
         out = np.zeros(len(self.distinct), bool)
-        for s in range(self.shards):
-            lo, hi = self.bounds[s], self.bounds[s + 1]
-            if hi > lo:
-                bits = np.frombuffer(replies[level, s, 0], np.uint8)
-                out[lo:hi] = np.unpackbits(bits, count=hi - lo).astype(bool)
+        for s, lo, hi in parts_of(self.bounds):
+            bits = np.frombuffer(replies[level, s, 0], np.uint8)
+            out[lo:hi] = np.unpackbits(bits, count=hi - lo).astype(bool)
         return out
 
     def _double(self, repeated: np.ndarray, length: int) -> None:
@@ -111,15 +112,13 @@ def remove_repeated_words(spark: SparkSession, docs: DataFrame, window_words: in
 
     def send_short(docs, replies):
         c = _Chunk(docs, levels, shards, replies)
-        for s in range(shards):
-            lo, hi = c.bounds[s], c.bounds[s + 1]
-            if hi > lo:
-                # Equal narrow keys of distinct windows count as one repeated key.
-                keys = _narrow(c.distinct[lo:hi], shards)
-                order = np.argsort(keys, kind="stable")
-                yield s, 0, pack_sorted(keys[order]), pack(
-                    np.packbits(c.counts[lo:hi] > 1), order.astype(np.uint32)
-                    if (np.diff(order) != 1).any() else None)
+        for s, lo, hi in parts_of(c.bounds):
+            # Equal narrow keys of distinct windows count as one repeated key.
+            keys = _narrow(c.distinct[lo:hi], shards)
+            order = np.argsort(keys, kind="stable")
+            yield s, 0, pack_sorted(keys[order]), pack(
+                np.packbits(c.counts[lo:hi] > 1), order.astype(np.uint32)
+                if (np.diff(order) != 1).any() else None)
 
     def answer_short(_, bodies, extras):
         keys = [unpack_sorted(b, np.uint32) for b in bodies]
@@ -142,10 +141,8 @@ def remove_repeated_words(spark: SparkSession, docs: DataFrame, window_words: in
         ids = docs["doc_id"].to_numpy(np.int64)
         least = np.full(len(c.distinct), NULL_ID)
         np.minimum.at(least, c.inverse, ids[c.owner[c.at]])
-        for s in range(shards):
-            lo, hi = c.bounds[s], c.bounds[s + 1]
-            if hi > lo:
-                yield s, 0, pack_sorted(c.distinct[lo:hi]), pack(least[lo:hi])
+        for s, lo, hi in parts_of(c.bounds):
+            yield s, 0, pack_sorted(c.distinct[lo:hi]), pack(least[lo:hi])
 
     def answer_last(_, bodies, extras):
         keys = [unpack_sorted(b, np.uint64) for b in bodies]

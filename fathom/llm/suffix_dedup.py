@@ -18,11 +18,17 @@ brought together first, without losing any:
    window start, the longest match with either neighbour, which is the longest with any
    other text; starts with a match of ``match_bytes`` or more are marked.
 
-Seeds that occur more than ``hot_limit`` times would gather in one task; their windows
-are counted exactly by 64-bit hash through the exchange instead, which spreads by window.
+A seed's surroundings gather in one task, so for seeds that occur more than ``hot_limit``
+times (65 536: some 22 MB) the windows are counted exactly by 64-bit hash through the
+exchange instead, which spreads by window.
+
+Chunks and shards are sized by bytes; a text longer than a chunk is a chunk of its own,
+and one that repeats itself is indexed as its distinct surroundings.
 
 Edge cases: null text is empty; texts under ``match_bytes`` bytes lose nothing; matches
-never cross documents; overlapping occurrences count; empty tables give an empty result.
+never cross documents; overlapping occurrences count; equal rows lose all that
+is long enough, none is the first; null doc_ids pass through; very long texts are read whole;
+extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import batches, ids_of, mix, pack, pack_sorted, unpack, unpack_sorted
-from .exchange import Exchange, split_keys
+from .exchange import Exchange, parts_of, split_keys
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 UNIQUE, REPEATED, HOT = 0, 1, 2
@@ -95,47 +101,56 @@ class _Chunk:
         self.match = match
         self.seed_bytes = seed
 
-    def kinds(self, bounds, shards: int, replies: dict, n: int) -> np.ndarray:
+    def kinds(self, bounds, replies: dict, n: int) -> np.ndarray:
         out = np.zeros(n, np.uint8)
-        for s in range(shards):
-            lo, hi = bounds[s], bounds[s + 1]
-            if hi > lo:
-                out[lo:hi] = np.frombuffer(replies[0, s, 0], np.uint8)
+        for s, lo, hi in parts_of(bounds):
+            out[lo:hi] = np.frombuffer(replies[0, s, 0], np.uint8)
         return out
 
     def surroundings(self, chosen: np.ndarray, shards: int):
-        """Distinct (seed, surroundings) by shard: {shard: ([seed, left, bytes, count], ids)}."""
-        shard = (self.seed[chosen] % np.uint64(shards)).astype(np.int64)
-        out: dict[int, tuple[dict, list]] = {}
-        for i, s in zip(chosen.tolist(), shard.tolist(), strict=True):
+        """Distinct (seed, surroundings) by shard, {shard: {(seed, left, bytes): [place, count]}},
+        and for each chosen seed its shard and place (-1: no window fits)."""
+        shard = (self.seed[chosen] % np.uint64(shards)).astype(np.int32)
+        place = np.full(len(chosen), -1, np.int32)
+        out: dict[int, dict] = {}
+        for k, i in enumerate(chosen.tolist()):
             p, left = int(self.at[i]), int(self.left[i])
             piece = self.blob[p - left:p + self.seed_bytes + int(self.right[i])]
             if len(piece) < self.match:
                 continue
-            known, where = out.setdefault(s, ({}, []))
-            k = (int(self.seed[i]), left, piece)
-            entry = known.setdefault(k, [len(known), 0])
+            known = out.setdefault(int(shard[k]), {})
+            entry = known.setdefault((int(self.seed[i]), left, piece), [len(known), 0])
             entry[1] += 1
-            where.append((i, entry[0]))
-        return out
+            place[k] = entry[0]
+        return out, shard, place
 
     def windows(self, chosen: np.ndarray):
         """Start and 64-bit hash of every window that holds a chosen seed."""
-        if not len(chosen):
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        back = np.arange(self.match - self.seed_bytes + 1)
-        starts = self.at[chosen][:, None] - back[None, :]
-        ok = (back[None, :] <= self.left[chosen][:, None]) & (
-            self.match - self.seed_bytes - back[None, :] <= self.right[chosen][:, None])
-        starts = np.unique(starts[ok])
+        # The windows around a seed start at adjacent places.
+        first = self.at[chosen] - self.left[chosen]
+        last = self.at[chosen] + self.seed_bytes + self.right[chosen] - self.match
+        first, last = first[last >= first], last[last >= first]
+        starts = np.flatnonzero(covered(len(self.blob), first, last + 1))
         if not len(starts):
             return starts, np.zeros(0, np.uint64)
         text = np.frombuffer(self.blob, np.uint8)
         eights = np.ndarray((len(text) - 7,), "<u8", text, 0, (1,))
-        total = np.full(len(starts), self.match, np.uint64)
-        for i in range(0, self.match - 7, 8):
-            total = mix(total * np.uint64(0x9E3779B97F4A7C15) + eights[starts + i])
-        return starts, mix(total + eights[starts + self.match - 8])
+        hashes = np.empty(len(starts), np.uint64)
+        for lo in range(0, len(starts), 1 << 18):
+            part = starts[lo:lo + (1 << 18)]
+            total = np.full(len(part), self.match, np.uint64)
+            for i in range(0, self.match - 7, 8):
+                total = mix(total * np.uint64(0x9E3779B97F4A7C15) + eights[part + i])
+            hashes[lo:lo + (1 << 18)] = mix(total + eights[part + self.match - 8])
+        return starts, hashes
+
+
+def covered(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of ``size`` places lie in one of the intervals (ends exclusive)."""
+    cover = np.zeros(size + 1, np.int32)
+    np.add.at(cover, starts, 1)
+    np.add.at(cover, ends, -1)
+    return np.cumsum(cover, out=cover)[:-1] > 0
 
 
 def index_matches(groups: np.ndarray, lefts: np.ndarray, pieces: list[bytes], seed: int,
@@ -151,37 +166,44 @@ def index_matches(groups: np.ndarray, lefts: np.ndarray, pieces: list[bytes], se
     for j, (left, piece) in enumerate(zip(lefts.tolist(), pieces, strict=True)):
         row = np.frombuffer(piece, np.uint8)
         grid[side - left:side - left + len(row), j] = np.where(row == 0, 255, row)
+    # The transform of a column is kept as its runs of equal characters. A match with the
+    # predecessor grows by one in every column, so it is stored as ``base``: matched length
+    # plus the column. Inside a run nothing is written; run ends are sampled.
     order = np.argsort(groups, kind="stable")
-    lcp = np.zeros(m + 1, np.int64)  # with the predecessor; a guard at the end
+    base = np.full(m + 1, width, np.int64)
     out = np.zeros((side + 1, m), bool)
-    big = np.int64(width + 1)
+    owner = groups.astype(np.int64) * 256
     for c in range(width - 1, -1, -1):
-        ch = grid[c, order]
-        key = groups[order] * 256 + ch
-        perm = np.argsort(key, kind="stable")
-        new_key = key[perm]
-        same = np.zeros(m, bool)
-        same[1:] = new_key[1:] == new_key[:-1]
-        new_lcp = np.zeros(m + 1, np.int64)
-        run = same.copy()  # neighbours before: inside a run, one longer than it was
-        run[1:] &= perm[1:] == perm[:-1] + 1
-        new_lcp[:-1][run] = lcp[perm[run]] + 1
-        ends = np.flatnonzero(same & ~run)  # run ends: sampled by range minimum
-        if len(ends):
-            spans = np.empty(2 * len(ends), np.int64)
-            spans[::2], spans[1::2] = perm[ends - 1] + 1, perm[ends] + 1
-            lcp[m] = big
-            new_lcp[ends] = np.minimum.reduceat(lcp, spans)[::2] + 1
-        new_lcp[m] = 0
-        order, lcp = order[perm], new_lcp
+        key = owner[order] + grid[c, order]
+        heads = np.flatnonzero(np.diff(key, prepend=-1))
+        sizes = np.diff(np.append(heads, m))
+        by_key = np.argsort(key[heads], kind="stable")  # runs, not texts, are sorted
+        if len(by_key) > 1:
+            # A run whose key continues the run placed before it matches it as far as the
+            # least of the matches in between; any other run starts a new character.
+            went, came = heads[by_key], heads[by_key] + sizes[by_key] - 1
+            same = np.concatenate([[False], key[went[1:]] == key[went[:-1]]])
+            value = np.full(len(by_key), c, np.int64)
+            again = np.flatnonzero(same)
+            if len(again):
+                spans = np.empty(2 * len(again), np.int64)
+                spans[::2], spans[1::2] = came[again - 1] + 1, went[again] + 1
+                base[m] = 2 * width
+                value[again] = np.minimum.reduceat(base, spans)[::2]
+            base[went] = value
+            ends = np.cumsum(sizes[by_key])
+            moved = np.arange(m) + np.repeat(went - (ends - sizes[by_key]), sizes[by_key])
+            order, base[:m] = order[moved], base[:m][moved]
+        elif m:
+            base[0] = c
         if c <= side:
-            long = lcp >= match
+            long = np.append(base[:m] - c >= match, False)
             out[side - c, order] = long[:-1] | long[1:]
     return out.T
 
 
 def remove_repeated_bytes(spark: SparkSession, docs: DataFrame, match_bytes: int = 200,
-                          seed_bytes: int = 64, hot_limit: int = 2048) -> DataFrame:
+                          seed_bytes: int = 64, hot_limit: int = 1 << 16) -> DataFrame:
     """Each document without the bytes covered by a string of ``match_bytes`` bytes
     that also starts anywhere else (see module).
 
@@ -193,10 +215,8 @@ def remove_repeated_bytes(spark: SparkSession, docs: DataFrame, match_bytes: int
     def send_seeds(docs, replies):
         c = _Chunk(docs, seed_bytes, match_bytes)
         keys, _, counts, bounds = split_keys(c.seed, shards)
-        for s in range(shards):
-            lo, hi = bounds[s], bounds[s + 1]
-            if hi > lo:
-                yield s, 0, pack_sorted(keys[lo:hi]), pack(counts[lo:hi].astype(np.uint32))
+        for s, lo, hi in parts_of(bounds):
+            yield s, 0, pack_sorted(keys[lo:hi]), pack(counts[lo:hi].astype(np.uint32))
 
     def count_seeds(_, bodies, extras):
         keys = [unpack_sorted(b, np.uint64) for b in bodies]
@@ -211,13 +231,13 @@ def remove_repeated_bytes(spark: SparkSession, docs: DataFrame, match_bytes: int
 
     def chosen(c, replies):
         keys, inverse, _, bounds = split_keys(c.seed, shards)
-        kind = c.kinds(bounds, shards, replies, len(keys))[inverse]
+        kind = c.kinds(bounds, replies, len(keys))[inverse]
         return np.flatnonzero(kind == REPEATED), np.flatnonzero(kind == HOT)
 
     def send_texts(docs, replies):
         c = _Chunk(docs, seed_bytes, match_bytes)
         repeated, hot = chosen(c, replies)
-        for s, (known, _) in c.surroundings(repeated, shards).items():
+        for s, known in c.surroundings(repeated, shards)[0].items():
             yield (s, 1, pack(np.array([k[0] for k in known], np.uint64),
                               np.array([k[1] for k in known], np.int32),
                               np.array([len(k[2]) for k in known], np.int32),
@@ -225,10 +245,8 @@ def remove_repeated_bytes(spark: SparkSession, docs: DataFrame, match_bytes: int
                    pack(np.array([v[1] for v in known.values()], np.int64)))
         _, window = c.windows(hot)
         keys, _, counts, bounds = split_keys(window, shards)
-        for s in range(shards):
-            lo, hi = bounds[s], bounds[s + 1]
-            if hi > lo:
-                yield s, 2, pack_sorted(keys[lo:hi]), pack(np.packbits(counts[lo:hi] > 1))
+        for s, lo, hi in parts_of(bounds):
+            yield s, 2, pack_sorted(keys[lo:hi]), pack(np.packbits(counts[lo:hi] > 1))
 
     def match_texts(kind, bodies, extras):
         if kind == 2:
@@ -275,28 +293,26 @@ def remove_repeated_bytes(spark: SparkSession, docs: DataFrame, match_bytes: int
     def cut(docs, replies):
         c = _Chunk(docs, seed_bytes, match_bytes)
         repeated, hot = chosen(c, replies)
-        starts = [np.zeros(0, np.int64)]
-        for s, (_, where) in c.surroundings(repeated, shards).items():
-            marks = np.unpackbits(unpack(replies[1, s, 1])[0], axis=1, count=side + 1).astype(bool)
-            where = np.array(where, np.int64)
-            i, j = np.nonzero(marks[where[:, 1]])
-            at = where[i, 0]
-            ok = (j <= c.left[at]) & (side - j <= c.right[at])
-            starts.append((c.at[at] - j)[ok])
+        starts = np.zeros(len(c.blob) + 1, bool)
+        known, shard, place = c.surroundings(repeated, shards)
+        for s in known:
+            marks = unpack(replies[1, s, 1])[0]
+            mine = np.flatnonzero((shard == s) & (place >= 0))
+            for lo in range(0, len(mine), 1 << 15):  # a row of marks is 137 places wide
+                part = mine[lo:lo + (1 << 15)]
+                i, j = np.nonzero(np.unpackbits(marks[place[part]], axis=1, count=side + 1))
+                at = repeated[part[i]]
+                ok = (j <= c.left[at]) & (side - j <= c.right[at])
+                starts[(c.at[at] - j)[ok]] = True
+        del known
         begin, window = c.windows(hot)
         keys, inverse, _, bounds = split_keys(window, shards)
         again = np.zeros(len(keys), bool)
-        for s in range(shards):
-            lo, hi = bounds[s], bounds[s + 1]
-            if hi > lo:
-                again[lo:hi] = np.unpackbits(np.frombuffer(replies[1, s, 2], np.uint8),
-                                             count=hi - lo).astype(bool)
-        starts.append(begin[again[inverse]])
-        starts = np.concatenate(starts)
-        cover = np.zeros(len(c.blob) + 1, np.int64)
-        np.add.at(cover, starts, 1)
-        np.add.at(cover, starts + match_bytes, -1)
-        gone = np.cumsum(cover)[:-1] > 0
+        for s, lo, hi in parts_of(bounds):
+            again[lo:hi] = np.unpackbits(np.frombuffer(replies[1, s, 2], np.uint8), count=hi - lo).astype(bool)
+        starts[begin[again[inverse]]] = True
+        starts = np.flatnonzero(starts)
+        gone = covered(len(c.blob), starts, starts + match_bytes)
         text = np.frombuffer(c.blob, np.uint8)
         out = []
         for i in range(len(c.raws)):

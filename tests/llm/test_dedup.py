@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from fathom.llm import line_dedup, order_minhash, substring_dedup, suffix_dedup
+from tests.conftest import ROOT
 from tests.llm import cases
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,6 +102,48 @@ def test_bytes_of_random_copies(spark, seed):
     assert got == brute_bytes(rows, 40)
 
 
+@pytest.mark.parametrize("hot", [1 << 16, 50])
+def test_bytes_of_long_repetitive_texts(spark, hot):
+    rng = random.Random(6)
+    odd = "".join(rng.choice("abcdefgh ") for _ in range(1500))
+    rows = [(1, "a" * 30_000, None, None, 0), (2, "ab " * 9_000 + odd, None, None, 0), (3, odd[:700] + "a" * 450, None, None, 0), (4, "unlike " + odd[900:], None, None, 0)]
+    out = suffix_dedup.remove_repeated_bytes(spark, cases.frame(spark, rows), hot_limit=hot)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out.collect()), key=repr)
+    assert got == brute_bytes(rows, 200)
+
+
+def test_one_long_text_needs_little_memory():
+    """5 MB of one byte: every position is a seed, all windows are equal."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, numpy as np, pandas as pd
+from fathom.llm import suffix_dedup as s
+c = s._Chunk(pd.DataFrame({"text": ["a" * 5_000_000]}), 64, 200)
+every = np.arange(len(c.at))
+known, _, place = c.surroundings(every, 16)
+starts, _ = c.windows(every)
+assert len(starts) == 5_000_000 - 199 and sum(map(len, known.values())) == 273
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, check=True)
+    assert int(run.stdout) < 1000
+
+
+def test_chunks_are_bounded_by_bytes(spark):
+    from fathom.llm.exchange import chunked
+    from fathom.llm.common import id_columns
+
+    rows = [(i, "x" * (i * 997 % 3000), None, None, 0) for i in range(300)] + [(900, "y" * 50_000, None, None, 0)]
+    got = chunked(cases.frame(spark, rows).select(*id_columns(), "text"), 10_000).collect()
+    sizes: dict = {}
+    for r in got:
+        sizes.setdefault(r.chunk, []).append(len(r.text))
+    assert sum(map(len, sizes.values())) == 301 and len({r.row for r in got}) == 301
+    assert all(sum(v) <= 10_000 or len(v) == 1 for v in sizes.values()) and len(sizes) < 90
+
+
 def brute_lines(rows, run):
     docs = sorted({(r[0] is None, r[0] or 0, r[1] or "") for r in rows})
     first, gone = {}, {}
