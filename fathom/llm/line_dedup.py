@@ -109,7 +109,8 @@ def delete_repeated_lines(docs: DataFrame, run_lines: int = 3) -> DataFrame:
     gone = scratch.save(gone, "cuts")
     scratch.drop("fingerprints", "shared", "windows", "first")
     text = F.coalesce("text", F.lit(""))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_fathom_id")) & (F.xxhash64(text) == F.col("_fathom_hash")), "left")
+    # The cuts grow with the corpus: a merge at every size.
+    joined = docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(F.col("_fathom_id")) & (F.xxhash64(text) == F.col("_fathom_hash")), "left")
     lines = F.split(text, "\n")
     joined = joined.withColumn("_fathom_lines", lines)
     kept = F.when(F.col("_fathom_cuts").isNull(), text).otherwise(F.expr("""array_join(flatten(transform(
