@@ -139,15 +139,16 @@ def classify_tables(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     """Duplicate decision of every candidate table: by id, locator, then schema hash.
 
     Both: table_id, locator, status, canonical_hash, schema_hash (candidates also
-    candidate_id). Returns candidate_id, decision, code, target_id and candidate_ids, the
-    tables of the same schema.
+    candidate_id). Returns candidate_id, decision, code, target_id and, for a possible clone,
+    the number of tables of the same schema and the first of them (clones, clone_id):
+    their list could grow with the registry.
     """
     by_id = existing.select(F.col("table_id").alias("known"), F.col("locator").alias("known_locator"),
                             F.col("status").alias("known_status"), F.col("canonical_hash").alias("known_hash"))
     at = first_match(existing, ["locator"], ["table_id"]).select(
         F.col("locator").alias("l"), F.col("table_id").alias("l_id"), F.col("status").alias("l_status"))
     like = existing.where("schema_hash IS NOT NULL").groupBy(F.col("schema_hash").alias("s")).agg(
-        F.sort_array(F.collect_set("table_id")).alias("clones"))
+        F.countDistinct("table_id").alias("clones"), F.min("table_id").alias("clone_id"))
     c = (candidates.join(by_id, F.col("table_id") == F.col("known"), "left")
          .join(at, F.col("locator") == F.col("l"), "left")
          .join(like, F.col("schema_hash") == F.col("s"), "left"))
@@ -162,6 +163,7 @@ def classify_tables(candidates: DataFrame, existing: DataFrame) -> DataFrame:
         (F.col("l_id").isNotNull(), "REUSE", "TABLE_LOCATOR_REUSE", F.col("l_id")),
         (F.col("clones").isNotNull(), "WARN", "POSSIBLE_CLONE", none),
     ]
-    out = c.select("candidate_id", "clones", *_decided(cases, ("CREATE", "TABLE_CREATE")))
-    return out.select("candidate_id", "decision", "code", "target_id", F.when(
-        F.col("code") == "POSSIBLE_CLONE", F.col("clones")).otherwise(F.array().cast("array<string>")).alias("candidate_ids"))
+    out = c.select("candidate_id", "clones", "clone_id", *_decided(cases, ("CREATE", "TABLE_CREATE")))
+    clone = F.col("code") == "POSSIBLE_CLONE"
+    return out.select("candidate_id", "decision", "code", "target_id", F.when(clone, F.col("clones")).otherwise(0).alias("clones"),
+                      F.when(clone, F.col("clone_id")).alias("clone_id"))

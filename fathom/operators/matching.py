@@ -100,20 +100,43 @@ def _orders_of(doc: str, regions: list[int], edges: list[tuple[int, int]], limit
     for a, b in edges:
         after[a].append(b)
         waiting[b] += 1
+    ready = [r for r in regions if not waiting[r]]
+    if not _acyclic(ready, dict(waiting), after):
+        return []
     found: list[list[int]] = []
-
-    def extend(order: list[int], left: dict[int, int]):
-        if len(found) == limit:
-            return
+    order: list[int] = []
+    # Each level holds the regions that may come next and the one tried; no recursion.
+    levels: list[list] = [[ready, -1]]
+    while levels and len(found) < limit:
+        options, at = levels[-1]
+        if at >= 0:
+            for b in after[order.pop()]:
+                waiting[b] += 1
+        if at + 1 == len(options):
+            levels.pop()
+            continue
+        levels[-1][1] = at + 1
+        chosen = options[at + 1]
+        order.append(chosen)
+        for b in after[chosen]:
+            waiting[b] -= 1
         if len(order) == len(regions):
-            found.append(order)
-            return
-        for r in sorted((r for r, n in left.items() if n == 0), key=rank.get):
-            rest = {k: n - (k in after[r]) for k, n in left.items() if k != r}
-            extend([*order, r], rest)
-
-    extend([], waiting)
-    return [(doc, i, p, r) for i, order in enumerate(found) for p, r in enumerate(order)]
+            found.append(list(order))
+        else:
+            freed = [b for b in after[chosen] if not waiting[b]]
+            levels.append([sorted([*(r for r in options if r != chosen), *freed], key=rank.get), -1])
+    return [(doc, i, p, r) for i, one in enumerate(found) for p, r in enumerate(one)]
+
+
+def _acyclic(ready: list[int], waiting: dict[int, int], after: dict[int, list[int]]) -> bool:
+    queue, done = list(ready), 0
+    while queue:
+        done += 1
+        for b in after[queue.pop()]:
+            waiting[b] -= 1
+            if not waiting[b]:
+                queue.append(b)
+    return done == len(waiting)
 
 
 def topological_orders(regions: DataFrame, edges: DataFrame, limit: int = 5) -> DataFrame:

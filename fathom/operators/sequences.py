@@ -118,9 +118,9 @@ def order_is_valid(orders: DataFrame, regions: DataFrame, edges: DataFrame, doc:
 def next_free(df: DataFrame, keys: list[str], wanted: str, tie: str, name: str = "slot") -> DataFrame:
     """Slots for wanted orders: the wanted one for its first taker, the others behind the highest."""
     w = _by([*keys, wanted], [tie])
-    marked = df.withColumn("_first", F.row_number().over(w) == 1)
+    marked = df.withColumn("_first", (F.row_number().over(w) == 1) & F.col(wanted).isNotNull())
     top = F.max(wanted).over(Window.partitionBy(*keys))
     behind = _by([*keys, "_first"], [wanted, tie])
     return marked.withColumn("_top", top).withColumn(
-        name, F.when(F.col("_first") & F.col(wanted).isNotNull(), F.col(wanted))
+        name, F.when(F.col("_first"), F.col(wanted))
         .otherwise(F.coalesce(F.col("_top"), F.lit(0)) + F.row_number().over(behind))).drop("_first", "_top")

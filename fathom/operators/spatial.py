@@ -86,7 +86,10 @@ def assign_exactly_once(spans: DataFrame, cells: DataFrame, keys: list[str], spa
                         span_box: str, cell_box: str) -> DataFrame:
     """(keys, table, accepted, spans): tables in which every span meets exactly one cell."""
     met = bounded_matches(spans, cells, keys, span_id, cell_id, span_box, cell_box, 2)
-    per_span = met.groupBy(*keys, table_id, span_id).agg(F.count("*").alias("n"))
+    counted = met.groupBy(*keys, table_id, span_id).agg(F.count("*").alias("n"))
+    # A span that meets no cell rules its table out as well.
+    per_span = spans.select(*keys, table_id, span_id).distinct().join(counted, [*keys, table_id, span_id], "left").withColumn(
+        "n", F.coalesce("n", F.lit(0)))
     return per_span.groupBy(*keys, table_id).agg(F.bool_and(F.col("n") == 1).alias("accepted"), F.count("*").alias("spans"))
 
 

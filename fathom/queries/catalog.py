@@ -117,21 +117,21 @@ def product_duplicates(spark, sf):
 
 
 @R.add("""WITH e AS (SELECT 'tbl_' || p_partkey AS table_id, 'loc' || p_partkey AS locator, CASE WHEN p_size % 10 = 0 THEN 'RETIRED' ELSE 'ACTIVE' END AS status,
-  md5('c' || p_partkey) AS ch, md5(p_brand) AS sh FROM part WHERE p_partkey % 2 = 0 AND p_partkey % 40 < 8),
+  md5('c' || p_partkey) AS ch, md5(p_brand) AS sh FROM part WHERE p_partkey % 2 = 0),
 c AS (SELECT p_partkey AS candidate_id, CASE WHEN n < 3 THEN 'tbl_' ELSE 'new_' END || p_partkey AS table_id, CASE WHEN n IN (0, 1, 3) THEN 'loc' ELSE 'other' END || p_partkey AS locator,
   CASE WHEN n = 0 THEN md5('c' || p_partkey) ELSE md5('x' || p_partkey) END AS ch, CASE WHEN n = 4 THEN md5(p_brand) ELSE md5('s' || p_partkey) END AS sh FROM (SELECT *, (p_partkey // 2) % 6 AS n FROM part)),
-s AS (SELECT sh, list(table_id ORDER BY table_id) AS clones FROM e GROUP BY sh),
+s AS (SELECT sh, count(DISTINCT table_id) AS clones FROM e GROUP BY sh),
 j AS (SELECT c.*, i.table_id AS known, i.locator AS kl, i.status AS ks, i.ch AS kh, l.table_id AS l_id, l.status AS ls, s.clones FROM c LEFT JOIN e i ON i.table_id = c.table_id
   LEFT JOIN e l ON l.locator = c.locator LEFT JOIN s ON s.sh = c.sh),
 x AS (SELECT *, CASE WHEN known IS NOT NULL AND ks = 'RETIRED' THEN 'RETIRED_ID_REUSE' WHEN known IS NOT NULL AND kl <> locator THEN 'TABLE_ID_LOCATOR_CONFLICT' WHEN kh = ch THEN 'TABLE_NO_CHANGE'
   WHEN known IS NOT NULL THEN 'TABLE_UPDATE' WHEN ls = 'RETIRED' THEN 'RETIRED_ID_REUSE' WHEN l_id IS NOT NULL THEN 'TABLE_LOCATOR_REUSE' WHEN clones IS NOT NULL THEN 'POSSIBLE_CLONE' ELSE 'TABLE_CREATE' END AS code FROM j)
 SELECT candidate_id, code, CASE code WHEN 'TABLE_NO_CHANGE' THEN 'NO_CHANGE' WHEN 'TABLE_UPDATE' THEN 'UPDATE' WHEN 'TABLE_CREATE' THEN 'CREATE' WHEN 'TABLE_LOCATOR_REUSE' THEN 'REUSE'
   WHEN 'POSSIBLE_CLONE' THEN 'WARN' ELSE 'BLOCK' END AS decision, coalesce(known, CASE WHEN code IN ('RETIRED_ID_REUSE', 'TABLE_LOCATOR_REUSE') THEN l_id END) AS target_id,
-  CASE WHEN code = 'POSSIBLE_CLONE' THEN len(clones) ELSE 0 END::INT AS clones FROM x""")
+  CASE WHEN code = 'POSSIBLE_CLONE' THEN clones ELSE 0 END::BIGINT AS clones FROM x""")
 def table_duplicates(spark, sf):
     p = table(spark, sf, "part")
     key = F.col("p_partkey").cast("string")
-    existing = p.where("p_partkey % 2 = 0 AND p_partkey % 40 < 8").select(
+    existing = p.where("p_partkey % 2 = 0").select(
         F.concat(F.lit("tbl_"), key).alias("table_id"), F.concat(F.lit("loc"), key).alias("locator"),
         F.when(F.col("p_size") % 10 == 0, "RETIRED").otherwise("ACTIVE").alias("status"), F.md5(F.concat(F.lit("c"), key)).alias("canonical_hash"),
         F.md5("p_brand").alias("schema_hash"))
@@ -142,7 +142,7 @@ def table_duplicates(spark, sf):
         F.md5(F.concat(F.when(n == 0, "c").otherwise("x"), key)).alias("canonical_hash"),
         F.when(n == 4, F.md5("p_brand")).otherwise(F.md5(F.concat(F.lit("s"), key))).alias("schema_hash"))
     return identity.classify_tables(candidates, existing).select(
-        "candidate_id", "decision", "code", "target_id", F.size("candidate_ids").alias("clones"))
+        "candidate_id", "decision", "code", "target_id", "clones")
 
 
 @R.add("""WITH l AS (SELECT DISTINCT l_partkey, l_suppkey, l_linenumber FROM lineitem), e AS (SELECT * FROM l WHERE l_linenumber < 3)

@@ -75,9 +75,24 @@ def layout_edges(spark, sf):
     return lay.reading_edges(rows)
 
 
-@R.add(None)
+@R.add("""WITH r AS (SELECT l_orderkey AS doc, l_linenumber AS page, l_partkey % 2 AS col, l_suppkey % 10 / 16.0 AS lft, (l_suppkey % 10 + 4 + l_partkey % 3) / 16.0 AS rgt,
+  (l_partkey % 20 + 2) / 32.0 AS top, l_suppkey * 10 + l_linenumber AS first FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber, 1, l_partkey % 8 / 16.0, (l_partkey % 8 + 6) / 16.0, 0.03125, l_partkey * 10 + l_linenumber FROM lineitem),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc, page ORDER BY col, -top, lft, rgt, first) AS a, row_number() OVER (PARTITION BY doc, page ORDER BY col DESC, -top DESC, lft DESC, rgt DESC, first DESC) AS z FROM r)
+SELECT b.doc::VARCHAR AS doc, b.page, b.first AS before, n.first AS after, greatest(0, least(b.rgt, n.rgt) - greatest(b.lft, n.lft)) / least(b.rgt - b.lft, n.rgt - n.lft)::DOUBLE AS overlap
+FROM o b JOIN o n ON n.doc = b.doc AND n.page = b.page + 1 WHERE b.z = 1 AND n.a = 1 AND greatest(0, least(b.rgt, n.rgt) - greatest(b.lft, n.lft)) / least(b.rgt - b.lft, n.rgt - n.lft) >= 0.75""")
 def layout_continuations(spark, sf):
-    return lay.continuations(lay.regions(lay.with_columns(lay.lines(_atoms(spark, sf)))))
+    """The last region of a page and the first of the next one, where they lie under each other."""
+    l = table(spark, sf, "lineitem")
+    left, right = F.col("l_suppkey") % 10 / 16.0, (F.col("l_suppkey") % 10 + 4 + F.col("l_partkey") % 3) / 16.0
+    top = (F.col("l_partkey") % 20 + 2) / 32.0
+    name = [F.col("l_orderkey").cast("string").alias("doc"), F.col("l_linenumber").alias("page")]
+    upper = l.select(*name, (F.col("l_partkey") % 2).cast("long").alias("column"), g.box(left, top - 1 / 32, right, top).alias("box"),
+                     (F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("first"))
+    low = F.col("l_partkey") % 8 / 16.0
+    lower = l.select(*name, F.lit(1).cast("long").alias("column"), g.box(low, F.lit(0.0), low + 6 / 16, F.lit(0.03125)).alias("box"),
+                     (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("first"))
+    return lay.continuations(upper.unionByName(lower))
 
 
 @R.add("""WITH x AS (SELECT l_orderkey, l_linenumber, l_suppkey % 20 / 20.0 AS b, l_suppkey % 20 / 20.0 + l_quantity / 500 AS t FROM lineitem),
@@ -97,40 +112,42 @@ def column_anchors(spark, sf):
     return lay.column_anchors(x)
 
 
-FIRST = "string_split(text, chr(10))[1]"
-BLOCK = rf"""b AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '1.2 ' WHEN 1 THEN '- ' WHEN 2 THEN 'Table 3 ' ELSE '' END || {FIRST} AS x, 0.02 * (1 + doc_id % 3) AS h,
-  CASE doc_id % 7 WHEN 0 THEN 'heading' WHEN 1 THEN 'table' WHEN 2 THEN 'list_item' WHEN 3 THEN 'paragraph' END AS hint FROM documents),
+BLOCK = rf"""t AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS region FROM documents),
+b AS (SELECT doc_id, region, CASE (doc_id + region) % 5 WHEN 0 THEN '1.2 ' WHEN 1 THEN '- ' WHEN 2 THEN 'Table 3 ' ELSE '' END || line AS x, 0.02 * (1 + doc_id % 3) AS h,
+  CASE (doc_id + region) % 7 WHEN 0 THEN 'heading' WHEN 1 THEN 'table' WHEN 2 THEN 'list_item' WHEN 3 THEN 'paragraph' END AS hint FROM t),
 f AS (SELECT *, regexp_matches(x, '^\s*(\d+(?:\.\d+)*)(?:[.)]|\s)')::INT AS nh, regexp_matches(x, '^(\s*)(?:\d+[.)]|[a-zA-Z][.)])\s+')::INT AS ol, regexp_matches(x, '^(\s*)[-*•▪◦]\s+')::INT AS ul,
   regexp_matches(x, '(?i)^\s*(?:그림|표|사진|도표|figure|table)\s*\d+')::INT AS cap, (length(trim(x)) <= 48)::INT AS sh, regexp_matches(trim(x), '[.!?。！？다요음임함됨)]$')::INT AS term, (h >= 0.03 * 1.25)::INT AS big,
   (coalesce(hint, '') = 'heading')::INT AS hh, (coalesce(hint, '') = 'paragraph')::INT AS hp, (coalesce(hint, '') = 'table')::INT AS ht, (coalesce(hint, '') = 'list_item')::INT AS hl FROM b),
-o AS (SELECT doc_id, 'paragraph' AS kind, least(0.96, 0.78 + (1 - sh) * 0.10 + term * 0.08 + hp * 0.04 - ht * 0.12 - hh * 0.08) AS score FROM f
- UNION ALL SELECT doc_id, 'heading', least(0.96, 0.44 + nh * 0.45 + big * 0.12 + hh * 0.44 + sh * 0.04 - term * 0.30) FROM f WHERE nh + hh + big > 0
- UNION ALL SELECT doc_id, 'list_item', least(0.96, 0.72 + greatest(ol, ul) * 0.20 + hl * 0.04 - hh * 0.20) FROM f WHERE greatest(ol, ul) + hl > 0
- UNION ALL SELECT doc_id, 'caption', 0.90 FROM f WHERE cap > 0 UNION ALL SELECT doc_id, 'table', 0.98 FROM f WHERE ht > 0)"""
+o AS (SELECT doc_id, region, 'paragraph' AS kind, least(0.96, 0.78 + (1 - sh) * 0.10 + term * 0.08 + hp * 0.04 - ht * 0.12 - hh * 0.08) AS score FROM f
+ UNION ALL SELECT doc_id, region, 'heading', least(0.96, 0.44 + nh * 0.45 + big * 0.12 + hh * 0.44 + sh * 0.04 - term * 0.30) FROM f WHERE nh + hh + big > 0
+ UNION ALL SELECT doc_id, region, 'list_item', least(0.96, 0.72 + greatest(ol, ul) * 0.20 + hl * 0.04 - hh * 0.20) FROM f WHERE greatest(ol, ul) + hl > 0
+ UNION ALL SELECT doc_id, region, 'caption', 0.90 FROM f WHERE cap > 0 UNION ALL SELECT doc_id, region, 'table', 0.98 FROM f WHERE ht > 0)"""
 
 
 def _blocks(spark, sf):
-    d = table(spark, sf, "documents")
-    lead = F.when(F.col("doc_id") % 5 == 0, "1.2 ").when(F.col("doc_id") % 5 == 1, "- ").when(F.col("doc_id") % 5 == 2, "Table 3 ").otherwise("")
-    n = F.col("doc_id") % 7
+    """A block for every line of every document."""
+    d = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("region", "line"))
+    at = (F.col("doc_id") + F.col("region")) % 5
+    lead = F.when(at == 0, "1.2 ").when(at == 1, "- ").when(at == 2, "Table 3 ").otherwise("")
+    n = (F.col("doc_id") + F.col("region")) % 7
     hint = F.when(n == 0, "heading").when(n == 1, "table").when(n == 2, "list_item").when(n == 3, "paragraph")
-    return d.select(F.col("doc_id").alias("doc"), F.lit(0).alias("region"), F.concat(lead, F.split("text", "\n")[0]).alias("text"),
+    return d.select(F.col("doc_id").alias("doc"), "region", F.concat(lead, "line").alias("text"),
                     (F.lit(0.02) * (1 + F.col("doc_id") % 3)).alias("line_height"), F.lit(0.03).alias("typical_height"), hint.alias("hint"))
 
 
-@R.add(f"WITH {BLOCK} SELECT doc_id AS doc, kind, round(score, 6)::DOUBLE AS score, (row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 6) DESC, kind))::INT AS rank FROM o")
+@R.add(f"WITH {BLOCK} SELECT doc_id AS doc, region::INT AS region, kind, round(score, 6)::DOUBLE AS score, (row_number() OVER (PARTITION BY doc_id, region ORDER BY round(score, 6) DESC, kind))::INT AS rank FROM o")
 def block_candidates(spark, sf):
-    """Scored alternatives of the first line of every document."""
-    return c.block_candidates(_blocks(spark, sf)).select("doc", "kind", "score", "rank")
+    """Scored alternatives of every line of every document."""
+    return c.block_candidates(_blocks(spark, sf)).select("doc", "region", "kind", "score", "rank")
 
 
-@R.add(f"""WITH {BLOCK}, r AS (SELECT doc_id, kind, round(score, 6)::DOUBLE AS score, row_number() OVER w AS n, coalesce(lead(round(score, 6)::DOUBLE) OVER w, 0) AS nxt FROM o WINDOW w AS (PARTITION BY doc_id ORDER BY round(score, 6) DESC, kind))
-SELECT doc_id AS doc, CASE WHEN score >= 0.82 AND round(score - nxt, 9) >= 0.12 THEN 'selected' ELSE 'deferred' END AS outcome, kind AS candidate_id, score AS confidence FROM r WHERE n = 1""")
+@R.add(f"""WITH {BLOCK}, r AS (SELECT doc_id, region, kind, round(score, 6)::DOUBLE AS score, row_number() OVER w AS n, coalesce(lead(round(score, 6)::DOUBLE) OVER w, 0) AS nxt FROM o WINDOW w AS (PARTITION BY doc_id, region ORDER BY round(score, 6) DESC, kind))
+SELECT doc_id AS doc, region::INT AS region, CASE WHEN score >= 0.82 AND round(score - nxt, 9) >= 0.12 THEN 'selected' ELSE 'deferred' END AS outcome, kind AS candidate_id, score AS confidence FROM r WHERE n = 1""")
 def decision_policy(spark, sf):
     """Automatic acceptance by score and margin."""
-    x = c.block_candidates(_blocks(spark, sf)).select("doc", F.col("kind").alias("candidate_id"), "score", F.lit(False).alias("proven"),
+    x = c.block_candidates(_blocks(spark, sf)).select("doc", "region", F.col("kind").alias("candidate_id"), "score", F.lit(False).alias("proven"),
                                                      F.lit(None).cast("string").alias("signature"), F.lit(0).alias("defects"))
-    return c.decide(x, ["doc"])
+    return c.decide(x, ["doc", "region"])
 
 
 @R.add("""WITH p AS (SELECT conv_id, turn, text AS src, f, CASE f WHEN 'source_spacing' THEN text WHEN 'punctuation_rules' THEN regexp_replace(text, ' ([,.])', '\\1', 'g') WHEN 'geometry_spacing' THEN replace(text, ',', ', ') ELSE replace(text, ' ', '') END AS x
@@ -201,17 +218,17 @@ def canonical_invariants(spark, sf):
     return k.invariant_findings(catalog, owned, excluded, excluded.where("item <= 3").select("doc", "item"), order)
 
 
-def _cells(spark, sf):
-    """A table for every conversation: a row for each turn, two columns, broken in some ways."""
+def _cells(spark, sf, broken: bool = True):
+    """A table for every conversation: a row for each turn, two columns, broken in some ways if wanted."""
     t = table(spark, sf, "conversations").select(F.col("conv_id").alias("table"), F.col("turn").cast("int").alias("r"), "role", "text")
     tables = t.groupBy("table").agg((F.max("r") + 1).alias("row_count")).withColumn("column_count", F.lit(2))
     first = F.col("r") == 0
     cells = t.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).select(
         "table", (F.col("r") * 2 + F.col("k")).alias("cell"), F.col("r").alias("start_row"),
-        (F.col("r") + F.when((F.col("table") % 7 == 0) & first, 2).otherwise(1)).alias("end_row"), F.col("k").alias("start_column"),
-        (F.col("k") + F.when((F.col("table") % 5 == 0) & first & (F.col("k") == 1), 2).otherwise(1)).alias("end_column"),
+        (F.col("r") + F.when(F.lit(broken) & (F.col("table") % 7 == 0) & first, 2).otherwise(1)).alias("end_row"), F.col("k").alias("start_column"),
+        (F.col("k") + F.when(F.lit(broken) & (F.col("table") % 5 == 0) & first & (F.col("k") == 1), 2).otherwise(1)).alias("end_column"),
         F.when(F.col("k") == 0, F.col("role")).otherwise(F.concat(F.length("text").cast("string"), F.lit("|x"))).alias("text"), first.alias("header"))
-    return cells.where("NOT (table % 3 = 0 AND cell = 1)"), tables
+    return cells.where("NOT (table % 3 = 0 AND cell = 1)") if broken else cells, tables
 
 
 @R.add("""WITH l AS (SELECT conv_id AS t, count(*) AS n FROM conversations GROUP BY 1)
@@ -221,20 +238,17 @@ def grid_partition_check(spark, sf):
     return k.grid_findings(*_cells(spark, sf))
 
 
-@R.add("""SELECT conv_id AS "table", 0 AS r, 1 AS k FROM conversations WHERE turn = 0 AND conv_id % 3 = 0 AND conv_id % 5 <> 0 AND conv_id % 7 <> 0""")
+@R.add("""SELECT conv_id AS "table", turn::INT AS r, 1 AS k FROM conversations WHERE turn % 3 = conv_id % 3""")
 def grid_completion(spark, sf):
     """Places that no cell covers."""
-    cells, tables = _cells(spark, sf)
-    sound = F.expr("table % 5 <> 0 AND table % 7 <> 0")
-    return k.complete_grid(cells.where(sound), tables.where(sound))
+    cells, tables = _cells(spark, sf, broken=False)
+    return k.complete_grid(cells.where("NOT (start_column = 1 AND start_row % 3 = table % 3)"), tables)
 
 
-@R.add("""WITH l AS (SELECT conv_id AS t, turn AS n, '| ' || role || ' | ' || length(text) || '\\|x |' AS line FROM conversations WHERE conv_id % 3 <> 0 AND conv_id % 5 <> 0 AND conv_id % 7 <> 0)
+@R.add("""WITH l AS (SELECT conv_id AS t, turn AS n, '| ' || role || ' | ' || length(text) || '\\|x |' AS line FROM conversations)
 SELECT t AS "table", max(CASE WHEN n = 0 THEN line END) || chr(10) || '| --- | --- |' || coalesce(chr(10) || string_agg(CASE WHEN n > 0 THEN line END, chr(10) ORDER BY n), '') AS markdown FROM l GROUP BY 1""")
 def table_markdown(spark, sf):
-    cells, tables = _cells(spark, sf)
-    sound = F.expr("table % 3 <> 0 AND table % 5 <> 0 AND table % 7 <> 0")
-    return k.table_markdown(cells.where(sound), tables.where(sound))
+    return k.table_markdown(*_cells(spark, sf, broken=False))
 
 
 @R.add(r"""WITH b AS (SELECT conv_id, turn, regexp_replace(replace(text, chr(10), ' '), '([!-/:-@\[-`\{-~])', '\\\1', 'g') AS x, turn % 4 IN (1, 2) AS li FROM conversations),

@@ -197,3 +197,51 @@ def test_box_outside_its_page(spark):
     row = spark.range(1).select(g.page_fraction(g.box(F.lit(-5), F.lit(5), F.lit(20), F.lit(6)), page).alias("a"),
                                 g.page_fraction(g.box(F.lit(float("nan")), F.lit(5), F.lit(20), F.lit(6)), page).alias("b")).first()
     assert tuple(row.a) == (0.0, 0.5, 1.0, 0.6) and row.b is None
+
+
+def test_long_chains_and_cycles_of_regions(spark):
+    n = 1200
+    regions = spark.createDataFrame([("a", i, i) for i in range(n)] + [("b", i, i) for i in range(3)], "doc string, position long, region long")
+    edges = spark.createDataFrame([("a", i, i + 1) for i in range(n - 1)] + [("b", 0, 1), ("b", 1, 2), ("b", 2, 0)], "doc string, before long, after long")
+    rows = matching.topological_orders(regions, edges).collect()
+    assert [r.region for r in sorted(rows, key=lambda r: r.position)] == list(range(n)) and {r.doc for r in rows} == {"a"}
+
+
+def test_topological_orders_are_the_first_of_all():
+    import itertools
+
+    for edges in ([], [(0, 3)], [(3, 0), (2, 1)], [(0, 1), (2, 3)], [(1, 0), (0, 2), (3, 2)]):
+        want = [p for p in itertools.permutations(range(4)) if all(p.index(x) < p.index(y) for x, y in edges)][:5]
+        got: dict = {}
+        for _, rank, _, region in matching._orders_of("d", [0, 1, 2, 3], edges, 5):
+            got.setdefault(rank, []).append(region)
+        assert [tuple(got[k]) for k in sorted(got)] == want
+
+
+def test_slots_are_never_shared(spark):
+    from fathom.operators import sequences
+
+    rows = [(1, i, w) for i, w in enumerate([None, 2, None, 2, 0, None, 5])] + [(2, i, None) for i in range(3)]
+    got = sequences.next_free(spark.createDataFrame(rows, "k long, i long, w long"), ["k"], "w", "i").collect()
+    for k in (1, 2):
+        slots = [r.slot for r in got if r.k == k]
+        assert len(set(slots)) == len(slots)
+    assert {r.i: r.slot for r in got if r.k == 1 and r.i in (1, 4, 6)} == {1: 2, 4: 0, 6: 5}
+
+
+def test_a_span_in_no_cell_rules_its_table_out(spark):
+    from fathom.operators import spatial
+
+    box = "struct<left:double,bottom:double,right:double,top:double>"
+    spans = spark.createDataFrame([(1, 0, 10, (0.1, 0.1, 0.2, 0.2)), (1, 0, 11, (0.8, 0.8, 0.9, 0.9)), (1, 1, 12, (0.1, 0.1, 0.2, 0.2))], f"page int, tab int, span int, s {box}")
+    cells = spark.createDataFrame([(1, 5, (0.0, 0.0, 0.5, 0.5))], f"page int, cell int, c {box}")
+    got = {r.tab: (r.accepted, r.spans) for r in spatial.assign_exactly_once(spans, cells, ["page"], "span", "tab", "cell", "s", "c").collect()}
+    assert got == {0: (False, 2), 1: (True, 1)}
+
+
+def test_layout_only_white_space(spark):
+    from fathom.operators import audits
+
+    rows = [("d", 1, " ", "x"), ("d", 2, "a", "x"), ("d", 3, "\u3000\t", "x"), ("d", 4, "", "x"), ("d", 5, None, "x")]
+    got = audits.layout_only(spark.createDataFrame(rows, "doc string, atom long, text string, decision_id string")).collect()
+    assert [(r.atom, r.outcome) for r in sorted(got)] == [(1, "layout_only"), (3, "layout_only")]
