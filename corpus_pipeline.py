@@ -3,6 +3,9 @@
 Each function takes (spark, docs, sf_dir) and returns a DataFrame; its result is
 written and read again as the next one's docs. All but the last return the columns of
 documents. The quality classifier has no SQL, so neither has the whole.
+
+Edge cases: null texts are empty; each stage treats nulls, very long texts, ties and repeated
+rows as its operator states; extra columns of documents are not read; stages give no rows for an empty table.
 """
 
 from __future__ import annotations

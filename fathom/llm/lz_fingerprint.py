@@ -12,7 +12,8 @@ meets its successor; the first document of the next range is sent along as a gue
 
 Edge cases: null text is empty (empty fingerprint; two empty ones are alike by 1, an
 empty and another by 0); equal doc_ids are ordered by text, null ones come last; a lone
-document is its own successor; an empty table gives no rows.
+document is its own successor; very long texts are parsed whole (their dictionary is held
+while they are); extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@
 Labels, language, source and doc_id are never inputs of a score.
 
 Edge cases: null and empty texts get the score of the zero vector; equal texts get equal
-scores; documents without a label are scored like all others; without any usable
+scores; very long texts are pooled whole, in slices; null and repeated doc_ids are scored as
+rows of their own; extra columns are not read; documents without a label are scored like all others; without any usable
 label every score is 0.5; rows of an unlabelled or empty table give an empty or
 scored result, never an error.
 """
