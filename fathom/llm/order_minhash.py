@@ -24,8 +24,8 @@ only shingles in the same order, so one that falls with every edit.
 
 Edge cases: null text is empty; texts without words are similar to equal texts only; null
 doc_ids come last and take their class's smallest id; equal rows are in one class; very
-long texts are sketched whole and aligned in their band; ties of a hash go to the
-earlier shingle's place; extra columns are not read; an empty table gives no rows.
+long texts are sketched whole and aligned in their band; places of
+equal hashes are fixed by the text; extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
