@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from fathom.functions.ids import content_id
+from fathom.operators.sequences import top_rows
+from fathom.operators.validation import UUID7
+
 # Codes and permissions of the data model, and the form of product keys.
 LOW_CODE, REPAIRED_CODE = "LLM_CONFIDENCE_TOO_LOW", "LLM_SPACING_REPAIR_APPLIED"
 APPROVERS = ("admin", "maintain", "write")
@@ -20,10 +24,11 @@ def with_attempts(decisions: DataFrame, attempts: DataFrame, allowed: DataFrame)
     """Decisions with their attempts in order (``tries``) and their candidates (``allowlist``).
 
     ``attempts``: decision_id, position, phase, status, candidate_id, confidence, codes,
-    retries, repairs. ``allowed``: decision_id, candidate_id. A decision without attempts
-    or candidates has empty lists.
+    retries, repairs, and index and request_hash where recoveries are judged. ``allowed``: decision_id,
+    candidate_id. A decision without attempts or candidates has empty lists.
     """
-    row = F.struct("position", "phase", "status", "candidate_id", "confidence", "codes", "retries", "repairs")
+    more = [c for c in ("index", "request_hash") if c in attempts.columns]
+    row = F.struct("position", "phase", "status", "candidate_id", "confidence", "codes", "retries", "repairs", *more)
     tries = attempts.groupBy("decision_id").agg(F.sort_array(F.collect_list(row)).alias("tries"))
     lists = allowed.groupBy("decision_id").agg(F.collect_set("candidate_id").alias("allowlist"))
     return decisions.join(tries, "decision_id", "left").join(lists, "decision_id", "left").withColumn(
@@ -134,3 +139,75 @@ def evidence_key(source_hash: Column, role: Column, locator: Column, excerpt: Co
     text = F.concat(F.lit("{"), F.array_join(F.transform(
         pairs, lambda e: F.concat(F.lit('"'), e["key"], F.lit('":"'), e["value"], F.lit('"'))), ","), F.lit("}"))
     return F.struct(source_hash.alias("source_hash"), role.alias("role"), text.alias("locator"), excerpt.alias("excerpt"))
+
+
+# How a recovered decision is marked, and the form of changeset ids.
+RECOVERED_CODE = "LLM_LOW_CONFIDENCE_RECOVERED"
+CHANGESET = f"^cst_{UUID7}$"
+
+
+def recovery_matches(least: float, votes: int = 2) -> Column:
+    """Whether a recovered decision is what its attempts say.
+
+    Its phases come one after the other, each unknown answers and then one vote of the list: a primary
+    one of low confidence, an accepted recovery, and, where these two differ, an accepted tiebreak
+    that is one of them. ``tries`` also hold index and request_hash; decisions: method, consensus_id, confidence,
+    recovery_count.
+    """
+    phases = "CASE WHEN method = 'same_candidate' THEN array('primary', 'recovery') ELSE array('primary', 'recovery', 'tiebreak') END"
+    own = "filter(tries, t -> t.phase = p)"
+    last = f"try_element_at({own}, -1)"
+    one = (f"size({own}) > 0 AND forall(slice({own}, 1, size({own}) - 1), t -> t.status = 'candidate_unknown') "
+           f"AND array_contains(allowlist, {last}.candidate_id) "
+           f"AND {last}.status = CASE WHEN {last}.confidence >= {least}D THEN 'accepted' ELSE 'low_confidence' END")
+    vote = {p: f"try_element_at(filter(tries, t -> t.phase = '{p}'), -1)" for p in ("primary", "recovery", "tiebreak")}
+    first, second, third = vote["primary"], vote["recovery"], vote["tiebreak"]
+    agree = (f"(CASE WHEN {third}.candidate_id = {first}.candidate_id THEN 2 WHEN {third}.candidate_id = {second}.candidate_id THEN 2 ELSE 1 END)")
+    end = f"(CASE WHEN method = 'same_candidate' THEN {second} ELSE {third} END)"
+    return F.coalesce(F.expr(f"""size(tries) > 0 AND transform(tries, t -> t.index) = sequence(1, size(tries))
+        AND size(array_distinct(transform(tries, t -> t.request_hash))) = size(tries)
+        AND array_distinct(transform(tries, t -> t.phase)) = {phases}
+        AND forall({phases}, p -> {one})
+        AND {first}.status = 'low_confidence' AND {second}.status = 'accepted'
+        AND CASE WHEN method = 'same_candidate' THEN {first}.candidate_id = {second}.candidate_id AND recovery_count = 1
+            ELSE {first}.candidate_id <> {second}.candidate_id AND {third}.status = 'accepted' AND recovery_count = 2
+                AND {agree} >= {votes} END
+        AND {end}.candidate_id = consensus_id AND {end}.confidence = confidence
+        AND array_join(codes, ',') = '{RECOVERED_CODE}' AND {COUNTS}"""), F.lit(False))
+
+
+def decision_id(*parts: str) -> Column:
+    """Content id of a decision over everything its audit holds."""
+    return F.concat(F.lit("decision_"), F.substring(F.sha2(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}).cast("binary"), 256), 1, 16))
+
+
+def recognition_candidates(regions: DataFrame, hypotheses: DataFrame, most: int = 5) -> DataFrame:
+    """(doc, region, rank, candidate_id, text, engine, score): readings of a region, best first.
+
+    ``regions``: doc, region, hypothesis_ids. ``hypotheses``: doc, hypothesis, text, engine, confidence.
+    """
+    j = regions.select("doc", "region", F.explode("hypothesis_ids").alias("hypothesis")).join(hypotheses, ["doc", "hypothesis"])
+    ident = content_id("candidate", F.lit("recognition"), F.col("region"), F.col("hypothesis"), F.col("text"), F.col("engine"))
+    rows = j.select("doc", "region", ident.alias("candidate_id"), "text", "engine", F.col("confidence").alias("score"))
+    return top_rows(rows, ["doc", "region"], [F.col("score").desc(), "candidate_id"], most)
+
+
+def reusable_plans(trusted: DataFrame, contexts: DataFrame, plan: str) -> DataFrame:
+    """Trusted plans whose source, spans, versions and schema are a context's, and whose recorded
+    hash is that of the plan they hold."""
+    keys = ["source_hash", "span_hashes", "parser_version", "prompt_version", "schema_hash"]
+    return trusted.where(F.sha2(F.col(plan).cast("binary"), 256) == F.col("plan_hash")).join(contexts.select(*keys), keys, "left_semi")
+
+
+def product_changesets(products: DataFrame, configs: DataFrame) -> DataFrame:
+    """(product_key, changeset_id, code) of registered products by their configuration.
+
+    Both: product_key, product_id, version; ``configs`` also changeset_id. An empty changeset is none.
+    """
+    own = configs.select("product_key", F.col("product_id").alias("_id"), F.col("version").alias("_version"), "changeset_id", F.lit(True).alias("_there"))
+    j = products.join(own, "product_key", "left")
+    same = F.col("_id").eqNullSafe(F.col("product_id")) & F.col("_version").eqNullSafe(F.col("version"))
+    named = F.when(F.col("changeset_id") != "", F.col("changeset_id"))
+    code = (F.when(F.col("_there").isNull(), "RELEASE_PRODUCT_CONFIG_MISSING").when(~same, "RELEASE_PRODUCT_CONFIG_MISMATCH")
+            .when(named.isNotNull() & ~named.rlike(CHANGESET), "CHANGESET_REFERENCE_INVALID"))
+    return j.select("product_key", F.when(code.isNull(), named).alias("changeset_id"), code.alias("code"))

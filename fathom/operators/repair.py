@@ -51,6 +51,30 @@ def page_codes(patches: DataFrame, spans: DataFrame) -> DataFrame:
     return c.groupBy("doc", "page").agg(F.min_by("code", F.when(F.col("code").isNotNull(), F.col("position"))).alias("code"))
 
 
+def patched_spans(spans: DataFrame, patches: DataFrame) -> DataFrame:
+    """(doc, page, span, text, text_hash): spans with the patches of accepted pages; a page with a refused
+    patch keeps all its texts."""
+    good = page_codes(patches, spans).where("code IS NULL").select("doc", "page")
+    new = patches.join(good, ["doc", "page"], "left_semi").select("doc", "page", "span", "patched")
+    j = spans.join(new, ["doc", "page", "span"], "left").withColumn("text", F.coalesce("patched", "text"))
+    return j.select("doc", "page", "span", "text", F.sha2(F.col("text").cast("binary"), 256).alias("text_hash"))
+
+
+def page_snapshots(spans: DataFrame, pages: DataFrame, identity: list[str]) -> DataFrame:
+    """(doc, page, catalog_hash, request_hash): what a page's corrections were asked for.
+
+    ``spans``: doc, page, span, position, text_hash. ``pages``: doc, page, image_hash and the ``identity``
+    columns (source, prompt and schema hashes, provider, model). A page without spans has an empty catalogue.
+    """
+    row = F.struct("position", F.struct(F.col("span").alias("span_id"), "text_hash").alias("item"))
+    listed = spans.groupBy("doc", "page").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    j = pages.join(listed, ["doc", "page"], "left")
+    items = F.coalesce(F.to_json(F.transform("rows", lambda r: r["item"])), F.lit("[]"))
+    c = j.withColumn("catalog_hash", F.sha2(items.cast("binary"), 256))
+    request = F.to_json(F.struct("page", "image_hash", "catalog_hash", *identity))
+    return c.select("doc", "page", "catalog_hash", F.sha2(request.cast("binary"), 256).alias("request_hash"))
+
+
 def plan_codes(plan: DataFrame, context: DataFrame) -> DataFrame:
     """(doc, code): the first rule a structure plan breaks; null: valid.
 

@@ -245,3 +245,31 @@ def test_layout_only_white_space(spark):
     rows = [("d", 1, " ", "x"), ("d", 2, "a", "x"), ("d", 3, "\u3000\t", "x"), ("d", 4, "", "x"), ("d", 5, None, "x")]
     got = audits.layout_only(spark.createDataFrame(rows, "doc string, atom long, text string, decision_id string")).collect()
     assert [(r.atom, r.outcome) for r in sorted(got)] == [(1, "layout_only"), (3, "layout_only")]
+
+
+def test_declared_tables_win_and_lose_no_text(spark):
+    from fathom.operators import native_tables as n
+
+    cell = "start_row int, spans array<string>"
+    tables = spark.createDataFrame(
+        [("a", 1, 1, 1, [(0, ["s1", "s2"])]),   # overlaps the next: one place
+         ("a", 2, 1, 1, [(0, ["s2", "s3"])]),
+         ("a", 3, 1, 1, [(0, ["s5"])]),          # agreed
+         ("a", 9, 1, 1, [(0, [])]),              # blank, without a block
+         ("b", 1, 1, 1, [(0, ["s0", "s2"])])],   # other text between
+        f"doc string, table long, row_count int, column_count int, cells array<struct<{cell}>>")
+    blocks = spark.createDataFrame(
+        [("a", 0, "paragraph", None, None, None, ["s0", "s1"]), ("a", 1, "table", 1, 1, [(0, ["s2", "s3"])], []),
+         ("a", 2, "table", 1, 1, [(0, ["s5"])], []), ("a", 3, "paragraph", None, None, None, ["s4"]),
+         ("b", 0, "table", 1, 1, [(0, ["s0", "s2"])], [])],
+        f"doc string, order long, kind string, row_count int, column_count int, cells array<struct<{cell}>>, spans array<string>")
+    spans = spark.createDataFrame([(d, f"s{i}", 10 * i) for d, k in (("a", 6), ("b", 3), ("c", 1)) for i in range(k)], "doc string, span string, ordinal long")
+    excluded = spark.createDataFrame([("a", "s3"), ("a", "s4"), ("c", "s0"), ("b", "s1")], "doc string, span string")
+    out = n.enforce(tables, blocks, spans, excluded)
+    got = sorted((r.doc, r.order, r.kind, r.spans) for r in out.blocks.collect())
+    assert got == [("a", 0, "lossless", ["s1", "s2", "s3"]), ("a", 1, "paragraph", ["s4"]), ("a", 2, "table", ["s5"]), ("a", 3, "table", []),
+                   ("b", 0, "lossless", ["s0", "s1", "s2"])]
+    assert sorted((r.doc, r.span) for r in out.excluded.collect()) == [("a", "s4"), ("c", "s0")]
+    assert [(r.doc, r.span) for r in out.leftover.collect()] == [("a", "s0")]
+    none = n.enforce(tables.limit(0), blocks, spans, excluded)
+    assert none.blocks.count() == 5 and none.excluded.count() == 4
