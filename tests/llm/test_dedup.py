@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import collections
 import hashlib
 import itertools
 import random
@@ -11,7 +13,7 @@ import numpy as np
 import pytest
 
 from fathom.llm import line_dedup, order_minhash, substring_dedup, suffix_dedup
-from tests.conftest import ROOT
+from tests.conftest import DATA, ROOT
 from tests.llm import cases
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -250,6 +252,74 @@ def test_near_duplicates_against_brute_force(spark, rows):
     assert len(kept) == len({c for _, _, c in brute_classes(rows)})
 
 
+def links_by_prefixes(texts: list[str]) -> list[tuple[int, int]]:
+    """All links of 0.8 or more between different texts, exactly and without sketches.
+
+    Similar texts share 0.8 of their labelled shingles, so each one's rarest fifth holds one of the other's.
+    """
+    docs = []
+    for text in texts:
+        words, seen, out = WORD.findall(text), {}, []
+        size = min(5, len(words))
+        for i in range(len(words) - size + 1 if words else 0):
+            shingle = " ".join(words[i:i + size])
+            seen[shingle] = seen.get(shingle, 0) + 1
+            out.append((shingle, seen[shingle]))
+        docs.append(out)
+    often = collections.Counter(x for d in docs for x in d)
+    holders, tried, links = collections.defaultdict(list), set(), []
+    for i, d in enumerate(docs):
+        place = {x: p for p, x in enumerate(d)}
+        rare = sorted(d, key=lambda x: (often[x], x))
+        for x in rare[:len(rare) - (4 * len(rare) + 4) // 5 + 1]:
+            for j in holders[x]:
+                if (i, j) in tried or 10 * min(len(d), len(docs[j])) < 8 * max(len(d), len(docs[j])):
+                    continue
+                tried.add((i, j))
+                tails: list[int] = []
+                for y in docs[j]:
+                    if y in place:
+                        at = bisect.bisect_left(tails, place[y])
+                        tails[at:at + 1] = [place[y]]
+                common = len(tails)
+                if 10 * common >= 8 * (len(d) + len(docs[j]) - common):
+                    links.append((i, j))
+            holders[x].append(i)
+    return links
+
+
+def recall_and_classes(spark, folder: str):
+    """(links, links whose ends share a class, whether all classes equal brute force) of a folder's documents."""
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    texts = sorted({r.text or "" for r in rows})
+    links = links_by_prefixes(texts)
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in links:
+        root[find(i)] = find(j)
+    number = {t: i for i, t in enumerate(texts)}
+    low: dict[int, int] = {}
+    for r in rows:
+        c = find(number[r.text or ""])
+        low[c] = min(low.get(c, INF), r.doc_id)
+    got = {r.doc_id: r.class_id for r in order_minhash.op1_order_minhash(spark, folder).collect()}
+    one = {number[r.text or ""]: r.doc_id for r in rows}
+    found = sum(got[one[i]] == got[one[j]] for i, j in links)
+    return len(links), found, got == {r.doc_id: low[find(number[r.text or ""])] for r in rows}
+
+
+def test_links_of_a_whole_table_are_found(spark):
+    links, found, equal = recall_and_classes(spark, f"{DATA}/sf0.1")
+    assert links > 30 and found >= 0.9 * links
+    assert equal
+
+
 def test_one_document_of_each_class_stays(spark):
     rows = cases.documents()
     left = order_minhash.drop_near_duplicates(spark, cases.frame(spark, rows))
