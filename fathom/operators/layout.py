@@ -174,16 +174,32 @@ def row_groups(cells: DataFrame, keys: list[str]) -> DataFrame:
                    F.col("box.top") <= F.col("_floor"), "row_group").drop("_floor")
 
 
-def _anchors_of_group(frame: pd.DataFrame) -> pd.DataFrame:
-    """One-dimensional clusters: a start beyond the running median plus 0.04 opens a new one."""
+def _middle(ordered: list[float]) -> float:
+    """The median of sorted values; a list that grows at its end needs no other sort."""
+    at = len(ordered) // 2
+    return ordered[at] if len(ordered) % 2 else (ordered[at - 1] + ordered[at]) / 2
+
+
+def _clusters(lefts) -> list[list[float]]:
+    """One-dimensional clusters: a start more than 0.04 beyond the running median opens a new one."""
     groups: list[list[float]] = []
-    for x in sorted(frame["left"]):
-        if groups and x <= groups[-1][len(groups[-1]) // 2] + ANCHOR_GAP:
+    for x in sorted(lefts):
+        if groups and x - _middle(groups[-1]) <= ANCHOR_GAP:
             groups[-1].append(x)
         else:
             groups.append([x])
+    return groups
+
+
+def anchor_positions(lefts) -> list[float]:
+    """The medians of the clusters of left edges, in order."""
+    return [_middle(c) for c in _clusters(lefts)]
+
+
+def _anchors_of_group(frame: pd.DataFrame) -> pd.DataFrame:
+    groups = _clusters(frame["left"])
     return pd.DataFrame({"doc": frame["doc"].iloc[0], "block": frame["block"].iloc[0], "anchor": range(len(groups)),
-                         "position": [g[len(g) // 2] for g in groups], "members": [len(g) for g in groups]})
+                         "position": [_middle(c) for c in groups], "members": [len(c) for c in groups]})
 
 
 def column_anchors(starts: DataFrame) -> DataFrame:

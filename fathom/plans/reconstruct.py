@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathom.functions import geometry as g
-from fathom.operators import candidates, canonical, layout
+from fathom.operators import candidates, canonical, layout, spatial, tables
 
 
 @dataclass(frozen=True)
@@ -27,9 +27,34 @@ class Reconstruction:
     coverage: DataFrame  # doc, items, excluded, unknown, duplicated, unmatched, ratio
 
 
-def reconstruct(atoms: DataFrame, hints: DataFrame | None = None) -> Reconstruction:
-    """``atoms`` as in :mod:`fathom.operators.layout`; ``hints``: doc, region (first ordinal), hint."""
-    rows = layout.regions(layout.with_columns(layout.lines(atoms)))
+def _hinted_tables(line_rows: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Lines of sound tables, with ``block`` and their table's ``markdown``.
+
+    A line belongs to the first box that covers half of it; a table whose cells don't fit a grid is none, and its
+    lines stay text.
+    """
+    hints = boxes.select("doc", "page", "hint_order", F.col("box").alias("hint_box"))
+    claims = spatial.claim_by_hints(line_rows.select("doc", "page", "first", "box"), hints, ["doc", "page"], "first", "box", "hint_box")
+    inside = line_rows.join(claims.select("doc", "page", "first", F.col("hint_order").cast("long").alias("block")), ["doc", "page", "first"])
+    cells = tables.geometry_cells(inside.select("doc", "block", "first", "box", "text"))
+    return inside.join(tables.markdown(cells), tables.KEYS)
+
+
+def reconstruct(atoms: DataFrame, hints: DataFrame | None = None, table_boxes: DataFrame | None = None) -> Reconstruction:
+    """``atoms`` as in :mod:`fathom.operators.layout`; ``hints``: doc, region (first ordinal), hint;
+    ``table_boxes``: doc, page, hint_order (a document's own number), box.
+
+    Lines in a table's box become one table block where their places form a grid. With boxes, lines and tables are
+    each used several times, so their lineage is cut in the folder of ``spark.checkpoint.dir``.
+    """
+    line_rows = layout.lines(atoms)
+    grids = None
+    if table_boxes is not None:
+        line_rows = line_rows.checkpoint(eager=False)
+        inside = _hinted_tables(line_rows, table_boxes).checkpoint(eager=False)
+        line_rows = line_rows.join(inside.select("doc", "first"), ["doc", "first"], "left_anti")
+        grids = inside.groupBy("doc", "page", "block").agg(g.union(F.col("box")).alias("box"), F.min("first").alias("first"), F.first("markdown").alias("text"))
+    rows = layout.regions(layout.with_columns(line_rows))
     pages = rows.groupBy("doc").agg(F.max("page").alias("page_count"))
     marked = layout.mark_repeated_edges(rows, pages)
     body = marked.where("edge IS NULL")
@@ -45,10 +70,16 @@ def reconstruct(atoms: DataFrame, hints: DataFrame | None = None) -> Reconstruct
     decided = decided.withColumnRenamed("candidate_id", "kind")
     w = Window.partitionBy("doc").orderBy("page", "column", F.col("box.top").desc(), F.col("box.left"), "first")
     chosen = decided.select("doc", F.col("region").alias("first"), "kind")
+    placed = body.join(chosen, ["doc", "first"]).withColumn("drawn", F.lit(False)).select("doc", "page", "column", "box", "first", "kind", "text", "drawn")
+    if grids is not None:
+        # A table comes before the text of its column that lies lower; it spans columns, so it is in the first.
+        placed = placed.unionByName(grids.select("doc", "page", F.lit(0).alias("column"), "box", "first", F.lit("table").alias("kind"), "text", F.lit(True).alias("drawn")))
     # A deferred table has no grid, so its text stays a paragraph.
-    blocks = body.join(chosen, ["doc", "first"]).withColumn("order", F.row_number().over(w) - 1).select(
-        "doc", "order", F.when(F.col("kind") == "table", "paragraph").otherwise(F.col("kind")).alias("kind"),
+    blocks = placed.withColumn("order", F.row_number().over(w) - 1).select(
+        "doc", "order", F.when((F.col("kind") == "table") & ~F.col("drawn"), "paragraph").otherwise(F.col("kind")).alias("kind"),
         F.lit(None).cast("int").alias("level"), "text", "first")
     catalog = marked.select("doc", F.col("first").alias("item"))
+    if grids is not None:
+        catalog = catalog.unionByName(grids.select("doc", F.col("first").alias("item")))
     cover = canonical.coverage(catalog, blocks.select("doc", F.col("first").alias("item")), marked.where("edge IS NOT NULL").select("doc", F.col("first").alias("item")))
     return Reconstruction(marked, decided, blocks.drop("first"), canonical.document_markdown(blocks.select("doc", "order", "kind", "level", "text")), cover)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fathom.functions import geometry as g
 from fathom.functions.text import WHITE
 from fathom.operators import audits as a
 from fathom.operators import native_tables as n
-from fathom.operators import repair
+from fathom.operators import repair, tables
 
 from .base import Registry, table
 
@@ -230,3 +231,32 @@ def product_changesets(spark, sf):
     configs = p.where("product_id % 7 <> 0").withColumn("version", F.when(F.col("product_id") % 7 == 1, F.col("version") + 1).otherwise(F.col("version"))).withColumn(
         "changeset_id", F.when(F.col("product_id") % 7 == 2, "CST").when(F.col("product_id") % 7 == 3, "").otherwise("cst_00000000-0000-7000-8000-000000000000"))
     return a.product_changesets(p, configs)
+
+
+@R.add("""WITH p AS (SELECT (p_partkey // 12)::VARCHAR AS doc, p_partkey % 12 // 3 AS r, p_partkey % 3 AS c, p_partkey // 3 % 5 = 0 AS wide, p_name FROM part),
+  l AS (SELECT *, max(c) OVER (PARTITION BY doc) AS top FROM p WHERE NOT (wide AND c = 2))
+SELECT doc, r::INT AS start_row, (r + 1)::INT AS end_row, c::INT AS start_column, (CASE WHEN wide AND c = 1 THEN top + 1 ELSE c + 1 END)::INT AS end_column, p_name AS text, r = 0 AS header FROM l""")
+def geometry_tables(spark, sf):
+    """Cells by the places of lines: tables of four rows and three columns; in every fifth row the second cell spans the third."""
+    k = F.col("p_partkey")
+    p = table(spark, sf, "part").select(F.expr("cast(p_partkey div 12 as string)").alias("doc"), F.lit(1).cast("long").alias("block"), k.alias("first"), F.col("p_name").alias("text"),
+                                        F.expr("p_partkey % 12 div 3").alias("r"), (k % 3).alias("c"), F.expr("p_partkey div 3 % 5 = 0").alias("wide"))
+    left, top = 0.1 + 0.3 * F.col("c"), 0.9 - 0.1 * F.col("r")
+    right = F.when(F.col("wide") & (F.col("c") == 1), 0.85).otherwise(left + 0.1)
+    lines = p.where("NOT (wide AND c = 2)").select("doc", "block", "first", "text", g.box(left, top - 0.05, right, top).alias("box"))
+    return tables.geometry_cells(lines).drop("block")
+
+
+@R.add("SELECT conv_id::VARCHAR AS doc, turn AS block FROM conversations WHERE conv_id % 3 <> 1")
+def proven_table_hints(spark, sf):
+    """Hinted tables of one cell a turn; the hints of every third conversation hold a character too much, others are reversed."""
+    c = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("doc"), F.col("turn").alias("block"), "text", "conv_id")
+    chars = c.select("doc", "block", F.posexplode(F.split("text", "")).alias("ordinal", "text"))
+    left = F.col("ordinal") * 0.01
+    atoms = chars.withColumn("box", g.box(left, F.lit(0.5), left + 0.01, F.lit(0.52)))
+    n = F.col("conv_id") % 3
+    said = F.when(n == 0, F.reverse("text")).when(n == 1, F.concat("text", F.lit("x"))).otherwise(F.col("text"))
+    zero, one = F.lit(0), F.lit(1)
+    hints = c.select("doc", "block", zero.alias("cell"), zero.alias("start_row"), one.alias("end_row"), zero.alias("start_column"), one.alias("end_column"),
+                     g.box(F.lit(0.0), F.lit(0.4), F.lit(100000.0), F.lit(0.6)).alias("box"), said.alias("text"))
+    return tables.proven_tables(atoms, hints).select("doc", "block")

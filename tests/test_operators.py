@@ -273,3 +273,32 @@ def test_declared_tables_win_and_lose_no_text(spark):
     assert [(r.doc, r.span) for r in out.leftover.collect()] == [("a", "s0")]
     none = n.enforce(tables.limit(0), blocks, spans, excluded)
     assert none.blocks.count() == 5 and none.excluded.count() == 4
+
+
+def test_reconstruction_draws_hinted_tables(spark):
+    rows = [(1, 0.1, 0.85, "A plain sentence that comes first."), (1, 0.1, 0.70, "name"), (1, 0.5, 0.70, "size"), (1, 0.1, 0.66, "bolt"), (1, 0.5, 0.66, "12"),
+            (1, 0.1, 0.62, "nut"), (1, 0.1, 0.4, "Another sentence that ends it.")]
+    box = "struct<left:double,bottom:double,right:double,top:double>"
+    boxes = spark.createDataFrame([("d", 1, 1, (0.05, 0.58, 0.9, 0.72))], f"doc string, page int, hint_order int, box {box}")
+    r = reconstruct.reconstruct(atoms(spark, *rows), table_boxes=boxes)
+    got = r.markdown.first()["markdown"].replace("\\", "")
+    assert got == ("A plain sentence that comes first.\n\n| name | size |\n| --- | --- |\n| bolt | 12 |\n| nut |  |\n\n"
+                   "Another sentence that ends it.\n")
+    c = r.coverage.first()
+    assert (c.unmatched, c.duplicated, c.unknown) == (0, 0, 0)
+
+
+def test_proven_tables_need_all_their_characters(spark):
+    from fathom.operators import tables
+
+    box = "struct<left:double,bottom:double,right:double,top:double>"
+    chars, hints = [], []
+    for doc, text, hint in (("same", "ab", "b a"), ("other", "ab", "ac"), ("short", "ab", "a"), ("outside", "ab", "ab")):
+        for i, c in enumerate(text):
+            left = 0.9 if doc == "outside" and i else 0.1 + 0.02 * i
+            chars.append((doc, 1, i, c, (left, 0.5, left + 0.01, 0.52)))
+        hints.append((doc, 1, 0, 0, 1, 0, 1, (0.05, 0.4, 0.5, 0.6), hint))
+        hints.append((doc, 1, 1, 0, 1, 1, 2, None, ""))
+    a = spark.createDataFrame(chars, f"doc string, block long, ordinal long, text string, box {box}")
+    h = spark.createDataFrame(hints, f"doc string, block long, cell int, start_row int, end_row int, start_column int, end_column int, box {box}, text string")
+    assert [(r.doc, r.score) for r in tables.proven_tables(a, h).collect()] == [("same", 1.0)]
