@@ -166,10 +166,10 @@ def place_by_hint(pieces: DataFrame, keys: list[str]) -> DataFrame:
 def characters_by_hint(chars: DataFrame, hints: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, idx, place): each character's place in the hint, repeated ones first come, first served.
 
-    ``chars``: keys, idx, text. ``hints``: keys, hint.
+    ``chars``: keys, idx, text. ``hints``: keys, hint. Both sides are unrolled texts, so they merge at every size.
     """
     nth = F.row_number().over(Window.partitionBy(*keys, "text").orderBy("idx"))
     mine = chars.withColumn("nth", nth)
     theirs = hints.select(*keys, F.posexplode(F.split(t.without_whitespace(F.col("hint")), "")).alias("place", "text"))
     theirs = theirs.withColumn("nth", F.row_number().over(Window.partitionBy(*keys, "text").orderBy("place")))
-    return mine.join(theirs, [*keys, "text", "nth"]).select(*keys, "idx", "place")
+    return mine.join(theirs.hint("merge"), [*keys, "text", "nth"]).select(*keys, "idx", "place")

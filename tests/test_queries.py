@@ -80,3 +80,8 @@ def test_scans_read_what_a_query_needs(spark):
     assert "l_extendedprice" in schema and "l_shipdate" not in schema and "l_orderkey" not in schema
     filtered = plan_of(every.QUERIES["majority_vote"](spark, SF))
     assert "PushedFilters: [IsNotNull(value), GreaterThanOrEqual(value,20.0)" in filtered
+
+
+def test_unrolled_characters_are_merged(spark):
+    """A small file's characters are many: no side of their join is broadcast."""
+    assert "Broadcast" not in plan_of(every.QUERIES["characters_by_hint"](spark, SF))
