@@ -32,7 +32,8 @@ def touching_pairs(a: DataFrame, b: DataFrame, keys: list[str], a_box: str, b_bo
         both_flat = (x[low] == x[high]) & (y[low] == y[high])
         return F.when(both_flat, x[low] == y[low]).otherwise(open_ | flat)
 
-    joined = left.join(right, [*keys, "_band"])
+    # A box has a row for each of its bands, so Spark would take either side for smaller than it is.
+    joined = left.join(right.hint("merge"), [*keys, "_band"])
     return (joined.where(F.col("_band") == F.greatest("_a_low", "_b_low"))
             .where(meet("left", "right") & meet("bottom", "top")).drop("_band", "_a_low", "_b_low"))
 

@@ -95,14 +95,15 @@ def proven_tables(atoms: DataFrame, hints: DataFrame) -> DataFrame:
     ``atoms``: doc, block, ordinal, text, box. ``hints``: doc, block, cell (a number), grid places, box, text.
     Every visible character lies in some hinted cell (the one it shares most with, the first on ties), and each cell's
     characters are those of its text, whatever their order. The score is lower if a text has broken-up words.
+    What is unrolled into characters or gathered from them is merged, never broadcast.
     """
     visible = atoms.where(F.length(t.without_whitespace(F.col("text"))) > 0).select(*KEYS, "ordinal", "text", "box")
     boxes = hints.where("box IS NOT NULL").select(*KEYS, "cell", F.col("box").alias("cell_box"))
     place = spatial.best_overlap(visible.where("box IS NOT NULL"), boxes, KEYS, "ordinal", "cell", "box", "cell_box", lowest_id=True).where("overlap > 0")
-    placed = visible.drop("box").join(place.select(*KEYS, "ordinal", "cell"), [*KEYS, "ordinal"], "left")
+    placed = visible.drop("box").join(place.select(*KEYS, "ordinal", "cell").hint("merge"), [*KEYS, "ordinal"], "left")
     inside = placed.groupBy(*KEYS, "cell").agg(F.array_join(F.sort_array(F.collect_list("text")), "").alias("held"))
     lost = inside.where("cell IS NULL").select(*KEYS)
-    j = hints.select(*KEYS, "cell", "text").join(inside, [*KEYS, "cell"], "left")
+    j = hints.select(*KEYS, "cell", "text").join(inside.hint("merge"), [*KEYS, "cell"], "left")
     wanted = F.array_join(F.array_sort(F.split(t.without_whitespace(F.coalesce("text", F.lit(""))), "")), "")
     same = wanted == F.coalesce("held", F.lit(""))
     judged = j.groupBy(*KEYS).agg(F.bool_and(same).alias("same"), F.bool_or(F.coalesce(t.fragmented(F.col("text")), F.lit(False))).alias("broken"))

@@ -85,3 +85,11 @@ def test_scans_read_what_a_query_needs(spark):
 def test_unrolled_characters_are_merged(spark):
     """A small file's characters are many: no side of their join is broadcast."""
     assert "Broadcast" not in plan_of(every.QUERIES["characters_by_hint"](spark, SF))
+
+
+def test_proven_tables_merge_their_characters(spark):
+    """Characters meet cells, and then their places, by merge; only tables' numbers may be broadcast."""
+    plan = plan_of(every.QUERIES["proven_table_hints"](spark, SF))
+    broadcast = [line for line in plan.split("\n") if "BroadcastHashJoin" in line]
+    assert not any(word in line for line in broadcast for word in ("ordinal", "_band", "cell")), broadcast
+    assert plan.count("SortMergeJoin") >= 3
