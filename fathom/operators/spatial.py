@@ -98,4 +98,4 @@ def without_overlap(blocks: DataFrame, others: DataFrame, keys: list[str], block
     """Blocks that meet no other block (itself not counted)."""
     o = others.select(*keys, F.col(block_id).alias("other_id"), F.col(box).alias("other_box"))
     met = touching_pairs(blocks.select(*keys, block_id, box), o, keys, box, "other_box").where(F.col(block_id) != F.col("other_id"))
-    return blocks.join(met.select(*keys, block_id).distinct(), [*keys, block_id], "left_anti")
+    return blocks.join(met.select(*keys, block_id).distinct().hint("merge"), [*keys, block_id], "left_anti")

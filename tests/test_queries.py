@@ -93,3 +93,7 @@ def test_proven_tables_merge_their_characters(spark):
     broadcast = [line for line in plan.split("\n") if "BroadcastHashJoin" in line]
     assert not any(word in line for line in broadcast for word in ("ordinal", "_band", "cell")), broadcast
     assert plan.count("SortMergeJoin") >= 3
+
+
+def test_boxes_without_overlap_are_found_by_merge(spark):
+    assert "Broadcast" not in plan_of(every.QUERIES["without_overlap"](spark, SF))
