@@ -1,12 +1,13 @@
 """The semantic model of products, compiled to nested structs and text.
 
 All of a table's or product's rows meet once, in ordered ``collect_list`` structs whose first
-field is the sort key; fields are declared in the order they are emitted.
+field is the sort key; fields are declared in the order they are emitted. A model that is too
+large for a row is emitted in pieces.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FORMAT_VERSION = "0.1.1"
@@ -44,27 +45,39 @@ def fields(columns: DataFrame) -> DataFrame:
     return rows.select("table_id", F.transform("rows", lambda r: r["f"]).alias("fields"), F.when(F.size(keys) > 0, keys).alias("primary_key"))
 
 
+def _dataset() -> Column:
+    return F.struct(
+        F.col("dataset").alias("name"), "source", "primary_key",
+        F.when(F.length("description") > 0, F.col("description")).alias("description"), "fields",
+        F.array(extension("table", F.col("table_id"), F.col("version"))).alias("custom_extensions"))
+
+
+def _relationship() -> Column:
+    return F.struct(
+        "name", F.col("from_dataset").alias("from"), F.col("to_dataset").alias("to"), F.array("from_column").alias("from_columns"),
+        F.array("to_column").alias("to_columns"))
+
+
+def _metric() -> Column:
+    return F.struct(
+        "name", F.struct(F.array(F.struct(F.lit(DIALECT).alias("dialect"), F.col("expression"))).alias("dialects")).alias("expression"),
+        F.when(F.length("description") > 0, F.col("description")).alias("description"))
+
+
 def compile_models(products: DataFrame, tables: DataFrame, columns: DataFrame, relationships: DataFrame,
                    metrics: DataFrame) -> DataFrame:
-    """(product_id, model): the JSON model of every product.
+    """(product_id, model): the JSON model of every product, each in one row; :func:`model_pieces` has no such bound.
 
     ``tables``: product_id, table_id, version, dataset, source, description. ``relationships``:
     product_id, relationship_id, name, from_dataset, to_dataset, from_column, to_column.
     ``metrics``: product_id, metric_id, name, expression, description.
     """
     d = tables.join(fields(columns), "table_id", "left")
-    dataset = F.struct("table_id", F.struct(
-        F.col("dataset").alias("name"), "source", "primary_key",
-        F.when(F.length("description") > 0, F.col("description")).alias("description"), "fields",
-        F.array(extension("table", F.col("table_id"), F.col("version"))).alias("custom_extensions")).alias("d"))
+    dataset = F.struct("table_id", _dataset().alias("d"))
     datasets = d.groupBy("product_id").agg(F.transform(F.sort_array(F.collect_list(dataset)), lambda x: x["d"]).alias("datasets"))
-    rel = F.struct("relationship_id", F.struct(
-        "name", F.col("from_dataset").alias("from"), F.col("to_dataset").alias("to"), F.array("from_column").alias("from_columns"),
-        F.array("to_column").alias("to_columns")).alias("r"))
+    rel = F.struct("relationship_id", _relationship().alias("r"))
     rels = relationships.groupBy("product_id").agg(F.transform(F.sort_array(F.collect_list(rel)), lambda x: x["r"]).alias("relationships"))
-    met = F.struct("metric_id", F.struct(
-        "name", F.struct(F.array(F.struct(F.lit(DIALECT).alias("dialect"), F.col("expression"))).alias("dialects")).alias("expression"),
-        F.when(F.length("description") > 0, F.col("description")).alias("description")).alias("m"))
+    met = F.struct("metric_id", _metric().alias("m"))
     mets = metrics.groupBy("product_id").agg(F.transform(F.sort_array(F.collect_list(met)), lambda x: x["m"]).alias("metrics"))
     j = (products.join(datasets, "product_id", "left").join(rels, "product_id", "left").join(mets, "product_id", "left"))
     model = F.struct(F.lit(FORMAT_VERSION).alias("version"), F.array(F.struct(
@@ -73,6 +86,38 @@ def compile_models(products: DataFrame, tables: DataFrame, columns: DataFrame, r
     return j.select("product_id", F.to_json(model).alias("model"))
 
 
+def model_pieces(products: DataFrame, tables: DataFrame, columns: DataFrame, relationships: DataFrame,
+                 metrics: DataFrame) -> DataFrame:
+    """(product_id, section, position, text): the JSON model of every product in pieces.
+
+    A product's pieces, concatenated by section and position, are the text of :func:`compile_models`. A piece is
+    a table, a relationship or a metric, so no row holds a product. Sections: 0 head, 1 datasets, 2 relationships,
+    3 metrics, 4 tail; positions count from 1.
+    """
+    known = products.select("product_id").distinct()
+
+    def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+        w = Window.partitionBy("product_id")
+        return rows.join(known, "product_id", "left_semi").withColumn("position", F.row_number().over(w.orderBy(*order))).withColumn(
+            "_last", F.col("position") == F.count("*").over(w))
+
+    def section(rows: DataFrame, number: int, name: str, value: Column) -> DataFrame:
+        text = F.concat(F.when(F.col("position") == 1, f'"{name}":[').otherwise(""), F.to_json(value), F.when(F.col("_last"), "],").otherwise(","))
+        return rows.select("product_id", F.lit(number).alias("section"), "position", text.alias("text"))
+
+    # Tables are numbered before they get their fields; those come by merge, as a table's fields are long.
+    t = numbered(tables, ["table_id", "dataset", "source", "description", "version"]).join(fields(columns).hint("merge"), "table_id", "left")
+    r = numbered(relationships, ["relationship_id", "name", "from_dataset", "to_dataset", "from_column", "to_column"])
+    m = numbered(metrics, ["metric_id", "name", "expression", "description"])
+    named = F.to_json(F.struct("name", F.when(F.length("description") > 0, F.col("description")).alias("description")))
+    open_ = F.concat(F.lit(f'{{"version":"{FORMAT_VERSION}","semantic_model":[{{'), F.expr("substring(_named, 2, length(_named) - 2)"), F.when(F.col("_named") == "{}", "").otherwise(","))
+    head = products.withColumn("_named", named).select("product_id", F.lit(0).alias("section"), F.lit(1).alias("position"), open_.alias("text"))
+    own = F.to_json(F.array(extension("product", F.col("product_id"), F.col("version"))))
+    tail = products.select("product_id", F.lit(4).alias("section"), F.lit(1).alias("position"), F.concat(F.lit('"custom_extensions":'), own, F.lit("}]}")).alias("text"))
+    return (head.unionByName(section(t, 1, "datasets", _dataset())).unionByName(section(r, 2, "relationships", _relationship()))
+            .unionByName(section(m, 3, "metrics", _metric())).unionByName(tail))
+
+
 def unresolved_references(relationships: DataFrame, tables: DataFrame) -> DataFrame:
     """Relationships whose dataset is not one of the product's."""
     t = tables.select("product_id", "dataset")

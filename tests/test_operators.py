@@ -302,3 +302,19 @@ def test_proven_tables_need_all_their_characters(spark):
     a = spark.createDataFrame(chars, f"doc string, block long, ordinal long, text string, box {box}")
     h = spark.createDataFrame(hints, f"doc string, block long, cell int, start_row int, end_row int, start_column int, end_column int, box {box}, text string")
     assert [(r.doc, r.score) for r in tables.proven_tables(a, h).collect()] == [("same", 1.0)]
+
+
+def test_model_pieces_make_up_the_model(spark):
+    products = spark.createDataFrame([(1, "P", 2, "a \"d\""), (2, None, 1, ""), (3, "Q", 1, None)], "product_id long, name string, version int, description string")
+    tables = spark.createDataFrame([(1, f"t{i}", i, f"d{i}", "s", "" if i % 2 else "x\ny") for i in (3, 1, 2)] + [(2, "t9", 1, "d9", None, None), (7, "t0", 1, "d", "s", "")],
+                                   "product_id long, table_id string, version int, dataset string, source string, description string")
+    cols = spark.createDataFrame([("t1", f"c{i}", i, f"n{i}", "INT", True, i == 2, "é" if i else "") for i in (2, 0, 1)] + [("t9", "c", 1, "n", "INT", False, False, "")],
+                                 "table_id string, column_id string, ordinal int, name string, data_type string, nullable boolean, primary_key boolean, description string")
+    rel = spark.createDataFrame([(1, f"r{i}", "n", "d1", "d2", "a", "b") for i in (2, 1)],
+                                "product_id long, relationship_id string, name string, from_dataset string, to_dataset string, from_column string, to_column string")
+    met = spark.createDataFrame([(3, "m1", "n", "COUNT(*)", "d")], "product_id long, metric_id string, name string, expression string, description string")
+    whole = {r.product_id: r.model for r in model.compile_models(products, tables, cols, rel, met).collect()}
+    pieces = model.model_pieces(products, tables, cols, rel, met).collect()
+    assert len(pieces) == 6 + 4 + 2 + 1
+    assert {p: "".join(r.text for r in sorted(pieces, key=lambda r: (r.section, r.position)) if r.product_id == p) for p in whole} == whole
+    assert all(json.loads(text)["version"] for text in whole.values())
