@@ -77,17 +77,33 @@ def shared_table_findings(changes: DataFrame, mappings: DataFrame, changesets: D
     """Findings of changed shared tables that no changeset covers.
 
     ``changes``: product_id, table_id, changeset_id (or null), pr_number, of tables that
-    existed and changed. Returns product_id, table_id, code.
+    existed and changed. ``changesets``: changeset_id, table_ids, required_product_ids; without table_ids
+    it is unknown, without required_product_ids it is not asked for products. Returns product_id, table_id, code.
+    """
+    sets = changesets.where("table_ids IS NOT NULL")
+    return shared_table_findings_by_member(
+        changes, mappings, sets.select("changeset_id", F.col("required_product_ids").isNotNull().alias("asks")),
+        sets.select("changeset_id", F.explode("table_ids").alias("table_id")), sets.select("changeset_id", F.explode("required_product_ids").alias("product_id")))
+
+
+def shared_table_findings_by_member(changes: DataFrame, mappings: DataFrame, changesets: DataFrame, included: DataFrame, required: DataFrame) -> DataFrame:
+    """As :func:`shared_table_findings`, with a row for each member of a changeset.
+
+    ``changesets``: changeset_id, asks (whether products are asked for). ``included``: changeset_id, table_id.
+    ``required``: changeset_id, product_id. Members are looked up by key; no list of them is gathered or searched.
     """
     shared = changes.join(impact_counts(mappings).where("shared").select("table_id"), "table_id", "left_semi")
-    sets = changesets.select("changeset_id", "table_ids", F.col("required_product_ids").alias("required"))
-    j = shared.join(sets, "changeset_id", "left")
+    tables = included.select("changeset_id", "table_id").distinct().withColumn("_included", F.lit(True))
+    products = required.select("changeset_id", "product_id").distinct().withColumn("_required", F.lit(True))
+    # Changesets may be few and so hot keys: their join has only their names, and members are joined by two keys.
+    j = shared.join(changesets.select("changeset_id", "asks"), "changeset_id", "left").join(
+        tables, ["table_id", "changeset_id"], "left").join(products, ["product_id", "changeset_id"], "left")
+    known = F.col("asks").isNotNull()
     code = F.array_compact(F.array(
-        F.when(F.col("changeset_id").isNull(), "SHARED_TABLE_CHANGESET_REQUIRED")
-        .when(F.col("table_ids").isNull(), "CHANGESET_NOT_FOUND"),
-        F.when(~F.array_contains("required", F.col("product_id")), "CHANGESET_PRODUCT_NOT_REQUIRED"),
-        F.when(~F.array_contains("table_ids", F.col("table_id")), "CHANGESET_TABLE_NOT_INCLUDED"),
-        F.when(F.col("table_ids").isNotNull() & ~F.coalesce(F.col("pr_number") > 0, F.lit(False)), "CHANGESET_PR_NUMBER_REQUIRED")))
+        F.when(F.col("changeset_id").isNull(), "SHARED_TABLE_CHANGESET_REQUIRED").when(~known, "CHANGESET_NOT_FOUND"),
+        F.when(F.col("asks") & F.col("product_id").isNotNull() & F.col("_required").isNull(), "CHANGESET_PRODUCT_NOT_REQUIRED"),
+        F.when(known & F.col("_included").isNull(), "CHANGESET_TABLE_NOT_INCLUDED"),
+        F.when(known & ~F.coalesce(F.col("pr_number") > 0, F.lit(False)), "CHANGESET_PR_NUMBER_REQUIRED")))
     return j.select("product_id", "table_id", F.explode(code).alias("code")).distinct()
 
 

@@ -258,10 +258,11 @@ def shared_table_checks(spark, sf):
     changes = l.select(F.col("l_suppkey").alias("product_id"), F.col("l_partkey").alias("table_id"), F.when(n % 3 != 0, n % 5).alias("changeset_id"),
                        F.when(n < 5, n).alias("pr_number")).distinct()
     maps = l.select(F.col("l_partkey").alias("table_id"), F.col("l_suppkey").alias("product_id"))
-    members = maps.distinct()
-    sets = members.select((F.col("table_id") % 4).alias("changeset_id"), F.col("table_id")).groupBy("changeset_id").agg(F.collect_set("table_id").alias("table_ids"))
-    need = members.select((F.col("product_id") % 4).alias("changeset_id"), F.col("product_id")).groupBy("changeset_id").agg(F.collect_set("product_id").alias("required_product_ids"))
-    return registry.shared_table_findings(changes, maps, sets.join(need, "changeset_id"))
+    included = maps.select((F.col("table_id") % 4).alias("changeset_id"), "table_id")
+    required = maps.select((F.col("product_id") % 4).alias("changeset_id"), "product_id")
+    # A changeset is known if it has members of both kinds.
+    sets = included.select("changeset_id").distinct().join(required.select("changeset_id").distinct(), "changeset_id").withColumn("asks", F.lit(True))
+    return registry.shared_table_findings_by_member(changes, maps, sets, included, required)
 
 
 @R.add("""SELECT l_orderkey AS changeset_id, l_suppkey AS product_id, CASE WHEN l_suppkey % 10 = 0 THEN 'unknown' WHEN l_linenumber < 3 THEN 'conflict' WHEN l_linenumber > 3 THEN 'deferred' ELSE 'release' END AS state FROM lineitem""")

@@ -318,3 +318,15 @@ def test_model_pieces_make_up_the_model(spark):
     assert len(pieces) == 6 + 4 + 2 + 1
     assert {p: "".join(r.text for r in sorted(pieces, key=lambda r: (r.section, r.position)) if r.product_id == p) for p in whole} == whole
     assert all(json.loads(text)["version"] for text in whole.values())
+
+
+def test_changesets_of_many_members_are_joined_by_key(spark):
+    maps = spark.createDataFrame([(t, p) for t in (1, 2) for p in (1, 2)] + [(3, 1)], "table_id long, product_id long")
+    changes = spark.createDataFrame([(1, 1, 10, 5), (1, 2, 10, 0), (2, 2, 10, 5), (1, 1, None, 5), (2, 1, 99, 5), (1, 1, 11, 1), (1, 3, None, 1), (1, 2, 12, 3)],
+                                    "product_id long, table_id long, changeset_id long, pr_number int")
+    sets = spark.createDataFrame([(10, [1, 1, 5], [1]), (11, [1], None), (12, None, [1])], "changeset_id long, table_ids array<long>, required_product_ids array<long>")
+    found = registry.shared_table_findings(changes, maps, sets)
+    assert sorted(map(tuple, found.collect())) == [
+        (1, 1, "SHARED_TABLE_CHANGESET_REQUIRED"), (1, 2, "CHANGESET_NOT_FOUND"), (1, 2, "CHANGESET_PR_NUMBER_REQUIRED"), (1, 2, "CHANGESET_TABLE_NOT_INCLUDED"),
+        (2, 1, "CHANGESET_NOT_FOUND"), (2, 2, "CHANGESET_PRODUCT_NOT_REQUIRED"), (2, 2, "CHANGESET_TABLE_NOT_INCLUDED")]
+    assert "array_contains" not in found._jdf.queryExecution().optimizedPlan().toString()
