@@ -330,3 +330,69 @@ def test_changesets_of_many_members_are_joined_by_key(spark):
         (1, 1, "SHARED_TABLE_CHANGESET_REQUIRED"), (1, 2, "CHANGESET_NOT_FOUND"), (1, 2, "CHANGESET_PR_NUMBER_REQUIRED"), (1, 2, "CHANGESET_TABLE_NOT_INCLUDED"),
         (2, 1, "CHANGESET_NOT_FOUND"), (2, 2, "CHANGESET_PRODUCT_NOT_REQUIRED"), (2, 2, "CHANGESET_TABLE_NOT_INCLUDED")]
     assert "array_contains" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _every_run(groups, hints):
+    """match_groups by trying every run."""
+    rows, out, cursor = sorted(groups, key=lambda r: r["position"]), [], 0
+    for h in sorted(hints, key=lambda r: r["position"]):
+        best = None
+        for first in range(cursor, len(rows)):
+            for last in range(first, len(rows)):
+                kind = rows[last]["kind"]
+                if kind in ("table", "alt_text", "text_box") or (kind == "caption" and h["kind"] != "paragraph"):
+                    break
+                run = rows[first:last + 1]
+                if len({r["page"] for r in run}) > 1:
+                    break
+                if run[0]["page"] != h["page"]:
+                    continue
+                boxes = [[r[s] for s in ("left", "bottom", "right", "top")] for r in run if r["left"] is not None]
+                box = (min(b[0] for b in boxes), min(b[1] for b in boxes), max(b[2] for b in boxes), max(b[3] for b in boxes)) if boxes else None
+                hint_box = None if h["left"] is None else (h["left"], h["bottom"], h["right"], h["top"])
+                score = matching.match_score("".join(r["text"] for r in run), h["text"], rows[first]["position"], h["position"], box, hint_box)
+                if score is not None and score >= matching.ACCEPT and (best is None or (-score, first, last) < best):
+                    best = (-score, first, last)
+        if best:
+            out.append((h["position"], rows[best[1]]["position"], rows[best[2]]["position"], -best[0]))
+            cursor = best[2] + 1
+    return out
+
+
+def test_bounds_lose_no_run():
+    import random
+
+    import pandas as pd
+
+    rng, matched = random.Random(5), 0
+    pieces = ["ab", "ab c", "é", "́x", "e", "가", "ᄀ", "ᅡ", "ᆨn", "", "Straße", "STRASSE", "long text of it", " b"]
+    for _ in range(800):
+        def row(i, pages):
+            at = rng.randrange(8) / 8
+            box = (None,) * 4 if rng.random() < 0.2 else (0.0, at, 1.0, at + rng.choice([0.0, 0.125, 0.25]))
+            return {"doc": "d", "position": i, "page": rng.randrange(pages), "kind": rng.choice(["paragraph"] * 8 + ["caption", "table"]),
+                    "text": "".join(rng.choices(pieces, k=rng.randrange(1, 3))), **dict(zip(("left", "bottom", "right", "top"), box, strict=True))}
+
+        pages = rng.choice([1, 1, 2])
+        groups, hints = [row(i, pages) for i in range(rng.randrange(1, 8))], [row(i, pages) for i in range(rng.randrange(1, 5))]
+        for h in hints:
+            if rng.random() < 0.7:
+                at = rng.randrange(len(groups))
+                h["text"] = "".join(g["text"] for g in groups[at:at + rng.randrange(1, 4)]) + rng.choice(["", "", "x"])
+        got = matching._match_document(("d",), pd.DataFrame(groups), pd.DataFrame(hints))
+        want = _every_run(groups, hints)
+        assert [tuple(r[1:]) for r in got.itertuples(index=False)] == want
+        matched += len(want)
+    assert matched > 300
+
+
+def test_equal_texts_are_found_without_trying_every_run():
+    import time
+
+    import pandas as pd
+
+    rows = pd.DataFrame([("d", i, 1, "paragraph", f"{i}:" + "some words of a turn, " * 20, 0.0, 1 - i * 0.02, 1.0, 1.015 - i * 0.02) for i in range(400)],
+                        columns=["doc", "position", "page", "kind", "text", "left", "bottom", "right", "top"])
+    began = time.process_time()
+    got = matching._match_document(("d",), rows, rows)
+    assert got["first"].tolist() == list(range(400)) and (got["score"] == 1.0).all() and time.process_time() - began < 20
