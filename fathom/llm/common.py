@@ -12,7 +12,6 @@ Conventions that hold for every operator in this subpackage:
 from __future__ import annotations
 
 import pickle
-import tempfile
 import uuid
 
 import numpy as np
@@ -21,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.session import ship_package
+from fathom.session import shared_dir, ship_package
 
 NULL_ID = np.iinfo(np.int64).max
 
@@ -38,18 +37,6 @@ def ids_of(frame: pd.DataFrame) -> pd.arrays.IntegerArray:
     return pd.arrays.IntegerArray(frame["doc_id"].to_numpy(np.int64).copy(), frame["no_id"].to_numpy(bool).copy())
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor shares; a private one only where none is named and
-    driver and executors are one process."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="fathom-shared-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
-
-
 class Scratch:
     """Tables written between the steps of one operator run.
 

@@ -36,25 +36,26 @@ def line_islands(atoms: DataFrame) -> DataFrame:
     keys, order = ["doc", "region"], ["ordinal"]
     w = Window.partitionBy(*keys).orderBy(*order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    # All windows follow one order or none, so two sorts carry them; each repeats every character.
     width = F.when((F.col("kind") == "character") & (g.width(F.col("box")) > 0), g.width(F.col("box")))
-    typical = F.coalesce(F.median(width).over(Window.partitionBy(*keys)), F.lit(0.0))
-    visible = F.when((F.col("kind") == "character") & F.col("box").isNotNull(), F.col("box"))
-    broken = F.sum(F.when(F.col("kind") == "line_break", 1).otherwise(0)).over(before)
-    a = atoms.withColumn("_typical", typical).withColumn("_broken", F.coalesce(broken, F.lit(0)))
-    # The last visible box since the last line break.
-    since = Window.partitionBy(*keys, "_broken").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    a = a.withColumn("_last", F.last(visible, ignorenulls=True).over(since))
-    after_break = F.coalesce(F.lag("kind").over(w) == "line_break", F.lit(False))
+    visible = (F.col("kind") == "character") & F.col("box").isNotNull()
+    # The last visible box since the last line break: a break stands in the way of what is before it.
+    mark = F.when(F.col("kind") == "line_break", F.struct(F.lit(0).alias("seen"), F.col("box").alias("box"))).when(
+        visible, F.struct(F.lit(1).alias("seen"), F.col("box").alias("box")))
+    a = atoms.withColumn("_mark", F.last(mark, ignorenulls=True).over(before)).withColumn("_after", F.lag("kind").over(w))
+    a = a.withColumn("_typical", F.coalesce(F.median(width).over(whole), F.lit(0.0)))
+    a = a.withColumn("_last", F.when(F.col("_mark.seen") == 1, F.col("_mark.box"))).drop("_mark")
+    after_break = F.coalesce(F.col("_after") == "line_break", F.lit(False))
     jump = ((F.col("_typical") > 0) & F.col("box").isNotNull()
             & (F.col("box.left") - F.col("_last.right") > F.col("_typical") * GAP_WIDTHS))
     leaves = F.col("_last").isNotNull() & (F.col("kind") != "line_break") & (~g.same_baseline(F.col("_last"), F.col("box")) | jump)
-    a = islands(a, keys, order, after_break | F.coalesce(leaves, F.lit(False)), "_chunk")
-    extent = F.max(F.coalesce((g.width(F.col("box")) > 0) & (g.height(F.col("box")) > 0), F.lit(False)))
-    a = a.withColumn("_solid", extent.over(Window.partitionBy(*keys, "_chunk")))
-    solid = F.when(F.col("_solid"), F.col("_chunk"))
-    back = F.last(solid, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ahead = F.first(solid, ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    return a.withColumn("line", F.coalesce(back, ahead)).drop("_typical", "_broken", "_last", "_chunk", "_solid")
+    a = a.withColumn("_opens_line", after_break | F.coalesce(leaves, F.lit(False))).drop("_last", "_typical", "_after")
+    a = islands(a, keys, order, F.col("_opens_line"), "_chunk").drop("_opens_line")
+    solid = F.when((g.width(F.col("box")) > 0) & (g.height(F.col("box")) > 0), F.col("_chunk"))
+    # The last chunk with extent up to an atom's own, or else the first one of all.
+    upto = Window.partitionBy(*keys).orderBy("_chunk").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return a.withColumn("line", F.coalesce(F.max(solid).over(upto), F.min(solid).over(whole))).drop("_chunk")
 
 
 def lines(atoms: DataFrame) -> DataFrame:

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from fathom.functions import geometry as g
 from fathom.operators import candidates, canonical, layout, spatial, tables
+from fathom.session import stored
 
 
 @dataclass(frozen=True)
 class Reconstruction:
-    """The tables of a run; all lazy."""
+    """The tables of a run; lazy beyond its regions."""
 
     regions: DataFrame  # doc, page, column, block, box, text, lines, first, edge
     decisions: DataFrame  # doc, region, outcome, kind, confidence
@@ -44,19 +45,19 @@ def reconstruct(atoms: DataFrame, hints: DataFrame | None = None, table_boxes: D
     """``atoms`` as in :mod:`fathom.operators.layout`; ``hints``: doc, region (first ordinal), hint;
     ``table_boxes``: doc, page, hint_order (a document's own number), box.
 
-    Lines in a table's box become one table block where their places form a grid. With boxes, lines and tables are
-    each used several times, so their lineage is cut in the folder of ``spark.checkpoint.dir``.
+    Lines in a table's box become one table block where their places form a grid. Lines and regions are
+    each used several times, so they are written in the folder of ``spark.checkpoint.dir``: characters are read once.
+    With boxes, the lineage of tables is cut there too.
     """
-    line_rows = layout.lines(atoms)
+    line_rows = stored(layout.lines(atoms), "lines")
     grids = None
     if table_boxes is not None:
-        line_rows = line_rows.checkpoint(eager=False)
         inside = _hinted_tables(line_rows, table_boxes).checkpoint(eager=False)
         line_rows = line_rows.join(inside.select("doc", "first"), ["doc", "first"], "left_anti")
         grids = inside.groupBy("doc", "page", "block").agg(g.union(F.col("box")).alias("box"), F.min("first").alias("first"), F.first("markdown").alias("text"))
-    rows = layout.regions(layout.with_columns(line_rows))
+    rows = stored(layout.regions(layout.with_columns(line_rows)), "regions")
     pages = rows.groupBy("doc").agg(F.max("page").alias("page_count"))
-    marked = layout.mark_repeated_edges(rows, pages)
+    marked = stored(layout.mark_repeated_edges(rows, pages), "marked")
     body = marked.where("edge IS NULL")
     if hints is None:
         body = body.withColumn("hint", F.lit(None).cast("string"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import ctypes
 import os
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 DEFAULT_ROWS, TEXT_ROWS = "10000", "1000"
@@ -27,6 +29,25 @@ def ship_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor shares; a private one only where none is named and
+    driver and executors are one process."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="fathom-shared-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written once: whoever reads them several times doesn't compute them again."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/fathom_{name}_{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release_memory() -> None:
     """Give freed memory back to the system.
 

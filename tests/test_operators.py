@@ -396,3 +396,54 @@ def test_equal_texts_are_found_without_trying_every_run():
     began = time.process_time()
     got = matching._match_document(("d",), rows, rows)
     assert got["first"].tolist() == list(range(400)) and (got["score"] == 1.0).all() and time.process_time() - began < 20
+
+
+def _islands_by_definition(atoms):
+    """(ordinal, line) of one region's atoms: its chunks, and where those without extent go."""
+    import statistics
+
+    atoms = sorted(atoms, key=lambda a: a[0])
+    widths = [b[2] - b[0] for _, kind, b in atoms if kind == "character" and b and b[2] > b[0]]
+    typical, chunk, last, before, at, solid = statistics.median(widths) if widths else 0.0, 0, None, None, [], set()
+    for i, (_, kind, b) in enumerate(atoms):
+        opens = before == "line_break"
+        if last and kind != "line_break":
+            least = min(last[3] - last[1], b[3] - b[1]) if b else 0
+            same = least <= 0 or max(0.0, min(last[3], b[3]) - max(last[1], b[1])) / least >= 0.35
+            opens = opens or not same or bool(typical > 0 and b and b[0] - last[2] > typical * layout.GAP_WIDTHS)
+        chunk += bool(opens and i)
+        at.append(chunk)
+        if b and b[2] > b[0] and b[3] > b[1]:
+            solid.add(chunk)
+        last = None if kind == "line_break" else b if kind == "character" and b else last
+        before = kind
+    place = [max((c for c in solid if c <= x), default=min(solid, default=None)) for x in at]
+    return sorted((a[0], p) for a, p in zip(atoms, place, strict=True))
+
+
+def test_lines_are_as_defined_and_sorted_twice(spark):
+    import random
+
+    rng, rows = random.Random(3), []
+    for region in range(60):
+        x = y = 0.0
+        for ordinal in range(rng.randrange(1, 25)):
+            kind = rng.choice(["character"] * 6 + ["space", "line_break"])
+            x, y = x + rng.choice([1.0, 1.0, 1.0, 12.0]), y + rng.choice([0.0] * 6 + [3.0])
+            box = None if rng.random() < 0.15 else (x, y, x + rng.choice([0.0, 1.0, 1.0]), y + rng.choice([0.0, 2.0, 2.0]))
+            rows.append(("d", 1, region, ordinal, kind, "x", box))
+    df = spark.createDataFrame(rows, "doc string, page int, region long, ordinal long, kind string, text string, box struct<left:double,bottom:double,right:double,top:double>")
+    found = layout.line_islands(df)
+    got: dict = {}
+    for r in found.collect():
+        got.setdefault(r.region, []).append((r.ordinal, r.line))
+    assert {k: sorted(v) for k, v in got.items()} == {k: _islands_by_definition([r[3:5] + r[6:] for r in rows if r[2] == k]) for k in got}
+    plan = layout.line_islands(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2 and plan.count("Exchange") == 1
+
+
+def test_reconstruction_reads_characters_once(spark):
+    r = reconstruct.reconstruct(atoms(spark, (1, 0.1, 0.8, "one two"), (1, 0.1, 0.6, "three")))
+    for df in (r.regions, r.markdown, r.coverage):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "ordinal" not in plan and "fathom_marked" in df._jdf.queryExecution().executedPlan().toString()
