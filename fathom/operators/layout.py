@@ -168,11 +168,13 @@ def geometric_text(atoms: DataFrame) -> DataFrame:
 
 def row_groups(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``row_group``: boxes whose vertical extents overlap, directly or through others."""
-    w = Window.partitionBy(*keys).orderBy(F.col("box.top").desc(), F.col("box.bottom").desc())
-    floor = F.min("box.bottom").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = cells.withColumn("_floor", floor)
-    return islands(marked, keys, [F.col("box.top").desc(), F.col("box.bottom").desc()],
-                   F.col("box.top") <= F.col("_floor"), "row_group").drop("_floor")
+    # Plain columns, so that both windows share one sort: after another one, equal boxes might stand in another order
+    # and be counted before the one that opened their row.
+    order = [F.col("_top").desc(), F.col("_bottom").desc()]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    marked = cells.withColumn("_top", F.col("box.top")).withColumn("_bottom", F.col("box.bottom"))
+    marked = marked.withColumn("_floor", F.min("_bottom").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    return islands(marked, keys, order, F.col("_top") <= F.col("_floor"), "row_group").drop("_floor", "_top", "_bottom")
 
 
 def _middle(ordered: list[float]) -> float:

@@ -97,3 +97,9 @@ def test_proven_tables_merge_their_characters(spark):
 
 def test_boxes_without_overlap_are_found_by_merge(spark):
     assert "Broadcast" not in plan_of(every.QUERIES["without_overlap"](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["row_groups", "interval_merge"])
+def test_equal_rows_are_sorted_once(spark, name):
+    """What opens a group and what numbers it must see equal rows in one order."""
+    assert plan_of(every.QUERIES[name](spark, SF)).count("Sort [") == 1
