@@ -99,7 +99,9 @@ def with_columns(line_rows: DataFrame) -> DataFrame:
     ship_package(line_rows.sparkSession)
     flat = line_rows.select("doc", "page", "first", F.col("box.left").alias("left"), F.col("box.right").alias("right"),
                             F.col("box.top").alias("top"))
-    found = flat.groupBy("doc", "page").applyInPandas(_columns_of_page, "doc string, page int, first long, column int")
+    # A page's time is in Python, not in its bytes, by which adaptive execution would put all pages into a task or two.
+    dealt = flat.repartition(int(flat.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc", "page")
+    found = dealt.groupBy("doc", "page").applyInPandas(_columns_of_page, "doc string, page int, first long, column int")
     return line_rows.join(found, ["doc", "page", "first"])
 
 

@@ -447,3 +447,10 @@ def test_reconstruction_reads_characters_once(spark):
     for df in (r.regions, r.markdown, r.coverage):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "ordinal" not in plan and "fathom_marked" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_are_dealt_to_all_tasks(spark):
+    df = layout.with_columns(layout.lines(atoms(spark, *[(page, 0.1, 0.8, "text") for page in range(1, 40)])))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan  # its partitions aren't put together again
+    assert df.count() == 39
